@@ -46,6 +46,11 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _property_list(dataset: Dataset) -> str:
+    pairs = dataset.properties.items()
+    return ", ".join(f"{_quoted(key)} = {_quoted(value)}" for key, value in pairs)
+
+
 @dataclass(frozen=True)
 class Lake:
     """Tables of one deployment. ``prefix`` keeps several deployments apart within one catalog."""
@@ -79,9 +84,7 @@ class Lake:
         self,
         name: str,
         schema: T.StructType,
-        folder: str | None = None,
         partitioned_by: tuple[str, ...] | None = None,
-        table_format: str | None = None,
     ) -> str:
         """An empty table with its comment and properties, unless it exists."""
         dataset = DATASETS[name]
@@ -90,21 +93,21 @@ class Lake:
         )
         partitions = dataset.partitioned_by if partitioned_by is None else partitioned_by
         partition_clause = f"PARTITIONED BY ({', '.join(partitions)}) " if partitions else ""
-        properties = ", ".join(
-            f"{_quoted(key)} = {_quoted(value)}" for key, value in dataset.properties.items()
-        )
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.table(name)} ({columns}) "
-            f"USING {table_format or self.table_format} {partition_clause}"
-            f"LOCATION {_quoted(folder or self.folder(name))} "
-            f"COMMENT {_quoted(dataset.comment)} TBLPROPERTIES ({properties})"
+            f"USING {self.table_format} {partition_clause}"
+            f"LOCATION {_quoted(self.folder(name))} "
+            f"COMMENT {_quoted(dataset.comment)} TBLPROPERTIES ({_property_list(dataset)})"
         )
         return self.table(name)
 
-    def point(self, name: str, folder: str) -> None:
-        """Lets the table show another folder, in one catalog operation."""
-        self.spark.sql(f"ALTER TABLE {self.table(name)} SET LOCATION {_quoted(folder)}")
-        self.spark.catalog.refreshTable(self.table(name))
+    def show(self, name: str, query: str) -> None:
+        """A view in place of a table; an existing view gets the new query in one catalog operation."""
+        dataset = DATASETS[name]
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {self.table(name)} COMMENT {_quoted(dataset.comment)} "
+            f"TBLPROPERTIES ({_property_list(dataset)}) AS {query}"
+        )
 
     def save(self, name: str, rows: DataFrame) -> None:
         """Replaces the table by a snapshot of ``rows``."""
@@ -114,11 +117,8 @@ class Lake:
         if dataset.partitioned_by:
             writer = writer.partitionBy(*dataset.partitioned_by)
         writer.saveAsTable(self.table(name))
-        properties = ", ".join(
-            f"{_quoted(key)} = {_quoted(value)}" for key, value in dataset.properties.items()
-        )
         self.spark.sql(f"COMMENT ON TABLE {self.table(name)} IS {_quoted(dataset.comment)}")
-        self.spark.sql(f"ALTER TABLE {self.table(name)} SET TBLPROPERTIES ({properties})")
+        self.spark.sql(f"ALTER TABLE {self.table(name)} SET TBLPROPERTIES ({_property_list(dataset)})")
 
     def read(self, name: str) -> DataFrame:
         """The table as it is now; files found by an earlier read are listed anew."""

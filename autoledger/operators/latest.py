@@ -8,64 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def version_order(columns: Sequence[str], sequence: Sequence[str], prefix: str = "") -> list[Column]:
-    """The columns that order two versions, oldest first. Equal in all of them means equal rows.
-
-    Two different rows could only tie on a 64-bit hash collision.
-    """
-    row_hash = F.xxhash64(*[F.col(prefix + name) for name in columns])
-    return [*[F.col(prefix + name) for name in sequence], row_hash]
-
-
 def latest_per_key(rows: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> DataFrame:
     """One row per key.
 
     Filtering the rank right after computing it lets Catalyst keep only the best row per key within each
     input split before the shuffle, so a key with a third of all rows sends one row per split.
     """
-    newest_first = [part.desc() for part in version_order(rows.columns, sequence)]
-    window = Window.partitionBy(*keys).orderBy(*newest_first)
+    version = [*[F.col(name) for name in sequence], F.xxhash64(*rows.columns)]
+    window = Window.partitionBy(*keys).orderBy(*[part.desc() for part in version])
     return rows.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
-
-
-def apply_latest(
-    current: DataFrame, changes: DataFrame, keys: Sequence[str], sequence: Sequence[str]
-) -> DataFrame:
-    """``current``, one row per key, with any number of ``changes`` applied.
-
-    Late changes lose against a newer current row. Both join inputs hold a key once, so no join here can
-    be skewed, and while the changes are small enough for Spark to broadcast them the current rows are
-    only scanned, never shuffled. Nulls in keys are values like any other.
-    """
-    columns = current.columns
-    newest = latest_per_key(changes.select(columns), keys, sequence)
-
-    change = newest.select(
-        *[F.col(key).alias(f"_key_{key}") for key in keys],
-        F.struct(*columns).alias("_change"),
-    )
-    same_key = [F.col(key).eqNullSafe(F.col(f"_key_{key}")) for key in keys]
-    change_is_newer = F.struct(*version_order(columns, sequence, "_change.")) > F.struct(
-        *version_order(columns, sequence)
-    )
-    kept_or_updated = current.join(change, same_key, "left").select(
-        *[
-            F.when(F.col("_change").isNotNull() & change_is_newer, F.col(f"_change.{name}"))
-            .otherwise(F.col(name))
-            .alias(name)
-            for name in columns
-        ]
-    )
-
-    # Keys already present, found by a key-only scan; the result is no larger than the changes.
-    present = current.select(*keys).join(
-        change.select(*[f"_key_{key}" for key in keys]), same_key, "left_semi"
-    )
-    present = present.select(*[F.col(key).alias(f"_key_{key}") for key in keys])
-    added = newest.join(present, same_key, "left_anti")
-
-    return kept_or_updated.unionByName(added)

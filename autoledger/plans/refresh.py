@@ -66,10 +66,9 @@ def payment_target(lake: Lake) -> ChangeTarget:
 
 
 def apply_payment_changes(lake: Lake, files_per_batch: int | None = None) -> None:
-    """New valid payments into the table of current transactions."""
+    """New valid payments into the view of current transactions."""
     target = payment_target(lake).create()
     finish([target.start(lake.stream("payment_enriched", files_per_batch))])
-    target.publish()
 
 
 def build_vehicle_owner(lake: Lake) -> None:

@@ -5,11 +5,14 @@ Layout below the target's folder, all written by Spark::
     changes/batch=N     newest row per key of micro-batch N
     snapshots/upto=N    one row per key, batches up to N applied
 
-A micro-batch only appends its own rows, so its cost follows the batch and not the table, however the keys
-are spread. ``publish`` applies the pending batches to the last snapshot, writes the next one beside it and
-points the table at it. A folder counts once Spark has put its ``_SUCCESS`` mark there: a write cut short is
-ignored and done again, and readers keep the snapshot they started on. A micro-batch repeated after a
-restart replaces its own folder with the same rows.
+What readers see is a view: the last snapshot with the batches after it applied. A micro-batch writes its own
+rows and replaces the view's text, so its cost follows the batch and not the table, however the keys are
+spread. Once the pending batches weigh a given share of the snapshot they are folded into a new one, so over
+time each row is rewritten a bounded number of times.
+
+A folder counts once Spark has put its ``_SUCCESS`` mark there: a write cut short is ignored and done again,
+and readers keep the snapshot they started on. A micro-batch repeated after a restart replaces its own folder
+with the same rows.
 """
 
 from __future__ import annotations
@@ -21,13 +24,54 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..catalog import Lake
-from ..operators import apply_latest, latest_per_key
+from ..operators import latest_per_key
 
 NOTHING_APPLIED = -1
 
 
+def merged_sql(
+    columns: Sequence[str], keys: Sequence[str], sequence: Sequence[str], snapshot: str, changes: str
+) -> str:
+    """SQL for ``snapshot``, which has a key once, with any number of ``changes`` applied.
+
+    Late changes lose against a newer snapshot row; what ties in the sequence is decided by a hash of the
+    row, as in ``latest_per_key``. Nulls in keys are values like any other. Both sides of each join hold a
+    key once, so no join can be skewed, and while the changes are small enough for Spark to broadcast them
+    the snapshot is scanned and never shuffled. New keys are found by a key-only scan whose result is no
+    larger than the changes.
+    """
+
+    def version(table: str) -> list[str]:
+        row_hash = f"xxhash64({', '.join(f'{table}.`{name}`' for name in columns)})"
+        return [*[f"{table}.`{name}`" for name in sequence], row_hash]
+
+    def as_struct(parts: list[str]) -> str:
+        return f"struct({', '.join(parts)})"
+
+    def same_key(left: str, right: str) -> str:
+        return " AND ".join(f"{left}.`{key}` <=> {right}.`{key}`" for key in keys)
+
+    listed = ", ".join(f"`{name}`" for name in columns)
+    key_list = ", ".join(f"`{key}`" for key in keys)
+    newest_first = ", ".join(f"{part} DESC" for part in version("c"))
+    newer = f"n.is_change AND {as_struct(version('n'))} > {as_struct(version('s'))}"
+    chosen = ", ".join(f"IF({newer}, n.`{name}`, s.`{name}`) AS `{name}`" for name in columns)
+    return f"""
+    WITH newest AS (
+      SELECT {listed}, TRUE AS is_change FROM (
+        SELECT c.*, row_number() OVER (PARTITION BY {key_list} ORDER BY {newest_first}) AS place
+        FROM {changes} c)
+      WHERE place = 1)
+    SELECT {chosen} FROM {snapshot} s LEFT JOIN newest n ON {same_key("s", "n")}
+    UNION ALL
+    SELECT {listed} FROM newest n LEFT ANTI JOIN (
+      SELECT {key_list} FROM {snapshot} s LEFT SEMI JOIN newest n ON {same_key("s", "n")}) p
+    ON {same_key("n", "p")}
+    """
+
+
 class ChangeTarget:
-    """Table ``name`` of a lake, kept at one row per key by a stream of changes."""
+    """Dataset ``name`` of a lake, kept at one row per key by a stream of changes."""
 
     def __init__(
         self,
@@ -36,34 +80,33 @@ class ChangeTarget:
         schema: T.StructType,
         keys: Sequence[str],
         sequence: Sequence[str],
-        publish_every: int = 50,
+        compact_at_share: float = 0.2,
+        compact_at_batches: int = 100,
     ) -> None:
         self.lake = lake
         self.name = name
         self.schema = schema
         self.keys = list(keys)
         self.sequence = list(sequence)
-        self.publish_every = publish_every
+        self.compact_at_share = compact_at_share
+        self.compact_at_batches = compact_at_batches
         self.folder = lake.folder(name)
 
     def create(self) -> ChangeTarget:
-        """The empty target. A session that finds an earlier run's files points the table at them."""
-        applied = self.applied()
-        if applied == NOTHING_APPLIED and not self._finished("snapshots", "upto"):
+        """The empty target, or a view on what an earlier run has written."""
+        if not self._finished("snapshots", "upto"):
             empty = self.lake.spark.createDataFrame([], self.schema)
             empty.write.mode("overwrite").parquet(self._snapshot(NOTHING_APPLIED))
-        self.lake.declare(
-            self.name, self.schema, folder=self._snapshot(applied), table_format="parquet"
-        )
-        self.lake.point(self.name, self._snapshot(applied))
+        self._show()
         return self
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
-        """For ``foreachBatch``. A long run publishes in between, which bounds what is pending."""
+        """For ``foreachBatch``."""
         newest = latest_per_key(batch.select(self.schema.names), self.keys, self.sequence)
         newest.write.mode("overwrite").parquet(self._change(batch_id))
-        if len(self.pending()) >= self.publish_every:
-            self.publish()
+        self._show()
+        if self.compaction_due():
+            self.compact()
 
     def start(self, changes: DataFrame) -> StreamingQuery:
         """Batch numbers are those of the checkpoint, so the checkpoint lives and dies with the target."""
@@ -74,24 +117,30 @@ class ChangeTarget:
             .start()
         )
 
+    def current(self) -> DataFrame:
+        """One row per key, pending batches included."""
+        return self.lake.spark.table(self.lake.table(self.name))
+
     def applied(self) -> int:
-        return max(self._finished("snapshots", "upto"), default=NOTHING_APPLIED)
+        return max(self._finished("snapshots", "upto"))
 
     def pending(self) -> list[int]:
         applied = self.applied()
         return sorted(batch for batch in self._finished("changes", "batch") if batch > applied)
 
-    def current(self) -> DataFrame:
-        """One row per key, pending batches included."""
-        return self._current(self.pending())
+    def compaction_due(self) -> bool:
+        pending = self.pending()
+        if len(pending) >= self.compact_at_batches:
+            return True
+        waiting = sum(self._bytes(self._change(batch)) for batch in pending)
+        return waiting > self.compact_at_share * self._bytes(self._snapshot(self.applied()))
 
-    def publish(self) -> int:
-        """Brings the table up to date; returns the number of batches that were pending."""
+    def compact(self) -> int:
+        """Folds the pending batches into a new snapshot; returns their number."""
         pending = self.pending()
         if pending:
-            target = self._snapshot(pending[-1])
-            self._current(pending).write.mode("overwrite").parquet(target)
-            self.lake.point(self.name, target)
+            self.current().write.mode("overwrite").parquet(self._snapshot(pending[-1]))
+            self._show()
         return len(pending)
 
     def prune(self, keep: int = 2) -> None:
@@ -107,19 +156,23 @@ class ChangeTarget:
             if batch <= applied:
                 self._delete(self._change(batch))
 
-    def _current(self, pending: list[int]) -> DataFrame:
-        read = self.lake.spark.read.schema(self.schema)
-        snapshot = read.parquet(self._snapshot(self.applied()))
-        if not pending:
-            return snapshot
-        changes = read.parquet(*[self._change(batch) for batch in pending])
-        return apply_latest(snapshot, changes, self.keys, self.sequence)
+    def _show(self) -> None:
+        """Replaces the view, in one catalog operation, by one on what is finished now."""
+        pending = self.pending()
+        snapshot = f"parquet.`{self._snapshot(self.applied())}`"
+        query = f"SELECT * FROM {snapshot}"
+        if pending:
+            batches = ",".join(str(batch) for batch in pending)
+            changes = f"parquet.`{self._change('{' + batches + '}')}`"
+            names = self.schema.names
+            query = merged_sql(names, self.keys, self.sequence, snapshot, changes)
+        self.lake.show(self.name, query)
 
     def _snapshot(self, batch_id: int) -> str:
         return f"{self.folder}/snapshots/upto={batch_id}"
 
-    def _change(self, batch_id: int) -> str:
-        return f"{self.folder}/changes/batch={batch_id}"
+    def _change(self, batch: int | str) -> str:
+        return f"{self.folder}/changes/batch={batch}"
 
     def _path(self, text: str):
         return self.lake.spark._jvm.org.apache.hadoop.fs.Path(text)
@@ -129,10 +182,13 @@ class ChangeTarget:
         return self._path(self.folder).getFileSystem(configuration)
 
     def _finished(self, kind: str, label: str) -> list[int]:
-        """Numbers of the finished folders of one kind; a handful, bounded by ``prune``."""
+        """Numbers of the finished folders of one kind; few, as ``compact`` and ``prune`` see to it."""
         pattern = self._path(f"{self.folder}/{kind}/{label}=*/_SUCCESS")
         marks = self._file_system().globStatus(pattern) or []
         return [int(mark.getPath().getParent().getName().split("=")[1]) for mark in marks]
 
+    def _bytes(self, folder: str) -> int:
+        return self._file_system().getContentSummary(self._path(folder)).getLength()
+
     def _delete(self, folder: str) -> None:
         self._file_system().delete(self._path(folder), True)
