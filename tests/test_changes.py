@@ -1,0 +1,148 @@
+"""Keyed change application on a stream: order, repetition, interruption, compaction."""
+
+from __future__ import annotations
+
+import random
+from pathlib import Path
+
+import pytest
+
+from autoledger.operators import latest_per_key
+from autoledger.streaming import ChangeTarget, finish
+from autoledger.streaming.changes import merged_sql
+
+from .conftest import as_set, plan_of
+
+SCHEMA = "k int, s int, v string"
+
+
+def batch(spark, *rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def target_of(lake, **options):
+    schema = lake.spark.createDataFrame([], SCHEMA).schema
+    return ChangeTarget(lake, "payment_streaming", schema, ["k"], ["s"], **options)
+
+
+@pytest.fixture
+def target(lake):
+    """Compaction only where a test asks for it."""
+    return target_of(lake, compact_at_share=1e9).create()
+
+
+FIRST = [(1, 1, "a"), (2, 1, "b"), (2, 5, "b5"), (None, 1, "n")]
+SECOND = [(2, 3, "late"), (3, 1, "c"), (1, 2, "a2"), (None, 2, "n2")]
+AFTER_BOTH = [(1, 2, "a2"), (2, 5, "b5"), (3, 1, "c"), (None, 2, "n2")]
+
+
+def test_empty_target_has_its_schema(target):
+    assert target.current().count() == 0
+    assert target.current().columns == ["k", "s", "v"]
+
+
+@pytest.mark.parametrize(
+    "order", [[FIRST, SECOND], [SECOND, FIRST], [FIRST, SECOND, SECOND, FIRST], [FIRST + SECOND]]
+)
+@pytest.mark.parametrize("share", [1e9, 0.0])
+def test_result_does_not_depend_on_how_changes_arrive(spark, lake, order, share):
+    target = target_of(lake, compact_at_share=share).create()
+    for number, rows in enumerate(order):
+        target.apply(batch(spark, *rows), number)
+    assert bool(target.pending()) == bool(share)
+    assert as_set(target.current()) == AFTER_BOTH
+    target.compact()
+    assert target.pending() == []
+    assert as_set(target.current()) == AFTER_BOTH
+
+
+def test_repeated_batch_changes_nothing(spark, target):
+    target.apply(batch(spark, *FIRST), 0)
+    target.apply(batch(spark, *SECOND), 1)
+    target.apply(batch(spark, *SECOND), 1)
+    assert as_set(target.current()) == AFTER_BOTH
+    target.compact()
+    target.apply(batch(spark, *SECOND), 1)
+    assert as_set(target.current()) == AFTER_BOTH
+
+
+def test_unfinished_folders_do_not_count(spark, target):
+    target.apply(batch(spark, *FIRST), 0)
+    target.compact()
+    target.apply(batch(spark, *SECOND), 1)
+    # A batch and a compaction that were cut short after some of their files were in place.
+    for folder in ("changes/batch=2", "snapshots/upto=1"):
+        path = Path(target.folder) / folder
+        batch(spark, (1, 99, "half"), (2, 99, "half")).coalesce(1).write.parquet(str(path))
+        (path / "_SUCCESS").unlink()
+    target.create()
+    assert (target.applied(), target.pending()) == (0, [1])
+    assert as_set(target.current()) == AFTER_BOTH
+    target.compact()
+    assert target.applied() == 1
+    target.apply(batch(spark, (3, 7, "c7")), 2)
+    assert as_set(target.current()) == [*AFTER_BOTH[:2], (3, 7, "c7"), AFTER_BOTH[3]]
+
+
+def test_next_session_finds_what_is_there(spark, lake, target):
+    target.apply(batch(spark, *FIRST), 0)
+    target.compact()
+    target.apply(batch(spark, *SECOND), 1)
+    spark.sql(f"DROP VIEW {lake.table('payment_streaming')}")
+    assert as_set(target_of(lake).create().current()) == AFTER_BOTH
+
+
+def test_prune_keeps_what_the_view_needs(spark, target):
+    for number in range(4):
+        target.apply(batch(spark, (number, 1, "x"), (0, number, "y")), number)
+        if number < 3:
+            target.compact()
+    expected = as_set(target.current())
+    target.prune(keep=1)
+    snapshots = [path.name for path in (Path(target.folder) / "snapshots").iterdir()]
+    changes = [path.name for path in (Path(target.folder) / "changes").iterdir()]
+    assert (snapshots, changes) == (["upto=2"], ["batch=3"])
+    assert as_set(target.current()) == expected
+
+
+def test_compaction_is_due_by_share_or_by_number(spark, lake):
+    by_number = target_of(lake, compact_at_share=1e9, compact_at_batches=3).create()
+    pending = []
+    for number in range(4):
+        by_number.apply(batch(spark, (number, 1, "x")), number)
+        pending.append(len(by_number.pending()))
+    assert pending == [1, 2, 0, 1]
+
+
+def test_stream_equals_batch_over_random_changes(spark, lake, tmp_path):
+    rng = random.Random(11)
+    rows = [(rng.randrange(50), rng.randrange(1000), str(position)) for position in range(2000)]
+    landing = tmp_path / "landing"
+    for start in range(0, 2000, 500):
+        batch(spark, *rows[start : start + 500]).coalesce(1).write.mode("append").parquet(str(landing))
+    target = target_of(lake, compact_at_share=2.0).create()
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(landing))
+    finish([target.start(stream)])
+    assert as_set(target.current()) == as_set(latest_per_key(batch(spark, *rows), ["k"], ["s"]))
+    # Started again without new files nothing happens; a new file is applied.
+    finish([target.start(stream)])
+    batch(spark, (7, 5000, "new")).coalesce(1).write.mode("append").parquet(str(landing))
+    finish([target.start(stream)])
+    assert target.current().filter("k = 7").collect()[0].v == "new"
+    assert target.current().count() == len({key for key, _, _ in rows})
+
+
+def test_small_changes_leave_the_snapshot_unshuffled(spark, tmp_path):
+    spark.range(50_000).selectExpr("id AS k", "0 AS s").write.parquet(str(tmp_path / "snapshot"))
+    spark.range(10).selectExpr("id AS k", "1 AS s").write.parquet(str(tmp_path / "changes"))
+    snapshot, changes = (f"parquet.`{tmp_path / name}`" for name in ("snapshot", "changes"))
+    merged = spark.sql(merged_sql(["k", "s"], ["k"], ["s"], snapshot, changes))
+    assert merged.filter("s = 1").count() == 10 and merged.count() == 50_000
+    merged.collect()
+    plan = plan_of(merged).split("== Initial Plan ==")[0]
+    assert "SortMergeJoin" not in plan
+    lines = plan.split("\n")
+    shuffles = [at for at, line in enumerate(lines) if line.lstrip(" :+-").startswith("Exchange hash")]
+    below = [lines[at + 1] for at in shuffles]
+    # What is shuffled are the changes, already reduced to one row per key and split.
+    assert below and all("WindowGroupLimit" in line for line in below)
