@@ -168,10 +168,12 @@ def line_sql(name: str, with_malformed: bool) -> str:
 
 def write_feed_files(
     spark: SparkSession, sf_dir: str, name: str, path: str, files: int = 3, with_malformed: bool = False
-) -> None:
-    """The feed as text files. ``files`` is a lower bound: a scan that has more splits keeps them."""
+) -> int:
+    """The feed as text files; returns their number. A scan with more splits than ``files`` keeps them."""
     table, _, _ = DERIVED[name]
     lines = source_table(spark, sf_dir, table).selectExpr(f"{line_sql(name, with_malformed)} AS value")
-    if lines.rdd.getNumPartitions() < files:
-        lines = lines.repartition(files)
+    splits = lines.rdd.getNumPartitions()
+    if splits < files:
+        lines, splits = lines.repartition(files), files
     lines.write.text(path)
+    return splits

@@ -33,8 +33,7 @@ from .feeds import feed_rows, source_table, write_feed_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-FILES = 3
-FILES_PER_BATCH = 1
+BATCHES = 3
 LINEAGE = ("file_name", "file_modification_time")
 
 
@@ -117,17 +116,19 @@ def fresh_lake(spark: SparkSession) -> Lake:
     return lake.create_databases()
 
 
-def deliver(lake: Lake, sf_dir: str, *feeds: str, with_malformed: bool = False) -> dict[str, str]:
-    """Feed files in the lake's landing folders."""
-    paths = {feed: f"{lake.root}/landing/{feed}" for feed in feeds}
-    for feed, path in paths.items():
-        write_feed_files(lake.spark, sf_dir, feed, f"{path}/delivery=1", FILES, with_malformed)
-    return {feed: f"{path}/*" for feed, path in paths.items()}
+def landing(lake: Lake, feed: str, delivery: int | str) -> str:
+    return f"{lake.root}/landing/{feed}/delivery={delivery}"
 
 
 def ingested(spark: SparkSession, sf_dir: str, *feeds: str, with_malformed: bool = False) -> Lake:
+    """A lake with the bronze tables of the feeds, each read from files in a few micro-batches."""
     lake = fresh_lake(spark)
-    flows.ingest(lake, deliver(lake, sf_dir, *feeds, with_malformed=with_malformed), FILES_PER_BATCH)
+    files = max(
+        write_feed_files(spark, sf_dir, feed, landing(lake, feed, 1), BATCHES, with_malformed)
+        for feed in feeds
+    )
+    paths = {feed: landing(lake, feed, "*") for feed in feeds}
+    flows.ingest(lake, paths, files_per_batch=-(-files // BATCHES))
     return lake
 
 
@@ -160,7 +161,7 @@ def bronze_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_stream(feed: str, table: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         lake = ingested(spark, sf_dir, feed)
-        flows.clean(lake, table, files_per_batch=FILES_PER_BATCH)
+        flows.clean(lake, table)
         return shown(lake.read(table), FEEDS[feed].capture, *LINEAGE)
 
     return query
@@ -169,51 +170,48 @@ def silver_stream(feed: str, table: str) -> Query:
 def events_scd1_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = fresh_lake(spark)
     events = source_table(spark, sf_dir, "events")
-    landing = f"{lake.root}/landing/events"
-    events.repartition(FILES).write.parquet(landing)
+    events.repartition(BATCHES).write.parquet(landing(lake, "events", 1))
     # Any dataset name of the lake serves; only the rows come from elsewhere.
     target = ChangeTarget(lake, "payment_streaming", events.schema, EVENT_KEY, EVENT_SEQUENCE)
     stream = (
         spark.readStream.schema(events.schema)
-        .option("maxFilesPerTrigger", FILES_PER_BATCH)
-        .parquet(landing)
+        .option("maxFilesPerTrigger", 1)
+        .parquet(landing(lake, "events", 1))
     )
     finish([target.create().start(stream)])
+    target.compact_if_due()
     return shown(lake.read("payment_streaming"))
 
 
 def payment_scd1_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = ingested(spark, sf_dir, "payment")
-    flows.clean(lake, "payment_enriched", files_per_batch=FILES_PER_BATCH)
-    flows.apply_payment_changes(lake, FILES_PER_BATCH)
+    flows.clean(lake, "payment_enriched")
+    flows.apply_payment_changes(lake)
     return shown(lake.read("payment_streaming"), FEEDS["payment"].capture, *LINEAGE)
 
 
 def payment_scd1_corrected_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A first delivery of all payments, then a second one that corrects those of open orders."""
-    lake = fresh_lake(spark)
-    fields = FEEDS["payment"].fields
-    corrected = {name: F.col(name) for name in fields}
-    corrected["amount_paid"] = F.concat(F.lit("1"), F.col("amount_paid"))
-    paths = deliver(lake, sf_dir, "payment")
-    for delivery in (1, 2):
-        if delivery == 2:
-            spark_rows = feed_rows(spark, sf_dir, "payment", keep=("o_orderstatus",))
-            open_orders = spark_rows.filter("o_orderstatus = 'O'")
-            line = F.concat_ws("\t", *[F.coalesce(corrected[name], F.lit("")) for name in fields])
-            open_orders.select(line.alias("value")).write.text(
-                f"{lake.root}/landing/payment/delivery=2"
-            )
-        flows.ingest(lake, paths)
-        flows.clean(lake, "payment_enriched")
-        flows.apply_payment_changes(lake)
+    lake = ingested(spark, sf_dir, "payment")
+    flows.clean(lake, "payment_enriched")
+    flows.apply_payment_changes(lake)
+
+    orders = feed_rows(spark, sf_dir, "payment", keep=("o_orderstatus",)).filter("o_orderstatus = 'O'")
+    corrected = orders.withColumn("amount_paid", F.concat(F.lit("1"), "amount_paid"))
+    fields = [F.coalesce(name, F.lit("")) for name in FEEDS["payment"].fields]
+    line = F.concat_ws("\t", *fields).alias("value")
+    corrected.select(line).write.text(landing(lake, "payment", 2))
+
+    flows.ingest(lake, {"payment": landing(lake, "payment", "*")})
+    flows.clean(lake, "payment_enriched")
+    flows.apply_payment_changes(lake)
     return shown(lake.read("payment_streaming"), FEEDS["payment"].capture, *LINEAGE)
 
 
 def curated_360_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = ingested(spark, sf_dir, "product", "customer", "payment")
     flows.clean(lake, "product_enriched", "customer_enriched", "payment_enriched")
-    flows.extend_curated_360(lake, FILES_PER_BATCH)
+    flows.extend_curated_360(lake)
     return shown(lake.read("curated_360_gold"))
 
 
@@ -221,7 +219,7 @@ def vehicle_owner_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = ingested(spark, sf_dir, "product", "customer")
     flows.clean(lake, "product_enriched", "customer_enriched")
     sink = Sink("vehicle_owner_export", "parquet", {"path": f"{lake.root}/export/vehicle_owner"})
-    flows.export_vehicle_owner(lake, sink, FILES_PER_BATCH)
+    flows.export_vehicle_owner(lake, sink)
     return spark.read.parquet(sink.options["path"])
 
 

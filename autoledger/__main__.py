@@ -22,7 +22,9 @@ def main() -> None:
     parser.add_argument("--format", default="parquet", help="table format")
     parser.add_argument("--export-path", help="folder to which new vehicle owners are appended")
     parser.add_argument("--export-format", default="parquet")
-    parser.add_argument("--bytes-per-batch", help="size of a micro-batch of files, such as 500g")
+    limit = parser.add_mutually_exclusive_group()
+    limit.add_argument("--bytes-per-batch", help="size of a micro-batch of feed files, such as 500g")
+    limit.add_argument("--files-per-batch", type=int, help="number of feed files in a micro-batch")
     arguments = parser.parse_args()
 
     paths = {feed: getattr(arguments, feed) for feed in FEEDS if getattr(arguments, feed)}
@@ -31,7 +33,13 @@ def main() -> None:
         options = {"path": arguments.export_path}
         sink = Sink("vehicle_owner_export", arguments.export_format, options)
     lake = Lake(session("autoledger"), arguments.root, table_format=arguments.format)
-    refresh(lake, paths, owner_sink=sink, bytes_per_batch=arguments.bytes_per_batch)
+    refresh(
+        lake,
+        paths,
+        owner_sink=sink,
+        files_per_batch=arguments.files_per_batch,
+        bytes_per_batch=arguments.bytes_per_batch,
+    )
 
 
 if __name__ == "__main__":

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 # Fixed values that results must agree on.
 MONEY_TYPE = "decimal(10,2)"
-DAY_PATTERN = "yyyy-MM-dd"
 PAYMENT_CATEGORIES = ("CARD", "CASH", "FINANCE", "LEASE")
 OTHER_CATEGORY = "OTHER"
 
@@ -25,7 +24,13 @@ def whole_number(text: Column) -> Column:
 
 
 def iso_day(text: Column) -> Column:
-    return F.try_to_date(text, DAY_PATTERN)
+    """The day of a text in the form ``yyyy-MM-dd``, to the letter, else null.
+
+    What ``try_to_date`` with that pattern gives, in a fraction of its time: the cast also reads looser
+    forms, so a text counts only if its day is written back as the same text.
+    """
+    day = text.try_cast("date")
+    return F.when(day.cast("string") == text, day)
 
 
 def overdue_flag(days: Column) -> Column:

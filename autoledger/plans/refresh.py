@@ -69,6 +69,7 @@ def apply_payment_changes(lake: Lake, files_per_batch: int | None = None) -> Non
     """New valid payments into the view of current transactions."""
     target = payment_target(lake).create()
     finish([target.start(lake.stream("payment_enriched", files_per_batch))])
+    target.compact_if_due()
 
 
 def build_vehicle_owner(lake: Lake) -> None:

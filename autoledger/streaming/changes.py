@@ -55,14 +55,17 @@ def merged_sql(
     key_list = ", ".join(f"`{key}`" for key in keys)
     newest_first = ", ".join(f"{part} DESC" for part in version("c"))
     newer = f"n.is_change AND {as_struct(version('n'))} > {as_struct(version('s'))}"
-    chosen = ", ".join(f"IF({newer}, n.`{name}`, s.`{name}`) AS `{name}`" for name in columns)
+    chosen = ", ".join(f"IF(newer, n.`{name}`, s.`{name}`) AS `{name}`" for name in columns)
+    paired = ", ".join(f"struct({', '.join(f'{t}.`{name}`' for name in columns)}) AS {t}" for t in "sn")
     return f"""
     WITH newest AS (
       SELECT {listed}, TRUE AS is_change FROM (
         SELECT c.*, row_number() OVER (PARTITION BY {key_list} ORDER BY {newest_first}) AS place
         FROM {changes} c)
       WHERE place = 1)
-    SELECT {chosen} FROM {snapshot} s LEFT JOIN newest n ON {same_key("s", "n")}
+    SELECT {chosen} FROM (
+      SELECT {paired}, {newer} AS newer
+      FROM {snapshot} s LEFT JOIN newest n ON {same_key("s", "n")})
     UNION ALL
     SELECT {listed} FROM newest n LEFT ANTI JOIN (
       SELECT {key_list} FROM {snapshot} s LEFT SEMI JOIN newest n ON {same_key("s", "n")}) p
@@ -80,16 +83,18 @@ class ChangeTarget:
         schema: T.StructType,
         keys: Sequence[str],
         sequence: Sequence[str],
-        compact_at_share: float = 0.2,
-        compact_at_batches: int = 100,
+        compact_share: float = 0.2,
+        few_batches: int = 10,
+        many_batches: int = 1000,
     ) -> None:
         self.lake = lake
         self.name = name
         self.schema = schema
         self.keys = list(keys)
         self.sequence = list(sequence)
-        self.compact_at_share = compact_at_share
-        self.compact_at_batches = compact_at_batches
+        self.compact_share = compact_share
+        self.few_batches = few_batches
+        self.many_batches = many_batches
         self.folder = lake.folder(name)
 
     def create(self) -> ChangeTarget:
@@ -105,11 +110,14 @@ class ChangeTarget:
         newest = latest_per_key(batch.select(self.schema.names), self.keys, self.sequence)
         newest.write.mode("overwrite").parquet(self._change(batch_id))
         self._show()
-        if self.compaction_due():
-            self.compact()
+        if len(self.pending()) >= self.few_batches:
+            self.compact_if_due()
 
     def start(self, changes: DataFrame) -> StreamingQuery:
-        """Batch numbers are those of the checkpoint, so the checkpoint lives and dies with the target."""
+        """Starts applying a stream of changes; ``compact_if_due`` is for the end of the run.
+
+        Batch numbers are those of the checkpoint, so the checkpoint lives and dies with the target.
+        """
         return (
             changes.writeStream.trigger(availableNow=True)
             .option("checkpointLocation", f"{self.folder}/_checkpoint")
@@ -128,12 +136,13 @@ class ChangeTarget:
         applied = self.applied()
         return sorted(batch for batch in self._finished("changes", "batch") if batch > applied)
 
-    def compaction_due(self) -> bool:
+    def compact_if_due(self) -> None:
+        """Compacts once the pending batches weigh enough, or are too many to list."""
         pending = self.pending()
-        if len(pending) >= self.compact_at_batches:
-            return True
         waiting = sum(self._bytes(self._change(batch)) for batch in pending)
-        return waiting > self.compact_at_share * self._bytes(self._snapshot(self.applied()))
+        enough = self.compact_share * self._bytes(self._snapshot(self.applied()))
+        if waiting > enough or len(pending) >= self.many_batches:
+            self.compact()
 
     def compact(self) -> int:
         """Folds the pending batches into a new snapshot; returns their number."""

@@ -28,7 +28,7 @@ def target_of(lake, **options):
 @pytest.fixture
 def target(lake):
     """Compaction only where a test asks for it."""
-    return target_of(lake, compact_at_share=1e9).create()
+    return target_of(lake, compact_share=1e9).create()
 
 
 FIRST = [(1, 1, "a"), (2, 1, "b"), (2, 5, "b5"), (None, 1, "n")]
@@ -44,12 +44,12 @@ def test_empty_target_has_its_schema(target):
 @pytest.mark.parametrize(
     "order", [[FIRST, SECOND], [SECOND, FIRST], [FIRST, SECOND, SECOND, FIRST], [FIRST + SECOND]]
 )
-@pytest.mark.parametrize("share", [1e9, 0.0])
-def test_result_does_not_depend_on_how_changes_arrive(spark, lake, order, share):
-    target = target_of(lake, compact_at_share=share).create()
+@pytest.mark.parametrize("few", [1, 10])
+def test_result_does_not_depend_on_how_changes_arrive(spark, lake, order, few):
+    target = target_of(lake, compact_share=0.0, few_batches=few).create()
     for number, rows in enumerate(order):
         target.apply(batch(spark, *rows), number)
-    assert bool(target.pending()) == bool(share)
+    assert len(target.pending()) == (0 if few == 1 else len(order))
     assert as_set(target.current()) == AFTER_BOTH
     target.compact()
     assert target.pending() == []
@@ -106,12 +106,15 @@ def test_prune_keeps_what_the_view_needs(spark, target):
 
 
 def test_compaction_is_due_by_share_or_by_number(spark, lake):
-    by_number = target_of(lake, compact_at_share=1e9, compact_at_batches=3).create()
+    by_number = target_of(lake, compact_share=1e9, few_batches=1, many_batches=3).create()
     pending = []
     for number in range(4):
         by_number.apply(batch(spark, (number, 1, "x")), number)
         pending.append(len(by_number.pending()))
     assert pending == [1, 2, 0, 1]
+    by_number.compact_share = 0.1
+    by_number.compact_if_due()
+    assert by_number.pending() == []
 
 
 def test_stream_equals_batch_over_random_changes(spark, lake, tmp_path):
@@ -120,7 +123,7 @@ def test_stream_equals_batch_over_random_changes(spark, lake, tmp_path):
     landing = tmp_path / "landing"
     for start in range(0, 2000, 500):
         batch(spark, *rows[start : start + 500]).coalesce(1).write.mode("append").parquet(str(landing))
-    target = target_of(lake, compact_at_share=2.0).create()
+    target = target_of(lake, compact_share=2.0, few_batches=2).create()
     stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(landing))
     finish([target.start(stream)])
     assert as_set(target.current()) == as_set(latest_per_key(batch(spark, *rows), ["k"], ["s"]))

@@ -68,3 +68,22 @@ def test_expression(spark, name):
 def test_conversions_leave_ansi_mode_on(spark):
     assert spark.conf.get("spark.sql.ansi.enabled") == "true"
     assert applied(spark, A.money, ["junk"]) == [None]
+
+
+def test_iso_day_is_try_to_date_with_the_pattern(spark):
+    import random
+
+    rng = random.Random(5)
+    odd = """2024-01-05T 0000-01-01 0001-01-01 9999-12-31 12024-01-01 +12024-01-01 +2024-01-01 -2024-01-01
+    2024-13-01 2024-00-10 2024-01-00 1900-02-29 2000-02-29 24-01-05 2024/01/05 20240105""".split()
+    odd += ["2024-01-05\n", "2024-01-05 ", "\t2024-01-05", "٢٠٢٤-01-05", "", "+", "-", "2024-01-05+00:00"]
+    days = [f"{rng.randrange(1, 9999):04}-{rng.randrange(15):02}-{rng.randrange(34):02}" for _ in range(500)]
+    noise = ["".join(rng.choice("0129-+ :T") for _ in range(10)) for _ in range(500)]
+    table = spark.createDataFrame([(text,) for text in odd + days + noise], "value string")
+    both = table.select(
+        "value",
+        A.iso_day(F.col("value")).cast("string").alias("ours"),
+        F.try_to_date("value", "yyyy-MM-dd").cast("string").alias("theirs"),
+    )
+    assert both.filter("ours IS DISTINCT FROM theirs").collect() == []
+    assert both.filter("ours IS NOT NULL").count() > 300
