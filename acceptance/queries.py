@@ -72,9 +72,9 @@ def vehicle_owner_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vehicle_owner_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The join as it runs when the dimension is too large to broadcast."""
+    """The join as it runs when the dimension is too large to broadcast and hot keys are looked for."""
     products, customers = _dimensions(spark, sf_dir)
-    return vehicle_owner(customers, products.hint("merge"))
+    return vehicle_owner(customers, products.hint("merge"), hot_in=customers)
 
 
 def curated_360_query(spark: SparkSession, sf_dir: str, normalize_keys: bool = True) -> DataFrame:
@@ -88,10 +88,11 @@ def curated_360_ids_as_delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def curated_360_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both joins as they run when the dimensions are too large to broadcast."""
+    """Both joins as they run when the dimensions are too large to broadcast and hot keys are looked for."""
     products, customers = _dimensions(spark, sf_dir)
     payments = valid_payments(feed_rows(spark, sf_dir, "payment"))
-    return shown(curated_360(payments, products.hint("merge"), customers.hint("merge")))
+    products, customers = products.hint("merge"), customers.hint("merge")
+    return shown(curated_360(payments, products, customers, hot_in=payments))
 
 
 EVENT_KEY = ("user_id",)

@@ -2,6 +2,17 @@
 
 No broadcast hint is given: Spark broadcasts a dimension whose size, known from statistics or from a
 finished shuffle stage, is below ``spark.sql.autoBroadcastJoinThreshold``, and joins by shuffle beyond it.
+
+A shuffle on the key alone would gather all facts of one key in one task. So the join key is the key and a
+lane:
+
+- facts with a null key match nothing; they get a lane from their spread value and so scatter;
+- facts with a hot key get a lane likewise, and the dimension rows of hot keys stand in every lane;
+- all others are in lane 0, as are the other dimension rows.
+
+Hot keys are looked for where ``hot_in`` is given: one pass over its key columns, in sketches of fixed size.
+Which keys the sketch names affects speed only. What remains is left to the adaptive skew join, which splits
+the left side of a left join.
 """
 
 from __future__ import annotations
@@ -16,41 +27,57 @@ from pyspark.sql import functions as F
 
 from .latest import latest_per_key
 
-NULL_KEY_LANES = 1024
+LANES = 1024
+HOT_KEYS = 100
+SKETCH_ITEMS = 10_000
+SKETCH_GROUPS = 256
 
 
 class KeyPair(NamedTuple):
-    """What is compared on either side."""
+    """What is compared on either side; both of one type."""
 
     fact: Column
     dimension: Column
 
 
+def hot_key_hashes(rows: DataFrame, keys: Sequence[Column]) -> DataFrame:
+    """One row, one array: hashes of the keys that occur most often, at most ``HOT_KEYS`` of them.
+
+    The splits' sketches are merged in groups and only the groups' top keys go on, so no task sees more
+    than a fixed amount, however many splits there are.
+    """
+    any_null = reduce(or_, [key.isNull() for key in keys])
+    hashed = rows.filter(~any_null).select(F.xxhash64(*keys).alias("key_hash"))
+    group_tops = hashed.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS))).agg(
+        F.expr(f"approx_top_k(key_hash, {HOT_KEYS}, {SKETCH_ITEMS})").alias("top")
+    )
+    counted = group_tops.select(F.inline("top")).groupBy("item").agg(F.sum("count").alias("rows"))
+    hottest = counted.orderBy(F.desc("rows"), "item").limit(HOT_KEYS)
+    return hottest.agg(F.collect_list("item").alias("hot"))
+
+
 def left_lookup(
     facts: DataFrame,
     dimension: DataFrame,
     keys: Sequence[KeyPair],
     take: Mapping[str, Column],
     newest_by: Sequence[str] | None = None,
+    spread_by: Column | None = None,
+    hot_in: DataFrame | None = None,
 ) -> DataFrame:
     """Every fact row with the ``take`` columns of each dimension row that has equal keys, else nulls.
 
     Two dimension rows with the same keys give two result rows, unless ``newest_by`` names the columns
-    that decide which one is kept.
-
-    Skew: fact rows with a null key match nothing, but a shuffle on the key alone would gather them all in
-    one task. They get a lane number from a hash of the row, and the lane is part of the join key. Hot keys
-    that do match are split by the adaptive skew join, which applies to a left join's left side.
+    that decide which one is kept. ``spread_by`` tells facts of one key apart, by default a hash of the
+    row. ``hot_in`` is a batch with the facts' key columns: the facts themselves, or for a stream a table
+    of earlier ones.
     """
     names = [f"_key{position}" for position in range(len(keys))]
     no_match = reduce(or_, [pair.fact.isNull() for pair in keys])
-    row_hash = F.xxhash64(*[F.col(f"`{name}`") for name in facts.columns])
-    keyed_facts = facts.withColumns(
-        {
-            **{name: pair.fact for name, pair in zip(names, keys)},
-            "_lane": F.when(no_match, F.pmod(row_hash, F.lit(NULL_KEY_LANES))).otherwise(F.lit(0)),
-        }
-    )
+    if spread_by is None:
+        spread_by = F.xxhash64(*[F.col(f"`{name}`") for name in facts.columns])
+    own_lane = F.pmod(spread_by, F.lit(LANES)).cast("int")
+    lane_0 = F.lit(0)
 
     keyed_dimension = dimension.select(
         *[pair.dimension.alias(name) for name, pair in zip(names, keys)],
@@ -60,9 +87,27 @@ def left_lookup(
     if newest_by:
         order = [f"_by_{name}" for name in newest_by]
         keyed_dimension = latest_per_key(keyed_dimension, names, order).drop(*order)
-    # Always 0, yet no literal: Catalyst would fold a literal into a filter and drop it from the join key.
-    zero_lane = F.pmod(F.xxhash64(*names), F.lit(1))
-    keyed_dimension = keyed_dimension.withColumn("_lane", zero_lane)
+
+    if hot_in is None:
+        fact_lane = F.when(no_match, own_lane).otherwise(lane_0)
+        # Always 0, yet no literal: Catalyst would fold a literal into a filter and out of the join key.
+        dimension_lane = F.pmod(F.hash(*names), F.lit(1))
+    else:
+        fact_keys = [pair.fact for pair in keys]
+        hot = hot_key_hashes(hot_in, fact_keys).scalar()
+        is_hot_fact = F.array_contains(hot, F.xxhash64(*fact_keys))
+        is_hot_dimension = F.array_contains(hot, F.xxhash64(*names))
+        fact_lane = F.when(no_match | is_hot_fact, own_lane).otherwise(lane_0)
+        every_lane = F.sequence(lane_0, F.lit(LANES - 1))
+        dimension_lane = F.explode(F.when(is_hot_dimension, every_lane).otherwise(F.array(lane_0)))
+
+    keyed_facts = facts.withColumns(
+        {**{name: pair.fact for name, pair in zip(names, keys)}, "_lane": fact_lane}
+    )
+    keyed_dimension = keyed_dimension.withColumn("_lane", dimension_lane)
+    for name in names:
+        if keyed_facts.schema[name].dataType != keyed_dimension.schema[name].dataType:
+            raise TypeError("keys of facts and dimension must have the same type")
 
     joined = keyed_facts.join(keyed_dimension, [*names, "_lane"], "left")
     return joined.drop(*names, "_lane")

@@ -73,7 +73,8 @@ def apply_payment_changes(lake: Lake, files_per_batch: int | None = None) -> Non
 
 
 def build_vehicle_owner(lake: Lake) -> None:
-    owners = vehicle_owner(lake.read("customer_enriched"), lake.read("product_enriched"))
+    customers = lake.read("customer_enriched")
+    owners = vehicle_owner(customers, lake.read("product_enriched"), hot_in=customers)
     lake.save("vehicle_owner", owners)
 
 
@@ -81,15 +82,19 @@ def extend_curated_360(
     lake: Lake,
     files_per_batch: int | None = None,
     partitioned_by: tuple[str, ...] = ("dealer_id",),
+    hot_in: DataFrame | None = None,
 ) -> None:
     """New valid payments, with the products and customers known now, into the 360 table.
 
     A payment is looked up once, when it arrives. ``curated_360`` over the whole tables is the backfill.
+    Hot keys of a stream are left to the adaptive skew join unless ``hot_in`` gives a batch of payments,
+    such as those of the last days, to look for them in.
     """
     rows = curated_360(
         lake.stream("payment_enriched", files_per_batch),
         lake.read("product_enriched"),
         lake.read("customer_enriched"),
+        hot_in=hot_in,
     )
     table = "curated_360_gold"
     finish([into_table(lake, table, rebalanced(rows, *partitioned_by), partitioned_by)])

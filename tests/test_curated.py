@@ -8,8 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from autoledger.operators import KeyPair, left_lookup
+from autoledger.operators.lookup import HOT_KEYS, hot_key_hashes
 from autoledger.plans import curated_360, rebalanced, vehicle_owner
 from autoledger.plans.curated import OWNER_FROM_CUSTOMER, VIEW_360_COLUMNS
+from autoledger.streaming import Sink, finish, into_sink
 
 from .conftest import as_set, plan_of
 
@@ -27,15 +29,17 @@ def brute_force(facts, dimension):
     return sorted(rows, key=repr)
 
 
+@pytest.mark.parametrize("look_for_hot_keys", [False, True])
 @pytest.mark.parametrize("strategy", [None, "merge", "shuffle_hash", "broadcast"])
-def test_lookup_equals_brute_force(spark, strategy):
+def test_lookup_equals_brute_force(spark, strategy, look_for_hot_keys):
     rng = random.Random(3)
     keys = [None, *[f"k{number}" for number in range(30)]]
     facts = [(position, rng.choice(keys)) for position in range(500)]
     dimension = [(rng.choice(keys[:20]), position) for position in range(25)]
     right = spark.createDataFrame(dimension, "k string, v int")
     right = right.hint(strategy) if strategy else right
-    result = lookup(spark.createDataFrame(facts, "p int, k string"), right)
+    left = spark.createDataFrame(facts, "p int, k string")
+    result = lookup(left, right, hot_in=left if look_for_hot_keys else None)
     assert result.columns == ["p", "k", "v"]
     assert as_set(result) == brute_force(facts, dimension)
 
@@ -59,6 +63,46 @@ def test_null_keys_are_spread_over_tasks(spark, settings):
     assert result.filter("v IS NULL").count() == 10_000
 
 
+def test_hot_key_is_spread_over_tasks(spark, settings):
+    """A third of the facts has one key: beside a shuffle on the key alone, where one task gets them all."""
+    settings(spark__sql__shuffle__partitions="16", spark__sql__adaptive__enabled="false")
+    facts = spark.range(60_000).selectExpr("id AS p", "IF(id % 3 = 0, 'hot', concat('k', id)) AS k")
+    dimension = spark.range(60_000).selectExpr("IF(id = 0, 'hot', concat('k', id)) AS k", "id AS v")
+
+    def largest(rows):
+        return max(row["count"] for row in rows.groupBy(F.spark_partition_id()).count().collect())
+
+    assert largest(lookup(facts, dimension.hint("merge"))) > 20_000
+    spread = lookup(facts, dimension.hint("merge"), hot_in=facts)
+    assert largest(spread) < 2 * 60_000 / 16
+    assert tuple(spread.agg(F.count("*"), F.count("v")).first()) == (60_000, 60_000)
+
+
+def test_hot_keys_are_found_and_bounded(spark):
+    rows = spark.range(100_000).selectExpr("IF(id % 3 = 0, 'hot', IF(id % 3 = 1, NULL, concat('k', id))) AS k")
+    found = hot_key_hashes(rows, [F.col("k")]).first().hot
+    assert len(found) <= HOT_KEYS
+    assert spark.range(1).select(F.xxhash64(F.lit("hot"))).first()[0] in found
+    assert hot_key_hashes(rows.filter("k IS NULL"), [F.col("k")]).first().hot == []
+
+
+def test_keys_of_different_types_are_refused(spark):
+    with pytest.raises(TypeError):
+        lookup(spark.range(1).selectExpr("id AS k"), spark.range(1).selectExpr("'1' AS k", "id AS v"))
+
+
+def test_stream_takes_hot_keys_from_earlier_facts(spark, settings, tmp_path):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    hot_facts(spark, str(tmp_path / "facts"))
+    dimension = spark.range(60_000).selectExpr("IF(id = 0, 'hot', concat('k', id)) AS k", "id AS v")
+    stream = spark.readStream.schema("p bigint, k string").parquet(str(tmp_path / "facts"))
+    rows = lookup(stream, dimension, hot_in=spark.read.parquet(str(tmp_path / "facts")))
+    sink = Sink("out", "parquet", {"path": str(tmp_path / "out")})
+    finish([into_sink(rows, sink, str(tmp_path / "checkpoint"))])
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert tuple(out.agg(F.count("*"), F.count("v"), F.countDistinct("p")).first()) == (60_000,) * 3
+
+
 SKEW = {
     "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "20KB",
     "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "1.5",
@@ -132,7 +176,9 @@ CUSTOMER = (
     " account_status string, credit_score string, purchase_date string, payment_method string,"
     " currency string, country_code string, serial_number string, silver_ingest_timestamp timestamp"
 )
-PAYMENT = "customer_id string, vin string, dealer_id string, payment_date string"
+PAYMENT = (
+    "transaction_id string, customer_id string, vin string, dealer_id string, payment_date string"
+)
 
 
 def frame(spark, schema, *rows):

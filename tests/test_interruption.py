@@ -30,9 +30,8 @@ def start(root: Path, *arguments: str) -> subprocess.Popen:
     submit = " ".join([*[f"--conf {setting}" for setting in settings], "pyspark-shell"])
     environment = {**os.environ, "PYSPARK_SUBMIT_ARGS": submit}
     # A group of its own, so that the Java process can be killed with it.
-    return subprocess.Popen(
-        command, cwd=REPO, env=environment, start_new_session=True, stderr=subprocess.PIPE
-    )
+    with open(root / "log.txt", "a") as log:
+        return subprocess.Popen(command, cwd=REPO, env=environment, start_new_session=True, stderr=log)
 
 
 @pytest.mark.parametrize(
@@ -47,11 +46,8 @@ def test_killed_refresh_is_completed_by_the_next(spark, tmp_path, sign):
         time.sleep(0.02)
     assert victim.poll() is None, "the run ended before it could be killed"
     os.killpg(victim.pid, signal.SIGKILL)
-    victim.communicate()
-
-    second = start(tmp_path)
-    _, errors = second.communicate(timeout=240)
-    assert second.returncode == 0, errors.decode()[-2000:]
+    victim.wait()
+    assert start(tmp_path).wait(timeout=240) == 0, (tmp_path / "log.txt").read_text()[-2000:]
 
     payments = valid_payments(feed_rows(spark, SMALL, "payment"))
     products = valid_products(feed_rows(spark, SMALL, "product"))
