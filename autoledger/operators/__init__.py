@@ -1,6 +1,6 @@
 from .customers import clean_customers
 from .latest import latest_per_key
-from .lookup import KeyPair, left_lookup
+from .lookup import KeyPair, fits_broadcast, left_lookup
 from .payments import clean_payments, payment_rules, rejected_payments, valid_payments
 from .products import clean_products, product_rules, rejected_products, valid_products
 from .quality import Rule, failing, passing
@@ -12,6 +12,7 @@ __all__ = [
     "clean_payments",
     "clean_products",
     "failing",
+    "fits_broadcast",
     "latest_per_key",
     "left_lookup",
     "passing",

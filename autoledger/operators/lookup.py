@@ -40,6 +40,13 @@ class KeyPair(NamedTuple):
     dimension: Column
 
 
+def fits_broadcast(rows: DataFrame) -> bool:
+    """Whether Spark, by its own estimate and threshold, would send ``rows`` to every executor."""
+    estimate = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    threshold = rows.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return estimate <= threshold
+
+
 def hot_key_hashes(rows: DataFrame, keys: Sequence[Column]) -> DataFrame:
     """One row, one array: hashes of the keys that occur most often, at most ``HOT_KEYS`` of them.
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from ..catalog import Lake
 from ..operators import (
     clean_customers,
+    fits_broadcast,
     rejected_payments,
     rejected_products,
     valid_payments,
@@ -73,9 +74,10 @@ def apply_payment_changes(lake: Lake, files_per_batch: int | None = None) -> Non
 
 
 def build_vehicle_owner(lake: Lake) -> None:
-    customers = lake.read("customer_enriched")
-    owners = vehicle_owner(customers, lake.read("product_enriched"), hot_in=customers)
-    lake.save("vehicle_owner", owners)
+    """The owner table anew. Hot VINs matter only once the products are too many to broadcast."""
+    customers, products = lake.read("customer_enriched"), lake.read("product_enriched")
+    hot_in = None if fits_broadcast(products) else customers
+    lake.save("vehicle_owner", vehicle_owner(customers, products, hot_in=hot_in))
 
 
 def extend_curated_360(

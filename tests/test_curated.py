@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from autoledger.operators import KeyPair, left_lookup
-from autoledger.operators.lookup import HOT_KEYS, hot_key_hashes
+from autoledger.operators.lookup import HOT_KEYS, fits_broadcast, hot_key_hashes
 from autoledger.plans import curated_360, rebalanced, vehicle_owner
 from autoledger.plans.curated import OWNER_FROM_CUSTOMER, VIEW_360_COLUMNS
 from autoledger.streaming import Sink, finish, into_sink
@@ -86,6 +86,16 @@ def test_hot_keys_are_found_and_bounded(spark):
     assert hot_key_hashes(rows.filter("k IS NULL"), [F.col("k")]).first().hot == []
 
 
+def test_fits_broadcast_follows_the_threshold(spark, settings, tmp_path):
+    spark.range(10_000).write.parquet(str(tmp_path / "d"))
+    rows = spark.read.parquet(str(tmp_path / "d"))
+    assert fits_broadcast(rows)
+    settings(spark__sql__autoBroadcastJoinThreshold="1KB")
+    assert not fits_broadcast(rows)
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    assert not fits_broadcast(rows)
+
+
 def test_keys_of_different_types_are_refused(spark):
     with pytest.raises(TypeError):
         lookup(spark.range(1).selectExpr("id AS k"), spark.range(1).selectExpr("'1' AS k", "id AS v"))

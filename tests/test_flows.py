@@ -78,6 +78,14 @@ def test_gold_tables_equal_their_builders_on_batches(refreshed):
     assert as_set(shown(flows.curated_360_of_current(lake)), *columns) == as_set(view)
 
 
+def test_owner_table_without_broadcast(refreshed, settings):
+    lake, _, _ = refreshed
+    before = as_set(lake.read("vehicle_owner"))
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    flows.build_vehicle_owner(lake)
+    assert as_set(lake.read("vehicle_owner")) == before
+
+
 def test_payment_streaming_holds_each_transaction_once(refreshed):
     lake, _, _ = refreshed
     current = lake.read("payment_streaming")
