@@ -24,6 +24,7 @@ class Dataset:
         return {"quality": self.layer, "layer": self.layer}
 
 
+# The names by which the tables are known.
 _ALL = (
     Dataset("bronze", "product_bronze", "Product feed as delivered"),
     Dataset("bronze", "customer_bronze", "Customer feed as delivered"),

@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import country_code, serial_number, without_hyphens
 from .quality import Rule, failing, passing
 
-VIN_LENGTH = 17
-
 # Texts and widths that results must agree on.
+VIN_LENGTH = 17
 VIN_MISSING = "VIN is null"
 VIN_WRONG_LENGTH = "VIN length is not 17 digits"
 UNKNOWN = "Unknown"

@@ -29,42 +29,56 @@ from ..operators import latest_per_key
 NOTHING_APPLIED = -1
 
 
+def _version(table: str, columns: Sequence[str], sequence: Sequence[str]) -> list[str]:
+    """What orders versions of a key, as in ``latest_per_key``: the sequence, then a hash of the row."""
+    row_hash = f"xxhash64({', '.join(f'{table}.`{name}`' for name in columns)})"
+    return [*[f"{table}.`{name}`" for name in sequence], row_hash]
+
+
+def newest_sql(
+    columns: Sequence[str], keys: Sequence[str], sequence: Sequence[str], changes: str
+) -> str:
+    """SQL for the newest row per key of ``changes``."""
+    listed = ", ".join(f"`{name}`" for name in columns)
+    newest_first = ", ".join(f"{part} DESC" for part in _version("c", columns, sequence))
+    key_list = ", ".join(f"`{key}`" for key in keys)
+    return f"""
+    SELECT {listed} FROM (
+      SELECT c.*, row_number() OVER (PARTITION BY {key_list} ORDER BY {newest_first}) AS place
+      FROM {changes} c)
+    WHERE place = 1
+    """
+
+
 def merged_sql(
     columns: Sequence[str], keys: Sequence[str], sequence: Sequence[str], snapshot: str, changes: str
 ) -> str:
     """SQL for ``snapshot``, which has a key once, with any number of ``changes`` applied.
 
-    Late changes lose against a newer snapshot row; what ties in the sequence is decided by a hash of the
-    row, as in ``latest_per_key``. Nulls in keys are values like any other. Both sides of each join hold a
-    key once, so no join can be skewed, and while the changes are small enough for Spark to broadcast them
-    the snapshot is scanned and never shuffled. New keys are found by a key-only scan whose result is no
-    larger than the changes.
+    Late changes lose against a newer snapshot row. Nulls in keys are values like any other. Both sides of
+    each join hold a key once, so no join can be skewed, and while the changes are small enough for Spark
+    to broadcast them the snapshot is scanned and never shuffled. New keys are found by a key-only scan
+    whose result is no larger than the changes.
     """
 
-    def version(table: str) -> list[str]:
-        row_hash = f"xxhash64({', '.join(f'{table}.`{name}`' for name in columns)})"
-        return [*[f"{table}.`{name}`" for name in sequence], row_hash]
-
     def as_struct(parts: list[str]) -> str:
         return f"struct({', '.join(parts)})"
 
+    def row_of(table: str) -> str:
+        return as_struct([f"{table}.`{name}`" for name in columns]) + f" AS {table}"
+
     def same_key(left: str, right: str) -> str:
         return " AND ".join(f"{left}.`{key}` <=> {right}.`{key}`" for key in keys)
 
     listed = ", ".join(f"`{name}`" for name in columns)
     key_list = ", ".join(f"`{key}`" for key in keys)
-    newest_first = ", ".join(f"{part} DESC" for part in version("c"))
-    newer = f"n.is_change AND {as_struct(version('n'))} > {as_struct(version('s'))}"
-    chosen = ", ".join(f"IF(newer, n.`{name}`, s.`{name}`) AS `{name}`" for name in columns)
-    paired = ", ".join(f"struct({', '.join(f'{t}.`{name}`' for name in columns)}) AS {t}" for t in "sn")
+    versions = [as_struct(_version(table, columns, sequence)) for table in ("n", "s")]
+    chosen = ", ".join(f"IF(is_newer, n.`{name}`, s.`{name}`) AS `{name}`" for name in columns)
     return f"""
     WITH newest AS (
-      SELECT {listed}, TRUE AS is_change FROM (
-        SELECT c.*, row_number() OVER (PARTITION BY {key_list} ORDER BY {newest_first}) AS place
-        FROM {changes} c)
-      WHERE place = 1)
+      SELECT *, TRUE AS is_change FROM ({newest_sql(columns, keys, sequence, changes)}))
     SELECT {chosen} FROM (
-      SELECT {paired}, {newer} AS newer
+      SELECT {row_of("s")}, {row_of("n")}, n.is_change AND {versions[0]} > {versions[1]} AS is_newer
       FROM {snapshot} s LEFT JOIN newest n ON {same_key("s", "n")})
     UNION ALL
     SELECT {listed} FROM newest n LEFT ANTI JOIN (
@@ -96,6 +110,7 @@ class ChangeTarget:
         self.few_batches = few_batches
         self.many_batches = many_batches
         self.folder = lake.folder(name)
+        self._sizes: dict[str, int] = {}
 
     def create(self) -> ChangeTarget:
         """The empty target, or a view on what an earlier run has written."""
@@ -167,14 +182,19 @@ class ChangeTarget:
 
     def _show(self) -> None:
         """Replaces the view, in one catalog operation, by one on what is finished now."""
-        pending = self.pending()
-        snapshot = f"parquet.`{self._snapshot(self.applied())}`"
-        query = f"SELECT * FROM {snapshot}"
-        if pending:
-            batches = ",".join(str(batch) for batch in pending)
-            changes = f"parquet.`{self._change('{' + batches + '}')}`"
-            names = self.schema.names
-            query = merged_sql(names, self.keys, self.sequence, snapshot, changes)
+        applied, pending = self.applied(), self.pending()
+        snapshot = f"parquet.`{self._snapshot(applied)}`"
+        batches = ",".join(str(batch) for batch in pending)
+        changes = f"parquet.`{self._change('{' + batches + '}')}`"
+        terms = (self.schema.names, self.keys, self.sequence)
+        if not pending:
+            query = f"SELECT * FROM {snapshot}"
+        elif applied != NOTHING_APPLIED:
+            query = merged_sql(*terms, snapshot, changes)
+        elif len(pending) > 1:
+            query = newest_sql(*terms, changes)
+        else:  # the first load: one row per key already, and nothing to apply it to
+            query = f"SELECT * FROM {changes}"
         self.lake.show(self.name, query)
 
     def _snapshot(self, batch_id: int) -> str:
@@ -197,7 +217,11 @@ class ChangeTarget:
         return [int(mark.getPath().getParent().getName().split("=")[1]) for mark in marks]
 
     def _bytes(self, folder: str) -> int:
-        return self._file_system().getContentSummary(self._path(folder)).getLength()
+        """Size of a finished folder; listed once, as it does not change."""
+        if folder not in self._sizes:
+            summary = self._file_system().getContentSummary(self._path(folder))
+            self._sizes[folder] = summary.getLength()
+        return self._sizes[folder]
 
     def _delete(self, folder: str) -> None:
         self._file_system().delete(self._path(folder), True)

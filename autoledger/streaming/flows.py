@@ -30,7 +30,7 @@ def into_table(
     """Starts the flow that fills table ``name``; the table is declared first."""
     partitions = DATASETS[name].partitioned_by if partitioned_by is None else partitioned_by
     table = lake.declare(name, rows.schema, partitioned_by=partitions)
-    writer = _writer(rows, lake.checkpoint(name)).format(lake.table_format)
+    writer = _writer(rows, lake.checkpoint(name)).queryName(table).format(lake.table_format)
     if partitions:
         writer = writer.partitionBy(*partitions)
     return writer.toTable(table)

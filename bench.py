@@ -25,6 +25,14 @@ def is_stream(name: str) -> bool:
     return "stream" in name or "malformed" in name or "bronze" in name or name.endswith(("_export", "_table"))
 
 
+def scale_factor() -> float | str:
+    name = Path(SF_DIR).name.removeprefix("sf")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def main() -> None:
     spark = session(
         "bench",
@@ -53,7 +61,7 @@ def main() -> None:
                 "value": round(sum(timings.values()), 3),
                 "unit": "sec",
                 "queries": timings,
-                "sf": Path(SF_DIR).name.removeprefix("sf"),
+                "sf": scale_factor(),
             }
         )
     )
