@@ -233,5 +233,6 @@ def oracle_sql() -> dict[str, str]:
         "curated_360": view_360,
         "curated_360_shuffled": view_360,
         "curated_360_ids_as_delivered": curated_360(normalize_keys=False),
+        "curated_360_of_current": view_360,
         "curated_360_stream": view_360,
     }

@@ -191,24 +191,35 @@ def payment_scd1_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(lake.read("payment_streaming"), FEEDS["payment"].capture, *LINEAGE)
 
 
-def payment_scd1_corrected_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A first delivery of all payments, then a second one that corrects those of open orders."""
-    lake = ingested(spark, sf_dir, "payment")
-    flows.clean(lake, "payment_enriched")
+def corrected(spark: SparkSession, sf_dir: str, *dimensions: str) -> Lake:
+    """A lake after a first delivery of all payments and a second one that corrects those of open orders."""
+    lake = ingested(spark, sf_dir, "payment", *dimensions)
+    flows.clean(lake, "payment_enriched", *[f"{feed}_enriched" for feed in dimensions])
     flows.apply_payment_changes(lake)
 
     orders = feed_rows(spark, sf_dir, "payment", keep=("o_orderstatus",)).filter("o_orderstatus = 'O'")
-    corrected = orders.withColumn("amount_paid", F.concat(F.lit("1"), "amount_paid"))
+    again = orders.withColumn("amount_paid", F.concat(F.lit("1"), "amount_paid"))
     fields = [F.coalesce(name, F.lit("")) for name in FEEDS["payment"].fields]
     line = F.concat_ws("\t", *fields).alias("value")
-    corrected.select(line).write.text(landing(lake, "payment", 2))
+    again.select(line).write.text(landing(lake, "payment", 2))
 
     flows.ingest(lake, {"payment": landing(lake, "payment", "*")})
     flows.clean(lake, "payment_enriched")
     flows.apply_payment_changes(lake)
+    return lake
+
+
+def payment_scd1_corrected_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake = corrected(spark, sf_dir)
     return shown(lake.read("payment_streaming"), FEEDS["payment"].capture, *LINEAGE)
 
 
+def curated_360_of_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per transaction, although corrected ones are there in two versions."""
+    lake = corrected(spark, sf_dir, "product", "customer")
+    return shown(flows.curated_360_of_current(lake))
+
+
 def curated_360_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = ingested(spark, sf_dir, "product", "customer", "payment")
     flows.clean(lake, "product_enriched", "customer_enriched", "payment_enriched")
@@ -263,5 +274,6 @@ def queries() -> dict[str, Query]:
         "curated_360": curated_360_query,
         "curated_360_shuffled": curated_360_shuffled,
         "curated_360_ids_as_delivered": curated_360_ids_as_delivered,
+        "curated_360_of_current": curated_360_of_current,
         "curated_360_stream": curated_360_stream,
     }
