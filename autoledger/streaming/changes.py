@@ -11,8 +11,8 @@ spread. Once the pending batches weigh a given share of the snapshot they are fo
 time each row is rewritten a bounded number of times.
 
 A folder counts once Spark has put its ``_SUCCESS`` mark there: a write cut short is ignored and done again,
-and readers keep the snapshot they started on. A micro-batch repeated after a restart replaces its own folder
-with the same rows.
+and readers keep the snapshot they started on while it is one of the newest. A micro-batch repeated after a
+restart replaces its own folder with the same rows.
 """
 
 from __future__ import annotations
@@ -100,6 +100,7 @@ class ChangeTarget:
         compact_share: float = 0.2,
         few_batches: int = 10,
         many_batches: int = 1000,
+        keep_snapshots: int = 2,
     ) -> None:
         self.lake = lake
         self.name = name
@@ -109,6 +110,7 @@ class ChangeTarget:
         self.compact_share = compact_share
         self.few_batches = few_batches
         self.many_batches = many_batches
+        self.keep_snapshots = keep_snapshots
         self.folder = lake.folder(name)
         self._sizes: dict[str, int] = {}
 
@@ -165,20 +167,18 @@ class ChangeTarget:
         if pending:
             self.current().write.mode("overwrite").parquet(self._snapshot(pending[-1]))
             self._show()
+            self.prune()
         return len(pending)
 
-    def prune(self, keep: int = 2) -> None:
-        """Deletes applied batches and all but the newest ``keep`` snapshots.
-
-        Call it when no reader still uses an older snapshot.
-        """
-        snapshots = sorted(self._finished("snapshots", "upto"))
-        for old in snapshots[: -max(keep, 1)]:
-            self._delete(self._snapshot(old))
-        applied = self.applied()
-        for batch in self._finished("changes", "batch"):
-            if batch <= applied:
-                self._delete(self._change(batch))
+    def prune(self) -> None:
+        """Deletes what only readers of an older snapshot than the newest ``keep_snapshots`` could need."""
+        oldest_kept = sorted(self._finished("snapshots", "upto"))[-self.keep_snapshots :][0]
+        for number in self._numbers("snapshots/upto=*"):
+            if number < oldest_kept:
+                self._delete(self._snapshot(number))
+        for number in self._numbers("changes/batch=*"):
+            if number <= oldest_kept:
+                self._delete(self._change(number))
 
     def _show(self) -> None:
         """Replaces the view, in one catalog operation, by one on what is finished now."""
@@ -211,10 +211,14 @@ class ChangeTarget:
         return self._path(self.folder).getFileSystem(configuration)
 
     def _finished(self, kind: str, label: str) -> list[int]:
-        """Numbers of the finished folders of one kind; few, as ``compact`` and ``prune`` see to it."""
-        pattern = self._path(f"{self.folder}/{kind}/{label}=*/_SUCCESS")
-        marks = self._file_system().globStatus(pattern) or []
-        return [int(mark.getPath().getParent().getName().split("=")[1]) for mark in marks]
+        """Numbers of the finished folders of one kind; ``compact`` keeps them few."""
+        return self._numbers(f"{kind}/{label}=*/_SUCCESS")
+
+    def _numbers(self, pattern: str) -> list[int]:
+        found = self._file_system().globStatus(self._path(f"{self.folder}/{pattern}")) or []
+        paths = [status.getPath() for status in found]
+        folders = [path.getParent() if path.getName() == "_SUCCESS" else path for path in paths]
+        return [int(folder.getName().split("=")[1]) for folder in folders]
 
     def _bytes(self, folder: str) -> int:
         """Size of a finished folder; listed once, as it does not change."""

@@ -22,7 +22,8 @@ STREAM_RUNS = 1
 
 def is_stream(name: str) -> bool:
     """These write feed files and run flows; they take seconds, and one timed run is steady enough."""
-    return "stream" in name or "malformed" in name or "bronze" in name or name.endswith(("_export", "_table", "_current"))
+    parts = ("stream", "malformed", "bronze", "_export", "_table", "_of_current")
+    return any(part in name for part in parts)
 
 
 def scale_factor() -> float | str:

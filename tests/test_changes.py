@@ -92,16 +92,27 @@ def test_next_session_finds_what_is_there(spark, lake, target):
     assert as_set(target_of(lake).create().current()) == AFTER_BOTH
 
 
-def test_prune_keeps_what_the_view_needs(spark, target):
+def names_in(target, kind):
+    return sorted(path.name for path in (Path(target.folder) / kind).iterdir())
+
+
+def test_compaction_keeps_what_readers_of_the_last_two_snapshots_need(spark, target):
     for number in range(4):
         target.apply(batch(spark, (number, 1, "x"), (0, number, "y")), number)
+        if number == 2:
+            reader = target.current()
+            expected = as_set(reader)
         if number < 3:
             target.compact()
+    assert as_set(reader) == expected
+    assert names_in(target, "snapshots") == ["upto=1", "upto=2"]
+    assert names_in(target, "changes") == ["batch=2", "batch=3"]
+    target.keep_snapshots = 1
+    # Left behind by a compaction that was cut short.
+    (Path(target.folder) / "snapshots" / "upto=0").mkdir()
     expected = as_set(target.current())
-    target.prune(keep=1)
-    snapshots = [path.name for path in (Path(target.folder) / "snapshots").iterdir()]
-    changes = [path.name for path in (Path(target.folder) / "changes").iterdir()]
-    assert (snapshots, changes) == (["upto=2"], ["batch=3"])
+    target.prune()
+    assert (names_in(target, "snapshots"), names_in(target, "changes")) == (["upto=2"], ["batch=3"])
     assert as_set(target.current()) == expected
 
 
