@@ -1,7 +1,8 @@
 """For each acceptance query the SQL that DuckDB runs on the same test tables.
 
 The feeds' field expressions are shared with the Spark side; everything after them is written again here.
-Days and amounts are compared as text, because engines hand them to Python in different types.
+Days, amounts and nullable numbers are compared as text, because engines hand them to Python in different
+types.
 """
 
 from __future__ import annotations
@@ -134,13 +135,14 @@ def payment_silver(condition: str, more: str = "", source: str | None = None) ->
     as_text = """
     amount_paid total_cost parts_cost labour_cost service_charge outstanding_balance
     payment_date service_date due_date service_due_date last_payment_date
+    days_overdue mileage_at_service
     """.split()
     shown = select_list(PAYMENT_COLUMNS, {column: f"CAST({column} AS VARCHAR)" for column in as_text})
     return (
-        f"SELECT {shown}, CASE WHEN days_overdue > 0 THEN 'Y' ELSE 'N' END AS is_overdue,"
+        f"SELECT {shown}, CASE WHEN typed.days_overdue > 0 THEN 'Y' ELSE 'N' END AS is_overdue,"
         " CASE WHEN payment_method IN ('CARD', 'CASH', 'FINANCE', 'LEASE') THEN payment_method"
         f" ELSE 'OTHER' END AS payment_category{more}"
-        f" FROM ({typed_payments(source or feed('payment'))}) WHERE {condition}"
+        f" FROM ({typed_payments(source or feed('payment'))}) AS typed WHERE {condition}"
     )
 
 

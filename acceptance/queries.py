@@ -2,7 +2,7 @@
 
 Batch queries run the builders on the derived feeds. Stream queries write the feed as text files into a
 fresh lake, run the flows to their end and read the resulting table. Ingest and rejection times differ from
-run to run and are left out; days and amounts are shown as text, the form that is compared.
+run to run and are left out; days, amounts and nullable numbers are shown as text, the form that is compared.
 """
 
 from __future__ import annotations
@@ -38,13 +38,13 @@ LINEAGE = ("file_name", "file_modification_time")
 
 
 def shown(rows: DataFrame, *left_out: str) -> DataFrame:
-    """Columns in comparable form: no ingest times, days and amounts as text."""
+    """Columns in comparable form: no ingest times; days, amounts and nullable numbers as text."""
     columns = []
     for field in rows.schema.fields:
         if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)) or field.name in left_out:
             continue
         value = F.col(field.name)
-        if isinstance(field.dataType, (T.DateType, T.DecimalType)):
+        if isinstance(field.dataType, (T.DateType, T.DecimalType, T.IntegerType)):
             value = value.cast("string")
         columns.append(value.alias(field.name))
     return rows.select(*columns)
