@@ -17,12 +17,12 @@ columns are not read. Long texts are taken in bounded batches.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,12 +30,17 @@ from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
 from .common import by_slice, mapped, schema_of, texts_of
-from .word_tokens import MOST_WORDS, UNSAFE
+from .word_tokens import CONTRACTIONS, LETTERS, MOST_WORDS, NUMBERS, UNSAFE
 
-# Fixed value: how the byte-level vocabulary splits a text.
-SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# White space as the pattern's engine knows it.
-SPACES = r"\t\n\x0b\x0c\r \x85\xa0  -     　"
+# Fixed value: how the byte-level vocabulary splits a text of Latin-1 characters. Letters, numbers and marks take
+# one space before them along; of white space before them, all but the last character is a word.
+SPLIT_PATTERN = (
+    rf" ?[{LETTERS}]+| ?[{NUMBERS}]+|{CONTRACTIONS}| ?[^\s{LETTERS}{NUMBERS}]+|\s+(?!\S)|\s+"
+)
+# White space as the library's pattern knows it.
+SPACES = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# Letters after which the states of a word's prefixes are kept for others.
+HEAD = 7
 
 
 def byte_letters() -> list[str]:
@@ -47,6 +52,17 @@ def byte_letters() -> list[str]:
     return [letters[value] for value in range(256)]
 
 
+class KnownWords(dict[str, bytes]):
+    """Counts by word, found out where they are first asked for."""
+
+    def __init__(self, find: Callable[[str], bytes]) -> None:
+        self.find = find
+
+    def __missing__(self, word: str) -> bytes:
+        self[word] = counts = self.find(word)
+        return counts
+
+
 class PrefixCounter:
     """Counts of all prefixes of a text under one vocabulary file."""
 
@@ -55,78 +71,80 @@ class PrefixCounter:
         self.model = self.tokenizer.model
         self.letters = byte_letters()
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-        # Tokens the merges can really make, by the letters of their text.
         self.tokens = vocabulary
-        self.longest = max(map(len, vocabulary))
-        self.pattern = regex.compile(SPLIT_PATTERN)
-        self.space_run = regex.compile(f"[{SPACES}]{{2,}}")
+        self.stems = {token[:end] for token in vocabulary for end in range(1, len(token) + 1)}
+        self.pattern = re.compile(SPLIT_PATTERN)
+        self.space_run = re.compile(f"[{SPACES}]{{2,}}")
         self.specials = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special_pattern = regex.compile("|".join(regex.escape(text) for text in self.specials))
+        self.special_pattern = re.compile("|".join(re.escape(text) for text in self.specials))
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.words: dict[str, bytes] = {}
+        self.heads: dict[str, tuple[tuple[str, ...], tuple[int, ...]]] = {}
+        self.words = KnownWords(self.spelled_counts)
         self.split = ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=True)
 
     def fit_together(self, left: str, right: str) -> bool:
         """Whether the encoding of the joined text is these two tokens; with ``left`` empty, this one."""
-        key = (left, right)
-        known = self.pairs.get(key)
-        if known is None:
-            wanted = [left, right] if left else [right]
-            known = [token.value for token in self.model.tokenize(left + right)] == wanted
-            self.pairs[key] = known
-        return known
+        wanted = [left, right] if left else [right]
+        fits = [token.value for token in self.model.tokenize(left + right)] == wanted
+        self.pairs[left, right] = fits
+        return fits
 
     def word_counts(self, word: str) -> np.ndarray:
         """The counts of the prefixes of one word, one per character."""
         spelled = "".join([self.letters[byte] for byte in word.encode()])
         size = len(spelled)
-        last, count = [""] * (size + 1), [0] * (size + 1)
-        tokens, longest, fit_together = self.tokens, self.longest, self.fit_together
-        for end in range(1, size + 1):
-            for start in range(max(0, end - longest), end):
+        # Words that begin alike share the states of their first prefixes.
+        head = self.heads.get(spelled[:HEAD])
+        last, count = (list(head[0]), list(head[1])) if head else ([""], [0])
+        tokens, stems, known_pair = self.tokens, self.stems, self.pairs.get
+        low = 0
+        for end in range(len(last), size + 1):
+            # No token that begins before this place goes on to here, nor will one that goes on beyond.
+            while spelled[low:end] not in stems:
+                low += 1
+            for start in range(low, end):
                 token = spelled[start:end]
-                if token in tokens and fit_together(last[start], token):
-                    last[end], count[end] = token, count[start] + 1
-                    break
+                if token in tokens:
+                    fits = known_pair((last[start], token))
+                    if fits is None:
+                        fits = self.fit_together(last[start], token)
+                    if fits:
+                        last.append(token)
+                        count.append(count[start] + 1)
+                        break
+            if end == HEAD:
+                self.heads[spelled[:HEAD]] = (tuple(last), tuple(count))
         if size == len(word):
             return np.array(count[1:], dtype="<i4")
         ends = np.cumsum([len(letter.encode()) for letter in word])
         return np.array(count, dtype="<i4")[ends]
 
-    def known_word(self, word: str) -> bytes:
-        counts = self.words.get(word)
-        if counts is None:
-            if len(word) > 1 and word[0] == "'" and word[1].isalpha():
-                # A contraction cut short is an apostrophe and letters: two words.
-                short = [self.word_counts(part) for part in ("'", word[1:])]
-                cut = np.concatenate([short[0], short[0][-1] + short[1]])
-                cut[-1] = self.word_counts(word)[-1]
-                counts = cut.astype("<i4").tobytes()
-            else:
-                counts = self.word_counts(word).tobytes()
-            self.words[word] = counts
-        return counts
+    def spelled_counts(self, word: str) -> bytes:
+        if len(word) > 1 and word[0] == "'" and word[1].isalpha():
+            # A contraction cut short is an apostrophe and letters: two words.
+            short = [self.word_counts(part) for part in ("'", word[1:])]
+            cut = np.concatenate([short[0], short[0][-1] + short[1]])
+            cut[-1] = self.word_counts(word)[-1]
+            return cut.astype("<i4").tobytes()
+        return self.word_counts(word).tobytes()
 
     def ordinary(self, text: str) -> np.ndarray:
         """Counts of the prefixes of 1, 2, ... characters of a text without special tokens."""
         if not text:
-            return np.zeros(0, dtype=np.int64)
+            return np.zeros(0, dtype=np.int32)
         if UNSAFE.search(text) is None:
             words = self.pattern.findall(text)
         else:
             words = [text[start:end] for _, (start, end) in self.split.pre_tokenize_str(text)]
-        known = self.words
-        counts = np.frombuffer(
-            b"".join([known[word] if word in known else self.known_word(word) for word in words]), dtype="<i4"
-        ).astype(np.int64)
-        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-        ends = np.cumsum(sizes)
-        totals = counts[ends - 1]
-        counts += np.repeat(np.cumsum(totals) - totals, sizes)
+        known = self.words.__getitem__
+        counts = np.frombuffer(bytearray().join(map(known, words)), dtype="<i4")
+        sizes = np.fromiter(map(len, words), dtype=np.int32, count=len(words))
+        totals = counts[np.cumsum(sizes) - 1]
+        counts += np.repeat(np.cumsum(totals, dtype=np.int32) - totals, sizes)
         for run in self.space_run.finditer(text):
             start, end = run.span()
             before = counts[start - 1] if start else 0
-            alone = np.frombuffer(self.known_word(run.group()), dtype="<i4")
+            alone = np.frombuffer(known(run.group()), dtype="<i4")
             counts[end - 1] = before + alone[-1]
         return counts
 
@@ -134,17 +152,18 @@ class PrefixCounter:
         """Counts of the prefixes of 0, 1, 2, ... characters of a text."""
         if len(self.words) > MOST_WORDS:
             self.words.clear()
+            self.heads.clear()
         if len(self.pairs) > 4 * MOST_WORDS:
             self.pairs.clear()
-        parts, total, place = [np.zeros(1, dtype=np.int64)], 0, 0
+        parts, total, place = [np.zeros(1, dtype=np.int32)], 0, 0
         found = self.special_pattern.finditer(text) if "<" in text else ()
         for special in found:
             start, end = special.span()
             # Until its last character a special token's string is ordinary text.
             part = self.ordinary(text[place : end - 1])
             whole = 1 + (part[start - place - 1] if start > place else 0)
-            parts += [total + part, np.array([total + whole])]
-            total, place = total + whole, end
+            parts += [total + part, np.array([total + whole], dtype=np.int32)]
+            total, place = int(total + whole), end
         parts.append(total + self.ordinary(text[place:]))
         return np.concatenate(parts)
 
@@ -168,7 +187,7 @@ def token_counts(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str
             {
                 "doc_id": frame["doc_id"],
                 "n_bytes": [len(text.encode()) for text in frame["text"]],
-                "prefix_tokens": [counter.counts(text).astype(np.int32) for text in frame["text"]],
+                "prefix_tokens": [counter.counts(text) for text in frame["text"]],
             }
         )
 

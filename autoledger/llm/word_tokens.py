@@ -13,13 +13,16 @@ from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
-import regex
 from tokenizers import Tokenizer
 
-# Fixed value: how the word-level vocabulary splits a text, after white space and case are unified.
-WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 # Characters on which all engines agree: letters, digits, marks and plain white space of Latin-1.
 UNSAFE = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\xff]")
+# The letters and numbers among them, and how the word-level vocabulary splits a text of them after
+# white space and case are unified: words, single digits, contractions, runs of marks.
+LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
+NUMBERS = "0-9²³¹¼½¾"
+CONTRACTIONS = "'(?:[stmd]|re|ve|ll)"
+WORD_PATTERN = rf"[{LETTERS}]+|[{NUMBERS}]|{CONTRACTIONS}|[^\s{LETTERS}{NUMBERS}]+"
 MOST_WORDS = 400_000
 
 
@@ -28,7 +31,7 @@ class WordTokens:
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.pattern = regex.compile(WORD_PATTERN)
+        self.pattern = re.compile(WORD_PATTERN)
         self.specials = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
 
