@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, near_duplicates, packing, quality_rules, substrings, token_counts, wavelet
+from . import (
+    backoff,
+    decontamination,
+    licenses,
+    near_duplicates,
+    packing,
+    quality_rules,
+    revisits,
+    substrings,
+    token_counts,
+    wavelet,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,11 +45,32 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as files of a tree, each with its own or its inherited license."""
+    files = licenses.files_of_documents(table(spark, sf_dir, "documents"))
+    found = licenses.licenses(files)
+    number = F.regexp_extract("path", r"([0-9]+)(\.txt)?$", 1).cast("long")
+    return found.select(
+        number.alias("doc_id"), "path", "license", "origin", F.round("cosine", 6).alias("cosine"), "licensed_by"
+    )
+
+
+def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = revisits.resolved_revisits(revisits.captures_of_pages(table(spark, sf_dir, "pages")))
+    lines = F.transform("headers", lambda entry: F.concat(entry["key"], F.lit(": "), entry["value"]))
+    return found.withColumn("headers", F.array_join(lines, "; "))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer)
 
 
+def op5_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = backoff.scores(table(spark, sf_dir, "documents"))
+    return found.withColumn("mean_log_score", F.round("mean_log_score", 6))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every span that an earlier document holds, with the documents that keep it."""
     return substrings.repeated_spans(table(spark, sf_dir, "documents"))
@@ -84,7 +116,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_token_counts": op1_token_counts,
+        "op2_license_scan": op2_license_scan,
+        "op3_warc_revisits": op3_warc_revisits,
         "op4_best_fit_packing": op4_best_fit_packing,
+        "op5_stupid_backoff": op5_stupid_backoff,
         "op6_substring_dedup": op6_substring_dedup,
         "op7_wavelet_matrix": op7_wavelet_matrix,
         "op8_decontamination": op8_decontamination,
@@ -95,6 +130,8 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_warc_revisits": revisits.SQL,
+        "op5_stupid_backoff": backoff.SQL,
         "op8_decontamination": decontamination.SQL,
         "op10_quality_rules": quality_rules.SQL,
     }
