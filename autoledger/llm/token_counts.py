@@ -18,8 +18,11 @@ columns are not read. Long texts are taken in bounded batches.
 from __future__ import annotations
 
 import re
+from array import array
+from collections import defaultdict
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -69,7 +72,7 @@ class PrefixCounter:
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.letters = byte_letters()
+        self.letters = dict(enumerate(byte_letters()))
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.tokens = vocabulary
         self.stems = {token[:end] for token in vocabulary for end in range(1, len(token) + 1)}
@@ -77,7 +80,8 @@ class PrefixCounter:
         self.space_run = re.compile(f"[{SPACES}]{{2,}}")
         self.specials = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.special_pattern = re.compile("|".join(re.escape(text) for text in self.specials))
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[str, dict[str, bool]] = defaultdict(dict)
+        self.n_pairs = 0
         self.heads: dict[str, tuple[tuple[str, ...], tuple[int, ...]]] = {}
         self.words = KnownWords(self.spelled_counts)
         self.split = ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=True)
@@ -86,17 +90,19 @@ class PrefixCounter:
         """Whether the encoding of the joined text is these two tokens; with ``left`` empty, this one."""
         wanted = [left, right] if left else [right]
         fits = [token.value for token in self.model.tokenize(left + right)] == wanted
-        self.pairs[left, right] = fits
+        self.pairs[left][right] = fits
+        self.n_pairs += 1
         return fits
 
-    def word_counts(self, word: str) -> np.ndarray:
+    def word_counts(self, word: str) -> array:
         """The counts of the prefixes of one word, one per character."""
-        spelled = "".join([self.letters[byte] for byte in word.encode()])
+        spelled = word.encode().decode("latin-1").translate(self.letters)
         size = len(spelled)
         # Words that begin alike share the states of their first prefixes.
         head = self.heads.get(spelled[:HEAD])
         last, count = (list(head[0]), list(head[1])) if head else ([""], [0])
-        tokens, stems, known_pair = self.tokens, self.stems, self.pairs.get
+        tokens, stems, pairs = self.tokens, self.stems, self.pairs
+        known = [pairs[token] for token in last]
         low = 0
         for end in range(len(last), size + 1):
             # No token that begins before this place goes on to here, nor will one that goes on beyond.
@@ -105,27 +111,27 @@ class PrefixCounter:
             for start in range(low, end):
                 token = spelled[start:end]
                 if token in tokens:
-                    fits = known_pair((last[start], token))
+                    fits = known[start].get(token)
                     if fits is None:
                         fits = self.fit_together(last[start], token)
                     if fits:
                         last.append(token)
+                        known.append(pairs[token])
                         count.append(count[start] + 1)
                         break
             if end == HEAD:
                 self.heads[spelled[:HEAD]] = (tuple(last), tuple(count))
         if size == len(word):
-            return np.array(count[1:], dtype="<i4")
-        ends = np.cumsum([len(letter.encode()) for letter in word])
-        return np.array(count, dtype="<i4")[ends]
+            return array("i", count[1:])
+        return array("i", [count[end] for end in accumulate(len(letter.encode()) for letter in word)])
 
     def spelled_counts(self, word: str) -> bytes:
         if len(word) > 1 and word[0] == "'" and word[1].isalpha():
             # A contraction cut short is an apostrophe and letters: two words.
-            short = [self.word_counts(part) for part in ("'", word[1:])]
-            cut = np.concatenate([short[0], short[0][-1] + short[1]])
+            (mark,) = self.word_counts("'")
+            cut = array("i", [mark, *(mark + count for count in self.word_counts(word[1:]))])
             cut[-1] = self.word_counts(word)[-1]
-            return cut.astype("<i4").tobytes()
+            return cut.tobytes()
         return self.word_counts(word).tobytes()
 
     def ordinary(self, text: str) -> np.ndarray:
@@ -137,14 +143,14 @@ class PrefixCounter:
         else:
             words = [text[start:end] for _, (start, end) in self.split.pre_tokenize_str(text)]
         known = self.words.__getitem__
-        counts = np.frombuffer(bytearray().join(map(known, words)), dtype="<i4")
+        counts = np.frombuffer(bytearray().join(map(known, words)), dtype=np.int32)
         sizes = np.fromiter(map(len, words), dtype=np.int32, count=len(words))
         totals = counts[np.cumsum(sizes) - 1]
         counts += np.repeat(np.cumsum(totals, dtype=np.int32) - totals, sizes)
         for run in self.space_run.finditer(text):
             start, end = run.span()
             before = counts[start - 1] if start else 0
-            alone = np.frombuffer(known(run.group()), dtype="<i4")
+            alone = np.frombuffer(known(run.group()), dtype=np.int32)
             counts[end - 1] = before + alone[-1]
         return counts
 
@@ -153,8 +159,9 @@ class PrefixCounter:
         if len(self.words) > MOST_WORDS:
             self.words.clear()
             self.heads.clear()
-        if len(self.pairs) > 4 * MOST_WORDS:
+        if self.n_pairs > 4 * MOST_WORDS:
             self.pairs.clear()
+            self.n_pairs = 0
         parts, total, place = [np.zeros(1, dtype=np.int32)], 0, 0
         found = self.special_pattern.finditer(text) if "<" in text else ()
         for special in found:

@@ -18,6 +18,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -36,23 +37,27 @@ STEP = 512
 
 @dataclass(frozen=True)
 class WaveletMatrix:
-    """``n`` integers below ``2 ** len(planes)``: packed bits, zeros and counts of ones, plane by plane."""
+    """``n`` integers below ``2 ** len(planes)``: packed bits and number of zeros, plane by plane."""
 
     n: int
     planes: tuple[np.ndarray, ...]
     zeros: tuple[int, ...]
-    counts: tuple[np.ndarray, ...]
 
     @staticmethod
     def of(values: np.ndarray, bits: int) -> WaveletMatrix:
-        planes, zeros, counts = [], [], []
+        values = values.astype(np.uint16 if bits <= 16 else np.uint32)
+        planes, zeros = [], []
         for shift in range(bits - 1, -1, -1):
-            bit = ((values >> shift) & 1).astype(bool)
+            bit = (values & values.dtype.type(1 << shift)).astype(bool)
             planes.append(np.packbits(bit))
-            zeros.append(int(len(bit) - bit.sum()))
-            counts.append(WaveletMatrix.ones_before(planes[-1]))
-            values = np.concatenate([values[~bit], values[bit]])
-        return WaveletMatrix(len(values), tuple(planes), tuple(zeros), tuple(counts))
+            parted = values[~bit]
+            zeros.append(len(parted))
+            values = np.concatenate([parted, values[bit]])
+        return WaveletMatrix(len(values), tuple(planes), tuple(zeros))
+
+    @cached_property
+    def counts(self) -> tuple[np.ndarray, ...]:
+        return tuple(map(self.ones_before, self.planes))
 
     @staticmethod
     def ones_before(plane: np.ndarray) -> np.ndarray:
@@ -73,7 +78,7 @@ class WaveletMatrix:
         planes = tuple(
             np.frombuffer(data, np.uint8, size, begin + level * size) for level in range(bits)
         )
-        return WaveletMatrix(n, planes, zeros, tuple(map(WaveletMatrix.ones_before, planes)))
+        return WaveletMatrix(n, planes, zeros)
 
     def bits_at(self, level: int, at: np.ndarray) -> np.ndarray:
         return (self.planes[level][at >> 3] >> (7 - (at & 7))) & 1
@@ -107,14 +112,15 @@ class WaveletMatrix:
         return values
 
     def everything(self) -> np.ndarray:
-        """All values, in order: as ``access`` of all places, with ranks by running sums."""
-        at = np.arange(self.n)
-        values = np.zeros(self.n, dtype=np.int64)
-        for plane, zeros in zip(self.planes, self.zeros):
-            bits = np.unpackbits(plane, count=self.n).astype(np.int64)
-            to = np.where(bits == 1, zeros + np.cumsum(bits) - bits, np.cumsum(1 - bits) - 1)
-            values = (values << 1) | bits[at]
-            at = to[at]
+        """All values, in order: from the lowest plane up, what was parted by its bits is put together again."""
+        kind = np.uint16 if len(self.planes) <= 16 else np.uint32
+        values = np.zeros(self.n, dtype=kind)
+        for shift, (plane, zeros) in enumerate(zip(self.planes[::-1], self.zeros[::-1])):
+            bit = np.unpackbits(plane, count=self.n).view(bool)
+            joined = np.empty_like(values)
+            joined[~bit] = values[:zeros]
+            joined[bit] = values[zeros:] | kind(1 << shift)
+            values = joined
         return values
 
     def rank(self, value: int, end: int) -> int:

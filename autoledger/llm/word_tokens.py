@@ -23,6 +23,8 @@ LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
 NUMBERS = "0-9²³¹¼½¾"
 CONTRACTIONS = "'(?:[stmd]|re|ve|ll)"
 WORD_PATTERN = rf"[{LETTERS}]+|[{NUMBERS}]|{CONTRACTIONS}|[^\s{LETTERS}{NUMBERS}]+"
+# Fixed value: what tokens at the end of a word end with.
+WORD_END = "</w>"
 MOST_WORDS = 400_000
 
 
@@ -33,6 +35,9 @@ class WordTokens:
         self.tokenizer = Tokenizer.from_file(path)
         self.pattern = re.compile(WORD_PATTERN)
         self.specials = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_word[[id for token, id in vocabulary.items() if token.endswith(WORD_END)]] = True
         self.known: dict[str, bytes] = {}
 
     def plain(self, text: str) -> bool:
@@ -42,13 +47,23 @@ class WordTokens:
         encodings = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(encoding.ids, dtype="<u4").tobytes() for encoding in encodings]
 
+    def of_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of the pattern: encoded as one text and parted after tokens that end a word."""
+        (encoding,) = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        ids = np.array(encoding.ids, dtype="<u4")
+        ends = 4 * (np.flatnonzero(self.ends_word[ids]) + 1) if words else []
+        if len(ends) != len(words):
+            return self.library(words)
+        data, starts = ids.tobytes(), [0, *ends[:-1].tolist()]
+        return [data[start:end] for start, end in zip(starts, ends.tolist())]
+
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         texts = list(texts)
         if len(self.known) > MOST_WORDS:
             self.known.clear()
         split = [self.pattern.findall(text.lower()) if self.plain(text) else None for text in texts]
-        new = list({word for words in split if words for word in words if word not in self.known})
-        self.known.update(zip(new, self.library(new)))
+        new = list(set().union(*filter(None, split)).difference(self.known))
+        self.known.update(zip(new, self.of_words(new) if new else ()))
         whole = iter(self.library([text for text, words in zip(texts, split) if words is None]))
         of_word = self.known.__getitem__
         return [next(whole) if words is None else b"".join(map(of_word, words)) for words in split]
