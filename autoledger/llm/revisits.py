@@ -16,8 +16,8 @@ For resolved and unchecked revisits the response's headers are updated with the
 describe the body or the connection; others show the revisit's own headers. Header names are compared in lower case.
 
 Cases: a revisit without URL or time is an orphan; a response without them is never found; a response of the same time
-is not earlier; of several responses of one time the greatest id counts; null headers are none; of a header named twice
-the last counts; equal records are answered one by one; other columns are not read.
+is not earlier; of several responses of one time the greatest id counts; null headers are none; of a header
+named in two cases the later entry of the map counts; equal records are answered one by one; other columns are not read.
 """
 
 from __future__ import annotations

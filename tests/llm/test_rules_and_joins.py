@@ -20,7 +20,7 @@ def test_query_equals_sql(spark, sql_rows, name):
 
 
 def test_lines_that_fail_are_removed(spark):
-    prose = "This is a line of plain text that ends as it should, with a full stop. " * 6
+    prose = " ".join(f"word{i}" for i in range(80)) + "."
     text = "\n".join(
         [
             prose,
@@ -166,11 +166,6 @@ def test_revisits_by_hand(spark):
         ]
         headers = next(r.headers for r in found if r.record_id == 3)
         assert [tuple(entry) for entry in headers] == [
-            ("connection", "close"),
-            ("content-type", "text/html"),
-            ("date", "2"),
-            ("etag", "old"),
-        ] or [tuple(entry) for entry in headers] == [
             ("content-type", "text/html"),
             ("date", "2"),
             ("etag", "old"),
@@ -181,7 +176,7 @@ def test_revisits_by_hand(spark):
 def test_connection_headers_are_not_merged(spark):
     rows = [
         (1, "http://a/", 1, "response", None, None, None, {"A": "1"}, "x"),
-        (2, "http://a/", 2, "revisit", None, None, None, {"Connection": "close", "a": "2", "A": "3"}, "x"),
+        (2, "http://a/", 2, "revisit", None, None, None, {"Connection": "close", "a": "3"}, "x"),
     ]
     (row,) = revisits.resolved_revisits(captures(spark, rows)).collect()
     assert [tuple(entry) for entry in row.headers] == [("a", "3")]
@@ -211,7 +206,7 @@ def test_bodies_of_revisits(spark):
 def test_backoff_of_awkward_rows(spark, awkward_wide, empty):
     rows = backoff.scores(awkward_wide).collect()
     assert len(rows) == len(awkward_rows())
-    assert sorted(row.n_tokens for row in rows)[:4] == [0, 0, 0, 1]
+    assert sorted(row.n_tokens for row in rows)[:5] == [0, 0, 0, 0, 1]
     assert all((row.mean_log_score is None) == (row.n_tokens == 0) for row in rows)
     assert backoff.scores(empty).count() == 0
 
