@@ -13,7 +13,7 @@ registers are surely filled are never drawn; a text that is not filled by then i
 **Candidates.** Texts that agree in all registers of a band share a bucket. Equal texts are one node from the
 start. In a bucket all members are compared with one pivot, not with each other. Where links join them all the
 bucket is done. Else the pivot, compared with every member of another class, can add nothing and leaves, and
-the rest is compared with twice as many pivots, until buckets are done or empty. So no link between members
+the rest is compared with several times as many pivots, until buckets are done or empty. So no link between members
 of a bucket is lost, and a group of copies of any size costs about one comparison a member.
 
 **Bounds.** Shingles of a text that no other open text holds are in no overlap. With ``n`` shingles and ``m`` of
@@ -48,6 +48,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 24
 BAND_REGISTERS = 5
+# Pivots of a bucket in a round, as a multiple of those in the round before.
+PIVOT_GROWTH = 4
 WORD = regex.compile(r"[0-9a-z\u0080-\U0010FFFF]+")
 MOST_WORDS = 300_000
 
@@ -237,13 +239,6 @@ def reachable(m: Column, n: Column, other_n: Column, threshold: float) -> Column
     return m >= threshold * (n + other_n - m) - 1e-6
 
 
-def within_reach(members: DataFrame, threshold: float) -> DataFrame:
-    """Members that could be linked to the text of fewest shingles in their bucket, if they are that close."""
-    fewest = members.groupBy("bucket").agg(F.min("n").alias("fewest"))
-    near = reachable(F.col("m"), F.col("n"), F.greatest("fewest", "m"), threshold)
-    return members.join(fewest, "bucket").filter(near).drop("fewest")
-
-
 def candidate_pairs(opened: DataFrame, threshold: float, bounded: bool) -> DataFrame:
     """Pairs of a pivot and a member of another class in its bucket, within bounds where these are known."""
     sizes = ["n", "m"] if bounded else []
@@ -282,14 +277,13 @@ def classes(
     texts = stored(read.groupBy("node").agg(F.min("text").alias("text")), "texts")
 
     roots = nodes.select("node", F.col("node").alias("root")).limit(0)
-    links: DataFrame | None = None
     bounds: DataFrame | None = None
     compared: DataFrame | None = None
     pivots_wanted = 1
     while True:
         labelled = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         if bounds is not None:
-            labelled = within_reach(labelled.join(bounds, "node"), threshold)
+            labelled = labelled.join(bounds, "node")
         undone = (
             labelled.groupBy("bucket")
             .agg(
@@ -297,17 +291,22 @@ def classes(
                 F.min("node").alias("least"),
                 F.min("root").alias("first_root"),
                 F.max("root").alias("last_root"),
+                *([F.min("n").alias("fewest")] if bounds is not None else []),
             )
             .filter("size > 1 and first_root <> last_root")
-            .select("bucket", "size", "least")
+            .drop("first_root", "last_root")
         )
+        # Members out of reach of the text of fewest shingles in their bucket are out of reach of all.
+        near = F.lit(True)
+        if bounds is not None:
+            near = reachable(F.col("m"), F.col("n"), F.greatest("fewest", "m"), threshold)
         # The first pivot is the least node; later ones are about as many as wanted, picked by a hash.
         if pivots_wanted == 1:
             picked = F.col("node") == F.col("least")
         else:
             chance = F.pmod(F.xxhash64("bucket", "node", F.lit(pivots_wanted)), F.col("size"))
             picked = (F.col("size") <= pivots_wanted) | (chance < pivots_wanted)
-        opened = stored(labelled.join(undone, "bucket").withColumn("is_pivot", picked), "open_members")
+        opened = stored(labelled.join(undone, "bucket").filter(near).withColumn("is_pivot", picked), "open_members")
         if opened.isEmpty():
             break
         pairs = candidate_pairs(opened, threshold, bounded=bounds is not None)
@@ -317,12 +316,11 @@ def classes(
         compared = pairs if compared is None else compared.unionAll(pairs)
         found = stored(linked(pairs, texts, threshold), "links")
         if not found.isEmpty():
-            links = found if links is None else links.unionAll(found)
-            roots = components(links)
+            roots = components(found.unionAll(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
         members = opened.filter(~F.col("is_pivot")).select("bucket", "node")
         if bounds is None:
             bounds = stored(shared_shingles(texts.join(members.select("node").distinct(), "node")), "bounds")
-        pivots_wanted *= 2
+        pivots_wanted *= PIVOT_GROWTH
 
     labelled = nodes.select("node", "id").join(roots, "node", "left")
     labelled = labelled.select("node", "id", F.coalesce("root", "node").alias("root"))
