@@ -200,6 +200,10 @@ CORRECTED_FEED = (
 )
 
 
+# Well-formed lines only, so nothing is captured.
+FED_PRODUCTS = f"SELECT *, CAST(NULL AS VARCHAR) AS _corrupt_record FROM ({feed('product')})"
+
+
 def oracle_sql() -> dict[str, str]:
     view_360 = curated_360(normalize_keys=True)
     return {
@@ -212,6 +216,8 @@ def oracle_sql() -> dict[str, str]:
         + ") WHERE _corrupt_rec IS NOT NULL",
         "malformed_payment_lines": "SELECT * FROM (" + feed("payment", "_corrupt_rec")
         + ") WHERE _corrupt_rec IS NOT NULL",
+        "ingest_late_files": f"SELECT * FROM ({FED_PRODUCTS}) UNION ALL SELECT * FROM ({FED_PRODUCTS})",
+        "bronze_preview": "SELECT least(10, count(*)) AS shown, least(10, count(*)) AS in_table FROM part",
         "bronze_total_rows": "SELECT count(*) AS total_rows FROM part",
         "product_enriched": PRODUCT_VALID,
         "product_rejected": PRODUCT_REJECTED,

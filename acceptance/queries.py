@@ -155,8 +155,28 @@ def bronze_total_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which rows a preview shows is open; how many, and that the table has them, is not."""
     lake = ingested(spark, sf_dir, "product")
-    return preview(lake.read("product_bronze"))
+    table = lake.read("product_bronze")
+    shown_rows = preview(table).select("system_id")
+    held = shown_rows.join(table.select("system_id").distinct(), "system_id", "left_semi")
+    counts = held.agg(F.count("*").alias("in_table"))
+    return shown_rows.agg(F.count("*").alias("shown")).join(counts)
+
+
+def ingest_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first delivery, then the whole feed again by files dated weeks before it: none may be lost."""
+    lake = fresh_lake(spark)
+    write_feed_files(spark, sf_dir, "product", landing(lake, "product", 1), BATCHES, False)
+    paths = {"product": landing(lake, "product", "*")}
+    flows.ingest(lake, paths)
+    write_feed_files(spark, sf_dir, "product", landing(lake, "product", 2), BATCHES, False)
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{landing(lake, 'product', 2)}/*")
+    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.globStatus(pattern):
+        files.setTimes(status.getPath(), status.getModificationTime() - 40 * 86_400_000, -1)
+    flows.ingest(lake, paths)
+    return shown(lake.read("product_bronze"), *LINEAGE)
 
 
 def silver_stream(feed: str, table: str) -> Query:
@@ -250,6 +270,7 @@ def queries() -> dict[str, Query]:
         "malformed_product_lines": malformed_lines("product"),
         "malformed_customer_lines": malformed_lines("customer"),
         "malformed_payment_lines": malformed_lines("payment"),
+        "ingest_late_files": ingest_late_files,
         "bronze_total_rows": bronze_total_rows,
         "bronze_preview": bronze_preview,
         "product_enriched": silver(valid_products, "product"),

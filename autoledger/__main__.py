@@ -23,8 +23,16 @@ def main() -> None:
     parser.add_argument("--export-path", help="folder to which new vehicle owners are appended")
     parser.add_argument("--export-format", default="parquet")
     limit = parser.add_mutually_exclusive_group()
-    limit.add_argument("--bytes-per-batch", help="size of a micro-batch of feed files, such as 500g")
-    limit.add_argument("--files-per-batch", type=int, help="number of feed files in a micro-batch")
+    limit.add_argument("--bytes-per-batch", help="size of a micro-batch of any flow, such as 500g")
+    limit.add_argument("--files-per-batch", type=int, help="number of files in a micro-batch of any flow")
+    parser.add_argument("--archive", help="folder to which feed files move once they are read")
+    parser.add_argument("--reject-malformed", action="store_true", help="malformed lines fail the quality rules")
+    parser.add_argument(
+        "--newest-dimension-only", action="store_true", help="look up only the newest row of a key"
+    )
+    parser.add_argument(
+        "--partitioned-by", nargs="+", default=["dealer_id"], help="columns that partition the 360 table"
+    )
     arguments = parser.parse_args()
 
     paths = {feed: getattr(arguments, feed) for feed in FEEDS if getattr(arguments, feed)}
@@ -39,6 +47,10 @@ def main() -> None:
         owner_sink=sink,
         files_per_batch=arguments.files_per_batch,
         bytes_per_batch=arguments.bytes_per_batch,
+        archive=arguments.archive,
+        reject_malformed=arguments.reject_malformed,
+        newest_dimension_only=arguments.newest_dimension_only,
+        partitioned_by=tuple(arguments.partitioned_by),
     )
 
 

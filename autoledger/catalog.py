@@ -6,11 +6,31 @@ executors; each layer is a database below it and each stream keeps its progress
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from .sources import NO_AGE_LIMIT
+
+
+@dataclass(frozen=True)
+class BatchLimit:
+    """What bounds a micro-batch: a number of files, or a size such as ``500g``; Spark takes either, not both."""
+
+    files: int | None = None
+    bytes: str | None = None
+
+    @property
+    def options(self) -> dict[str, str]:
+        if self.files is not None:
+            return {"maxFilesPerTrigger": str(self.files)}
+        return {"maxBytesPerTrigger": self.bytes} if self.bytes is not None else {}
+
+
+NO_LIMIT = BatchLimit()
+
 
 @dataclass(frozen=True)
 class Dataset:
@@ -110,24 +130,44 @@ class Lake:
             f"TBLPROPERTIES ({_property_list(dataset)}) AS {query}"
         )
 
-    def save(self, name: str, rows: DataFrame) -> None:
-        """Replaces the table by a snapshot of ``rows``."""
+    def save(self, name: str, rows: DataFrame, keep: int = 2) -> None:
+        """Replaces the snapshot shown under ``name`` by one of ``rows``.
+
+        A snapshot is a folder of its own. Only when it is complete does the view under ``name`` go over to it, in
+        one catalog operation, so a failed rebuild leaves the old rows and readers see either. The newest ``keep``
+        complete snapshots stay, for readers who are still on one; older and unfinished ones are deleted.
+        """
         dataset = DATASETS[name]
-        writer = rows.write.format(self.table_format).mode("overwrite")
-        writer = writer.option("path", self.folder(name))
+        version = time.time_ns()
+        folder = f"{self.folder(name)}/version={version}"
+        writer = rows.write.format(self.table_format)
         if dataset.partitioned_by:
             writer = writer.partitionBy(*dataset.partitioned_by)
-        writer.saveAsTable(self.table(name))
-        self.spark.sql(f"COMMENT ON TABLE {self.table(name)} IS {_quoted(dataset.comment)}")
-        self.spark.sql(f"ALTER TABLE {self.table(name)} SET TBLPROPERTIES ({_property_list(dataset)})")
+        writer.save(folder)
+        self.show(name, f"SELECT * FROM {self.table_format}.`{folder}`")
+        complete = sorted(self._versions(name, "/_SUCCESS"))[-keep:]
+        for old in self._versions(name):
+            if old < version and old not in complete:
+                path = self._path(f"{self.folder(name)}/version={old}")
+                self._file_system(path).delete(path, True)
+
+    def _path(self, text: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(text)
+
+    def _file_system(self, path):
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _versions(self, name: str, mark: str = "") -> list[int]:
+        pattern = self._path(f"{self.folder(name)}/version=*{mark}")
+        found = [status.getPath() for status in self._file_system(pattern).globStatus(pattern) or []]
+        folders = [path.getParent() if mark else path for path in found]
+        return [int(folder.getName().split("=")[1]) for folder in folders]
 
     def read(self, name: str) -> DataFrame:
         """The table as it is now; files found by an earlier read are listed anew."""
         self.spark.catalog.refreshTable(self.table(name))
         return self.spark.read.table(self.table(name))
 
-    def stream(self, name: str, files_per_batch: int | None = None) -> DataFrame:
-        reader = self.spark.readStream
-        if files_per_batch is not None:
-            reader = reader.option("maxFilesPerTrigger", files_per_batch)
-        return reader.table(self.table(name))
+    def stream(self, name: str, limit: BatchLimit = NO_LIMIT) -> DataFrame:
+        """New rows of a table, each file once whatever its time stamp."""
+        return self.spark.readStream.options(**limit.options, **NO_AGE_LIMIT).table(self.table(name))

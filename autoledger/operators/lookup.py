@@ -10,9 +10,11 @@ lane:
 - facts with a hot key get a lane likewise, and the dimension rows of hot keys stand in every lane;
 - all others are in lane 0, as are the other dimension rows.
 
-Hot keys are looked for where ``hot_in`` is given: one pass over its key columns, in sketches of fixed size.
-Which keys the sketch names affects speed only. What remains is left to the adaptive skew join, which splits
-the left side of a left join.
+Hot keys are looked for where ``hot_in`` is given: one pass over its key columns, in sketches of fixed size. A key
+is hot if it holds at least the share of rows that one of ``lanes`` partitions would hold of evenly dealt rows, so
+there are at most ``lanes`` hot keys, and none where keys are even. The hashes found are one small row, collected
+once, and both sides get the same literal, so which keys are named affects speed and never the result. What remains
+is left to the adaptive skew join, which splits the left side of a left join.
 """
 
 from __future__ import annotations
@@ -27,10 +29,12 @@ from pyspark.sql import functions as F
 
 from .latest import latest_per_key
 
-LANES = 1024
-HOT_KEYS = 100
-SKETCH_ITEMS = 10_000
+# Groups of input splits whose sketches are merged, and counters of a sketch for each key it may have to name.
 SKETCH_GROUPS = 256
+COUNTERS_PER_KEY = 10
+MOST_COUNTERS = 1_000_000
+# Lanes of a hot key for each partition, so that chance puts about as many into each.
+LANES_PER_PARTITION = 4
 
 
 class KeyPair(NamedTuple):
@@ -40,27 +44,22 @@ class KeyPair(NamedTuple):
     dimension: Column
 
 
-def fits_broadcast(rows: DataFrame) -> bool:
-    """Whether Spark, by its own estimate and threshold, would send ``rows`` to every executor."""
-    estimate = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    threshold = rows.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return estimate <= threshold
-
-
-def hot_key_hashes(rows: DataFrame, keys: Sequence[Column]) -> DataFrame:
-    """One row, one array: hashes of the keys that occur most often, at most ``HOT_KEYS`` of them.
+def hot_key_hashes(rows: DataFrame, keys: Sequence[Column], lanes: int) -> list[int]:
+    """Hashes of the keys that hold at least one in ``lanes`` of the rows with a key.
 
     The splits' sketches are merged in groups and only the groups' top keys go on, so no task sees more
     than a fixed amount, however many splits there are.
     """
     any_null = reduce(or_, [key.isNull() for key in keys])
     hashed = rows.filter(~any_null).select(F.xxhash64(*keys).alias("key_hash"))
-    group_tops = hashed.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS))).agg(
-        F.expr(f"approx_top_k(key_hash, {HOT_KEYS}, {SKETCH_ITEMS})").alias("top")
+    counters = min(MOST_COUNTERS, COUNTERS_PER_KEY * lanes)
+    groups = hashed.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS))).agg(
+        F.expr(f"approx_top_k(key_hash, {lanes}, {counters})").alias("top"), F.count("*").alias("rows")
     )
-    counted = group_tops.select(F.inline("top")).groupBy("item").agg(F.sum("count").alias("rows"))
-    hottest = counted.orderBy(F.desc("rows"), "item").limit(HOT_KEYS)
-    return hottest.agg(F.collect_list("item").alias("hot"))
+    total = groups.agg(F.sum("rows")).scalar()
+    counted = groups.select(F.inline("top")).groupBy("item").agg(F.sum("count").alias("rows"))
+    hot = counted.filter(F.col("rows") * lanes >= total).filter("rows > 1")
+    return sorted(row.item for row in hot.select("item").collect())  # at most ``lanes``
 
 
 def left_lookup(
@@ -71,19 +70,21 @@ def left_lookup(
     newest_by: Sequence[str] | None = None,
     spread_by: Column | None = None,
     hot_in: DataFrame | None = None,
+    lanes: int | None = None,
 ) -> DataFrame:
     """Every fact row with the ``take`` columns of each dimension row that has equal keys, else nulls.
 
     Two dimension rows with the same keys give two result rows, unless ``newest_by`` names the columns
     that decide which one is kept. ``spread_by`` tells facts of one key apart, by default a hash of the
     row. ``hot_in`` is a batch with the facts' key columns: the facts themselves, or for a stream a table
-    of earlier ones.
+    of earlier ones. ``lanes``, by default the number of shuffle partitions, is among how many partitions a hot key is dealt.
     """
+    lanes = lanes or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     names = [f"_key{position}" for position in range(len(keys))]
     no_match = reduce(or_, [pair.fact.isNull() for pair in keys])
     if spread_by is None:
         spread_by = F.xxhash64(*[F.col(f"`{name}`") for name in facts.columns])
-    own_lane = F.pmod(spread_by, F.lit(LANES)).cast("int")
+    own_lane = F.pmod(spread_by, F.lit(LANES_PER_PARTITION * lanes)).cast("int")
     lane_0 = F.lit(0)
 
     keyed_dimension = dimension.select(
@@ -95,17 +96,17 @@ def left_lookup(
         order = [f"_by_{name}" for name in newest_by]
         keyed_dimension = latest_per_key(keyed_dimension, names, order).drop(*order)
 
-    if hot_in is None:
+    hot = hot_key_hashes(hot_in, [pair.fact for pair in keys], lanes) if hot_in is not None else []
+    if not hot:
         fact_lane = F.when(no_match, own_lane).otherwise(lane_0)
         # Always 0, yet no literal: Catalyst would fold a literal into a filter and out of the join key.
         dimension_lane = F.pmod(F.hash(*names), F.lit(1))
     else:
         fact_keys = [pair.fact for pair in keys]
-        hot = hot_key_hashes(hot_in, fact_keys).scalar()
-        is_hot_fact = F.array_contains(hot, F.xxhash64(*fact_keys))
-        is_hot_dimension = F.array_contains(hot, F.xxhash64(*names))
+        is_hot_fact = F.xxhash64(*fact_keys).isin(hot)
+        is_hot_dimension = F.xxhash64(*names).isin(hot)
         fact_lane = F.when(no_match | is_hot_fact, own_lane).otherwise(lane_0)
-        every_lane = F.sequence(lane_0, F.lit(LANES - 1))
+        every_lane = F.sequence(lane_0, F.lit(LANES_PER_PARTITION * lanes - 1))
         dimension_lane = F.explode(F.when(is_hot_dimension, every_lane).otherwise(F.array(lane_0)))
 
     keyed_facts = facts.withColumns(

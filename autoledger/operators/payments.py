@@ -18,18 +18,34 @@ from .products import MALFORMED_LINE, VIN_LENGTH
 from .quality import Rule, failing, passing
 
 # The typed fields and the rejection texts that results must agree on.
-MONEY_FIELDS = """
-amount_paid total_cost parts_cost labour_cost service_charge outstanding_balance
-""".split()
-DAY_FIELDS = """
-payment_date service_date due_date service_due_date last_payment_date
-""".split()
-NUMBER_FIELDS = """
-days_overdue mileage_at_service
-""".split()
-CODE_FIELDS = """
-payment_status payment_method service_type service_status currency card_type vin
-""".split()
+MONEY_FIELDS = (
+    "amount_paid",
+    "total_cost",
+    "parts_cost",
+    "labour_cost",
+    "service_charge",
+    "outstanding_balance",
+)
+DAY_FIELDS = (
+    "payment_date",
+    "service_date",
+    "due_date",
+    "service_due_date",
+    "last_payment_date",
+)
+NUMBER_FIELDS = (
+    "days_overdue",
+    "mileage_at_service",
+)
+CODE_FIELDS = (
+    "payment_status",
+    "payment_method",
+    "service_type",
+    "service_status",
+    "currency",
+    "card_type",
+    "vin",
+)
 
 TRANSACTION_MISSING = "transaction_id is null"
 DATE_MISSING = "payment_date is null"

@@ -16,5 +16,8 @@ def total_rows(table: DataFrame) -> DataFrame:
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
-    """Snapshots are tables as well, so this also serves for what others keep as a materialized view."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    """Drops a table, or the view that shows a snapshot or a change target; nothing, if there is none."""
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType == "VIEW":
+        spark.sql(f"DROP VIEW IF EXISTS {name}")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -28,14 +27,9 @@ def session(name: str, master: str | None = None, **settings: str) -> SparkSessi
 
 
 def working_folder(spark: SparkSession) -> str:
-    """A fresh folder that every executor can reach.
+    """The name of a fresh folder that every executor can reach.
 
-    It lies in the folder named by ``spark.checkpoint.dir``. Only a local session, whose executors share
-    the driver's disk, may do without the setting.
+    It lies in the folder named by ``spark.checkpoint.dir``, or else in the warehouse, which executors share as well.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", "")
-    if shared:
-        return f"{shared.rstrip('/')}/autoledger-{uuid.uuid4().hex}"
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="autoledger-")
-    raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    shared = spark.conf.get("spark.checkpoint.dir", "") or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/autoledger-{uuid.uuid4().hex}"

@@ -17,6 +17,11 @@ def _options(feed: Feed) -> dict[str, str]:
     }
 
 
+# The file source forgets files older than the newest by more than this, read or not. A file may be as old as
+# its owner's clock says, so age must not decide; ``archive`` keeps the list of files that are read short.
+NO_AGE_LIMIT = {"maxFileAge": "36500d"}
+
+
 def read_feed(spark: SparkSession, feed: Feed, path: str) -> DataFrame:
     """All files under ``path``, once."""
     rows = spark.read.format("csv").schema(feed.schema).options(**_options(feed)).load(path)
@@ -29,12 +34,17 @@ def stream_feed(
     path: str,
     files_per_batch: int | None = None,
     bytes_per_batch: str | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
-    """Files under ``path`` as they arrive, each read once for a given checkpoint.
+    """Files under ``path`` as they arrive, each read once for a given checkpoint, whatever their time stamps.
 
-    One of the two limits bounds a micro-batch; Spark's file source takes either, not both.
+    One of the two limits bounds a micro-batch; Spark's file source takes either, not both. With ``archive``, a
+    folder outside ``path``, files move there after the micro-batch that follows theirs, so that the landing
+    folder holds only what is new. Do not use it where two flows read one folder.
     """
-    reader = spark.readStream.format("csv").schema(feed.schema).options(**_options(feed))
+    reader = spark.readStream.format("csv").schema(feed.schema).options(**_options(feed), **NO_AGE_LIMIT)
+    if archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if bytes_per_batch is not None:

@@ -9,23 +9,76 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Field names of each feed, in file order.
-PRODUCT_FIELDS = """
-dealer_id sgrp_id manufacturer legal_name email system_id vin
-""".split()
+PRODUCT_FIELDS = (
+    "dealer_id",
+    "sgrp_id",
+    "manufacturer",
+    "legal_name",
+    "email",
+    "system_id",
+    "vin",
+)
 
-CUSTOMER_FIELDS = """
-customer_id first_name last_name date_of_birth national_id email phone_mobile phone_home
-address_line1 address_line2 city state zip_code country dealer_id customer_type company_name
-account_status vin purchase_date ownership_type credit_score payment_method currency system_id
-created_date last_updated
-""".split()
+CUSTOMER_FIELDS = (
+    "customer_id",
+    "first_name",
+    "last_name",
+    "date_of_birth",
+    "national_id",
+    "email",
+    "phone_mobile",
+    "phone_home",
+    "address_line1",
+    "address_line2",
+    "city",
+    "state",
+    "zip_code",
+    "country",
+    "dealer_id",
+    "customer_type",
+    "company_name",
+    "account_status",
+    "vin",
+    "purchase_date",
+    "ownership_type",
+    "credit_score",
+    "payment_method",
+    "currency",
+    "system_id",
+    "created_date",
+    "last_updated",
+)
 
-PAYMENT_FIELDS = """
-transaction_id customer_id vin dealer_id card_type card_last4 amount_paid currency payment_date
-payment_status payment_method service_id service_type service_date service_due_date
-mileage_at_service service_charge parts_cost labour_cost total_cost service_status technician_id
-outstanding_balance due_date days_overdue last_payment_date finance_plan_id system_id
-""".split()
+PAYMENT_FIELDS = (
+    "transaction_id",
+    "customer_id",
+    "vin",
+    "dealer_id",
+    "card_type",
+    "card_last4",
+    "amount_paid",
+    "currency",
+    "payment_date",
+    "payment_status",
+    "payment_method",
+    "service_id",
+    "service_type",
+    "service_date",
+    "service_due_date",
+    "mileage_at_service",
+    "service_charge",
+    "parts_cost",
+    "labour_cost",
+    "total_cost",
+    "service_status",
+    "technician_id",
+    "outstanding_balance",
+    "due_date",
+    "days_overdue",
+    "last_payment_date",
+    "finance_plan_id",
+    "system_id",
+)
 
 
 @dataclass(frozen=True)
@@ -48,7 +101,7 @@ class Feed:
 
 PRODUCT = Feed(
     "product",
-    tuple(PRODUCT_FIELDS),
+    PRODUCT_FIELDS,
     capture="_corrupt_record",
     lineage={
         "file_name": "_metadata.file_name",
@@ -56,13 +109,21 @@ PRODUCT = Feed(
     },
 )
 
-CUSTOMER = Feed("customer", tuple(CUSTOMER_FIELDS), capture="_corrupt_rec")
+CUSTOMER = Feed(
+    "customer",
+    CUSTOMER_FIELDS,
+    capture="_corrupt_rec",
+    lineage={
+        "file_name": "_metadata.file_name",
+        "bronze_ingest_timestamp": "current_timestamp()",
+    },
+)
 
 # The file's name and time order two versions of a transaction that arrive in one micro-batch and so
 # carry the same ingest time.
 PAYMENT = Feed(
     "payment",
-    tuple(PAYMENT_FIELDS),
+    PAYMENT_FIELDS,
     capture="_corrupt_rec",
     lineage={
         "file_name": "_metadata.file_name",

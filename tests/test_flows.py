@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,7 +19,7 @@ from autoledger.operators import (
 )
 from autoledger.plans import curated_360, drop_table, preview, total_rows, vehicle_owner
 from autoledger.plans import refresh as flows
-from autoledger.sources import FEEDS
+from autoledger.sources import FEEDS, PRODUCT
 from autoledger.streaming import Sink, finish, into_sink, snapshot_to_sink
 
 from .conftest import SMALL, as_set
@@ -212,6 +215,57 @@ def test_inspection(refreshed):
     assert total_rows(bronze).first().total_rows == 200
 
 
+def test_failed_rebuild_keeps_the_old_snapshot(spark, lake):
+    lake.save("vehicle_owner", spark.range(5).selectExpr("id AS vin"))
+    old = lake.read("vehicle_owner")
+    broken = spark.range(9).select(F.when(F.col("id") > 7, F.raise_error(F.lit("broken"))).alias("vin"))
+    with pytest.raises(Exception, match="broken"):
+        lake.save("vehicle_owner", broken)
+    assert lake.read("vehicle_owner").count() == 5
+    lake.save("vehicle_owner", spark.range(7).selectExpr("id AS vin"))
+    # A reader who began before the rebuild still has the files of its snapshot.
+    assert old.count() == 5 and lake.read("vehicle_owner").count() == 7
+    for rows in (8, 9):
+        lake.save("vehicle_owner", spark.range(rows).selectExpr("id AS vin"))
+    assert lake.read("vehicle_owner").count() == 9 and len(lake._versions("vehicle_owner")) == 2
+
+
+def test_no_file_is_too_old(spark, lake, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    line = "\t".join(["x"] * len(PRODUCT.fields)) + "\n"
+    (folder / "new.tsv").write_text(line)
+    flows.ingest(lake, {"product": str(folder)})
+    (folder / "old.tsv").write_text(line * 2)
+    os.utime(folder / "old.tsv", (1_000_000_000, 1_000_000_000))
+    flows.ingest(lake, {"product": str(folder)})
+    assert lake.read("product_bronze").count() == 3
+    for file in (tmp_path / "lake" / "bronze" / "product_bronze").glob("*.parquet"):
+        os.utime(file, (1_000_000_000, 1_000_000_000))
+        break
+    flows.clean(lake, "product_rejected", "product_enriched")
+    both = lake.read("product_rejected").count() + lake.read("product_enriched").count()
+    assert both == 3
+
+
+def test_every_flow_is_bounded(spark, lake, tmp_path):
+    """Four files a feed and one file a micro-batch: no flow takes its backlog as one."""
+    paths = {}
+    for feed in FEEDS.values():
+        folder = tmp_path / "landing" / feed.name
+        folder.mkdir(parents=True)
+        for number in range(4):
+            (folder / f"{number}.tsv").write_text("\t".join([f"v{number}"] * len(feed.fields)) + "\n")
+        paths[feed.name] = str(folder)
+    flows.refresh(lake, paths, files_per_batch=1)
+
+    def batches(checkpoint: str) -> int:
+        return len([file for file in Path(checkpoint, "commits").iterdir() if file.name.isdigit()])
+
+    for name in ("product_bronze", "customer_bronze", "payment_bronze", *flows.SILVER_FLOWS):
+        assert batches(lake.checkpoint(name)) >= 4, name
+
+
 def test_drop_table_is_idempotent(spark, lake):
     lake.save("vehicle_owner", spark.range(3).selectExpr("id AS vin"))
     drop_table(spark, lake.table("vehicle_owner"))
