@@ -45,7 +45,7 @@ BLOCK_CHARS = 16_000_000
 BUCKET_NGRAMS = 1_000_000
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
-MOST_WORDS = 300_000
+MOST_WORDS = 100_000
 
 
 @lru_cache(maxsize=MOST_WORDS)

@@ -51,7 +51,7 @@ BAND_REGISTERS = 5
 # Pivots of a bucket in a round, as a multiple of those in the round before.
 PIVOT_GROWTH = 4
 WORD = regex.compile(r"[0-9a-z\u0080-\U0010FFFF]+")
-MOST_WORDS = 300_000
+MOST_WORDS = 100_000
 
 
 @lru_cache(maxsize=MOST_WORDS)

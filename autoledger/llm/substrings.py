@@ -33,7 +33,7 @@ REACH = 3
 ROLL = 4
 MIN_WORDS = 16
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-MOST_WORDS = 300_000
+MOST_WORDS = 100_000
 
 
 @lru_cache(maxsize=MOST_WORDS)

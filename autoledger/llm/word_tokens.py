@@ -25,7 +25,7 @@ CONTRACTIONS = "'(?:[stmd]|re|ve|ll)"
 WORD_PATTERN = rf"[{LETTERS}]+|[{NUMBERS}]|{CONTRACTIONS}|[^\s{LETTERS}{NUMBERS}]+"
 # Fixed value: what tokens at the end of a word end with.
 WORD_END = "</w>"
-MOST_WORDS = 400_000
+MOST_WORDS = 250_000
 
 
 class WordTokens:
