@@ -33,7 +33,7 @@ from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
 from .common import by_slice, mapped, schema_of, texts_of
-from .word_tokens import CONTRACTIONS, LETTERS, MOST_WORDS, NUMBERS, UNSAFE
+from .word_tokens import CONTRACTIONS, LETTERS, NUMBERS, UNSAFE
 
 # Fixed value: how the byte-level vocabulary splits a text of Latin-1 characters. Letters, numbers and marks take
 # one space before them along; of white space before them, all but the last character is a word.
@@ -44,6 +44,7 @@ SPLIT_PATTERN = (
 SPACES = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # Letters after which the states of a word's prefixes are kept for others.
 HEAD = 7
+MOST_WORDS = 250_000
 
 
 def byte_letters() -> list[str]:

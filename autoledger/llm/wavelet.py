@@ -50,9 +50,10 @@ class WaveletMatrix:
         for shift in range(bits - 1, -1, -1):
             bit = (values & values.dtype.type(1 << shift)).astype(bool)
             planes.append(np.packbits(bit))
-            parted = values[~bit]
+            # Places first: on arbitrary bits this is faster than a mask.
+            parted = values.take(np.flatnonzero(~bit))
             zeros.append(len(parted))
-            values = np.concatenate([parted, values[bit]])
+            values = np.concatenate([parted, values.take(np.flatnonzero(bit))])
         return WaveletMatrix(len(values), tuple(planes), tuple(zeros))
 
     @cached_property
@@ -118,8 +119,8 @@ class WaveletMatrix:
         for shift, (plane, zeros) in enumerate(zip(self.planes[::-1], self.zeros[::-1])):
             bit = np.unpackbits(plane, count=self.n).view(bool)
             joined = np.empty_like(values)
-            joined[~bit] = values[:zeros]
-            joined[bit] = values[zeros:] | kind(1 << shift)
+            joined[np.flatnonzero(~bit)] = values[:zeros]
+            joined[np.flatnonzero(bit)] = values[zeros:] | kind(1 << shift)
             values = joined
         return values
 
@@ -173,7 +174,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
             row = {"part": part, "number": number, "doc_ids": [ids], "n_tokens": [sizes], "planes": [matrix]}
             return pd.DataFrame(row)
 
-        for frame in slices(frames, "text", 1_000_000):
+        for frame in slices(frames, "text"):
             part = int(frame["part"].iloc[0])
             for doc_id, one in zip(frame["doc_id"].astype(object), encoder.encode(frame["text"])):
                 ids.append(None if pd.isna(doc_id) else doc_id)
