@@ -33,7 +33,16 @@ from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
 from .common import by_slice, mapped, schema_of, texts_of
-from .word_tokens import CONTRACTIONS, LETTERS, NUMBERS, UNSAFE
+from .word_tokens import (
+    CONTRACTIONS,
+    KINDS,
+    LETTERS,
+    NUMBERS,
+    SPACE,
+    UNSAFE,
+    join_contractions,
+    word_numbers,
+)
 
 # Fixed value: how the byte-level vocabulary splits a text of Latin-1 characters. Letters, numbers and marks take
 # one space before them along; of white space before them, all but the last character is a word.
@@ -42,9 +51,16 @@ SPLIT_PATTERN = (
 )
 # White space as the library's pattern knows it.
 SPACES = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# What stands between texts that are taken together.
+EDGE = "\0"
+EDGE_KIND = 4
+KINDS_AND_EDGE = np.concatenate([[EDGE_KIND], KINDS[1:]]).astype(np.uint8)
 # Letters after which the states of a word's prefixes are kept for others.
 HEAD = 7
-MOST_WORDS = 250_000
+# What a worker remembers, about 100 MB of each.
+MOST_WORDS = 500_000
+MOST_HEADS = 250_000
+MOST_PAIRS = 1_000_000
 
 
 def byte_letters() -> list[str]:
@@ -57,15 +73,22 @@ def byte_letters() -> list[str]:
 
 
 class KnownWords(dict[str, bytes]):
-    """Counts by word, found out where they are first asked for."""
+    """Counts by word, found out where they are first asked for, forgotten if not asked for in a while."""
 
     def __init__(self, find: Callable[[str], bytes]) -> None:
         self.find = find
+        self.before: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        self[word] = counts = self.find(word)
+        self[word] = counts = self.before.get(word) or self.find(word)
         return counts
 
+    def forget(self, most: int) -> None:
+        """Keeps about ``most`` words at the utmost; those asked for since the last time stay."""
+        if len(self) > most // 2:
+            self.before = dict(self)
+            self.clear()
+
 
 class PrefixCounter:
     """Counts of all prefixes of a text under one vocabulary file."""
@@ -155,12 +178,50 @@ class PrefixCounter:
             counts[end - 1] = before + alone[-1]
         return counts
 
+    def of_plain(self, texts: list[str]) -> list[np.ndarray]:
+        """``counts`` of texts of Latin-1 characters without special tokens, by array operations on all of them."""
+        data = f"{EDGE}{EDGE.join(texts)}{EDGE}".encode("latin-1")
+        starts, ends, run_starts, run_ends = spans(np.frombuffer(data, dtype=np.uint8))
+
+        def found(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+            """Per word its number; per number the counts laid end to end, where they begin, and the last one."""
+            numbers, first = word_numbers(data, starts, ends)
+            words = [data[start:end] for start, end in zip(starts[first].tolist(), ends[first].tolist())]
+            known = [
+                bytes(4) if word == EDGE.encode() else self.words[word.decode("latin-1")] for word in words
+            ]
+            counts = np.frombuffer(b"".join(known), dtype=np.int32)
+            sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+            until = np.cumsum(sizes)
+            return numbers, counts, until - sizes, counts[until - 1]
+
+        numbers, counts, begins, totals = found(starts, ends)
+        total = totals[numbers]
+        sizes = ends - starts
+        result = counts[np.repeat(begins[numbers] - starts, sizes) + np.arange(len(data))]
+        result += np.repeat(np.cumsum(total, dtype=np.int32) - total, sizes)
+        if len(run_starts):
+            numbers, _, _, totals = found(run_starts, run_ends)
+            result[run_ends - 1] = result[run_starts - 1] + totals[numbers]
+        edges = list(accumulate((len(text) + 1 for text in texts), initial=0))
+        return [result[start:end] - result[start] for start, end in zip(edges, edges[1:])]
+
+    def all_counts(self, texts: list[str]) -> list[np.ndarray]:
+        """``counts`` of each text."""
+        self.words.forget(MOST_WORDS)
+        plain = [
+            UNSAFE.search(text) is None and not ("<" in text and self.special_pattern.search(text))
+            for text in texts
+        ]
+        together = iter(self.of_plain([text for text, is_plain in zip(texts, plain) if is_plain]))
+        return [next(together) if is_plain else self.counts(text) for text, is_plain in zip(texts, plain)]
+
     def counts(self, text: str) -> np.ndarray:
         """Counts of the prefixes of 0, 1, 2, ... characters of a text."""
-        if len(self.words) > MOST_WORDS:
-            self.words.clear()
+        self.words.forget(MOST_WORDS)
+        if len(self.heads) > MOST_HEADS:
             self.heads.clear()
-        if self.n_pairs > 4 * MOST_WORDS:
+        if self.n_pairs > MOST_PAIRS:
             self.pairs.clear()
             self.n_pairs = 0
         parts, total, place = [np.zeros(1, dtype=np.int32)], 0, 0
@@ -176,6 +237,27 @@ class PrefixCounter:
         return np.concatenate(parts)
 
 
+def spans(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words of Latin-1 texts between edges, each edge a word of its own.
+
+    Also starts and ends of runs of white space, of two and more, that other characters follow in their text.
+    """
+    kinds = KINDS_AND_EDGE[chars]
+    new = np.ones(len(chars), dtype=bool)
+    new[1:] = (kinds[1:] != kinds[:-1]) | (kinds[1:] == EDGE_KIND)
+    run_starts = np.flatnonzero(new & (kinds == SPACE))
+    run_ends = np.flatnonzero((kinds[:-1] == SPACE) & (kinds[1:] != SPACE)) + 1
+    followed = kinds[run_ends] != EDGE_KIND
+    run_starts, run_ends = run_starts[followed], run_ends[followed]
+    # The last character of a run before a word is apart, and part of that word if it is a space.
+    new[run_ends - 1] = True
+    new[run_ends[chars[run_ends - 1] == ord(" ")]] = False
+    join_contractions(chars, new)
+    starts = np.flatnonzero(new)
+    long = run_ends - run_starts > 1
+    return starts, np.append(starts[1:], len(chars)), run_starts[long], run_ends[long]
+
+
 @lru_cache(maxsize=2)
 def prefix_counter(path: str) -> PrefixCounter:
     """One per worker process and vocabulary file."""
@@ -195,7 +277,7 @@ def token_counts(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str
             {
                 "doc_id": frame["doc_id"],
                 "n_bytes": [len(text.encode()) for text in frame["text"]],
-                "prefix_tokens": [counter.counts(text) for text in frame["text"]],
+                "prefix_tokens": counter.all_counts(frame["text"].tolist()),
             }
         )
 

@@ -115,12 +115,8 @@ class WordTokens:
         return [next(split if is_plain else whole) for is_plain in plain]
 
 
-def word_spans(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where words start and end, in lower-case Latin-1 characters."""
-    kinds = KINDS[chars]
-    new = np.ones(len(chars), dtype=bool)
-    new[1:] = (kinds[1:] != kinds[:-1]) | (kinds[1:] == NUMBER)
-    # An apostrophe that begins a run of marks takes the letters of a contraction along.
+def join_contractions(chars: np.ndarray, new: np.ndarray) -> None:
+    """An apostrophe that begins a word takes the letters of a contraction along."""
     at = np.flatnonzero((chars == APOSTROPHE) & new)
     after = np.concatenate([chars, np.zeros(2, dtype=np.uint8)])
     one, two = after[at + 1], after[at + 2]
@@ -132,6 +128,14 @@ def word_spans(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         ends = at[which] + size
         ends = ends[ends < len(chars)]
         new[ends] = True
+
+
+def word_spans(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words start and end, in lower-case Latin-1 characters."""
+    kinds = KINDS[chars]
+    new = np.ones(len(chars), dtype=bool)
+    new[1:] = (kinds[1:] != kinds[:-1]) | (kinds[1:] == NUMBER)
+    join_contractions(chars, new)
     starts = np.flatnonzero(new)
     ends = np.append(starts[1:], len(chars))
     words = kinds[starts] != SPACE
