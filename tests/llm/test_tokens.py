@@ -94,6 +94,34 @@ def test_word_ids_are_the_librarys():
     assert encoder.encode(texts) == encoder.library(texts)
 
 
+EDGE_CASES = [
+    "", " ", "\n\n", "'", "'s", " 's", "\n's", "it's 're'd", "x'll've", "a  b", "a\n b", "a \nb", "a ", "12 3", "a" * 8,
+    "a" * 9, f"{'a' * 70} {'a' * 71} {'a' * 70}", "ÀÉ ß µ ²½", "<|endoftext|> a", "日本", "x\x00y",
+]
+
+
+def test_batches_split_as_the_library_does():
+    draw = random.Random(7)
+    texts = [*EDGE_CASES, *("".join(draw.choice("abstvrel'' \n.1À") for _ in range(20)) for _ in range(200))]
+    words, counter = WordTokens(WORDS), PrefixCounter(BYTES)
+    assert words.encode(texts) == words.library(texts)
+    library = Tokenizer.from_file(BYTES)
+    for text, counts in zip(texts, counter.all_counts(texts)):
+        prefixes = [text[:end] for end in range(len(text) + 1)]
+        assert counts.tolist() == [len(library.encode(one, add_special_tokens=False).ids) for one in prefixes]
+    assert words.encode([]) == [] and counter.all_counts([]) == []
+
+
+def test_forgetting_words_changes_nothing(monkeypatch):
+    monkeypatch.setattr("autoledger.llm.word_tokens.MOST_WORDS", 4)
+    monkeypatch.setattr("autoledger.llm.token_counts.MOST_WORDS", 4)
+    texts = ["one two three four", "two five six", "one seven", "two one"]
+    words, counter = WordTokens(WORDS), PrefixCounter(BYTES)
+    for text in texts:
+        assert words.encode([text]) == words.library([text])
+        assert counter.all_counts([text])[0].tolist() == PrefixCounter(BYTES).counts(text).tolist()
+
+
 def ids_of(text: str | None, end: int) -> bytes:
     ids = Tokenizer.from_file(WORDS).encode(text or "", add_special_tokens=False).ids
     return np.array([*ids, end], dtype="<u4").tobytes()
