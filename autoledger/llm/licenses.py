@@ -1,9 +1,15 @@
 """License scan of a tree of files, and inheritance from the nearest directory with a licence file.
 
-**Scan.** Each line of a file, and the file as a whole, is a sparse TF-IDF vector; so is each template. The inverse
-document frequencies are those of the templates, with the value of an unseen term for all others, so a vector does
-not depend on which files are scanned together. A file has the license of the template with the largest cosine
-among its lines and its whole text, if that is at least ``THRESHOLD``. Only templates that share a term are compared.
+**Scan.** Each line of a file, each run of lines and the file as a whole are sparse TF-IDF vectors; so is each
+template. A notice wrapped over lines is a run, wherever it stands in a header, with or without blank lines and
+comment marks. The inverse document frequencies are those of the templates, with the value of an unseen term for all
+others, so a vector does not depend on which files are scanned together. A file has the license of the template with
+the largest cosine among its lines, runs and whole text, if that is at least ``THRESHOLD``. Only templates that share
+a term are compared.
+
+A run ends with the line that brings it to twice the terms of the longest template. The square of a run's cosine is at
+most the sum of the squares of its lines' cosines, as no weight is negative; runs which that keeps below the threshold
+are not computed, so a cosine below the threshold is that of a line or of the whole text.
 
 **Inheritance.** A file without a license of its own takes that of the nearest directory above it, its own first, that
 holds a licence file. Directories are joined by path: distinct directories first, each with its ancestors, so the
@@ -76,6 +82,12 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     ),
 }
 TERM = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
+# Comment marks that would read as terms; all others hold no letter.
+COMMENT_WORD = re.compile(r"^(?:c(?=\s)|\s*(?:@?rem|dnl)(?=\s))")
+# A term broken at its hyphen by a line's end.
+BROKEN_TERM = re.compile(rf"({TERM.pattern}-)\r?\n([^a-z0-9\n]*)({TERM.pattern})")
+# Rounding of the sums of squares.
+SLACK = 1e-9
 
 
 class Templates:
@@ -87,37 +99,89 @@ class Templates:
         self.unseen = math.log(1 + len(named)) + 1
         self.idf = {term: math.log((1 + len(named)) / (1 + n)) + 1 for term, n in frequency.items()}
         self.names = [name for name, _ in named]
+        self.most_terms = 2 * max((terms.total() for _, terms in named), default=0)
         self.postings: dict[str, list[tuple[int, float]]] = defaultdict(list)
         for place, (_, terms) in enumerate(named):
             norm = math.sqrt(sum((n * self.idf[term]) ** 2 for term, n in terms.items()))
             for term, n in terms.items():
                 self.postings[term].append((place, n * self.idf[term] / norm))
 
-    def best(self, terms: Counter[str]) -> tuple[float, str | None]:
-        """The largest cosine to a template, and its license."""
+    def cosines(self, terms: Counter[str]) -> dict[int, float]:
+        """Cosines to the templates that share a term."""
         shared = terms.keys() & self.postings.keys()
         if not shared:
-            return 0.0, None
+            return {}
         products: dict[int, float] = defaultdict(float)
         for term in sorted(shared):
             weight = terms[term] * self.idf[term]
             for place, share in self.postings[term]:
                 products[place] += weight * share
         norm = math.sqrt(sum((n * self.idf.get(term, self.unseen)) ** 2 for term, n in terms.items()))
-        place = min(products, key=lambda one: (-products[one], one))
-        return products[place] / norm, self.names[place]
+        return {place: product / norm for place, product in products.items()}
+
+    def best(self, cosines: Mapping[int, float]) -> tuple[float, str | None]:
+        """The largest cosine to a template, and its license."""
+        if not cosines:
+            return 0.0, None
+        place = min(cosines, key=lambda one: (-cosines[one], one))
+        return cosines[place], self.names[place]
+
+    def lines_of(self, text: str) -> list[str]:
+        """Lines in lower case without comment words; a term of the templates that is broken stands on the first."""
+
+        def whole(broken: re.Match[str]) -> str:
+            head, mark, tail = broken.groups()
+            return f"{head}{tail}\n{mark}" if head + tail in self.idf else broken[0]
 
-    def license_of(self, text: str) -> tuple[float, str | None]:
+        return [COMMENT_WORD.sub("", line) for line in BROKEN_TERM.sub(whole, text.lower()).split("\n")]
+
+    def license_of(self, text: str, threshold: float = THRESHOLD) -> tuple[float, str | None]:
         whole: Counter[str] = Counter()
         best: tuple[float, str | None] = (0.0, None)
-        for line in text.lower().split("\n"):
+        lines: list[tuple[Counter[str], int, dict[int, float]]] = []
+        for line in self.lines_of(text):
             terms = Counter(TERM.findall(line))
+            if not terms:
+                continue
             whole.update(terms)
-            found = self.best(terms)
+            cosines = self.cosines(terms)
+            lines.append((terms, terms.total(), cosines))
+            found = self.best(cosines)
             if found[0] > best[0]:
                 best = found
-        found = self.best(whole)
-        return found if found[0] > best[0] else best
+        if len(lines) > 1:
+            found = self.best(self.cosines(whole))
+            best = found if found[0] > best[0] else best
+        return self.best_run(lines, threshold, best)
+
+    def best_run(
+        self,
+        lines: Sequence[tuple[Counter[str], int, dict[int, float]]],
+        threshold: float,
+        best: tuple[float, str | None],
+    ) -> tuple[float, str | None]:
+        """The best of what is found already and of the runs of two lines and more that reach the threshold."""
+        squares: dict[int, float] = defaultdict(float)
+        end, n_terms = 0, 0
+        for start, (first, n_first, cosines) in enumerate(lines):
+            while end < len(lines) and (n_terms < self.most_terms or end <= start):
+                n_terms += lines[end][1]
+                for place, cosine in lines[end][2].items():
+                    squares[place] += cosine * cosine
+                end += 1
+            # A run that starts with a line of no cosine is worse than the rest of it.
+            if cosines and end - start > 1 and max(squares.values()) + SLACK >= max(threshold, best[0]) ** 2:
+                terms = Counter(first)
+                for more, _, shared in lines[start + 1 : end]:
+                    terms.update(more)
+                    if shared:
+                        found = self.best(self.cosines(terms))
+                        if found[0] >= threshold and found[0] > best[0]:
+                            best = found
+            n_terms -= n_first
+            for place, cosine in cosines.items():
+                squares[place] -= cosine * cosine
+        return best
 
 
 def scanned(
@@ -127,7 +191,7 @@ def scanned(
 
     def scan(frame: pd.DataFrame) -> pd.DataFrame:
         known = Templates(templates)
-        found = [known.license_of(text) for text in frame["text"]]
+        found = [known.license_of(text, threshold) for text in frame["text"]]
         return pd.DataFrame(
             {
                 "path": frame["path"],

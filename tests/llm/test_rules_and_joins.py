@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -242,6 +245,76 @@ def test_licenses_and_inheritance(spark):
     assert licenses.licenses(table.limit(0)).count() == 0
 
 
+GPL_HEADER = """\
+ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+"""
+BSD_FILE = """\
+Copyright (c) 2020, Some Body
+All rights reserved.
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation.
+"""
+MIT_FILE = """\
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+"""
+
+
+def test_wrapped_notices(spark):
+    code = "\n".join(f"value{i} = compute(value{i + 1}, other{i})" for i in range(200))
+    by_hyphen = "# This work is licensed under a Creative Commons Attribution-\n# ShareAlike 4.0\n# International License."
+    rem = "".join(f"REM {line[3:]}\n" for line in GPL_HEADER.splitlines())
+    files = [
+        ("a.c", f"/* a.c - the first file\n *\n{GPL_HEADER} */\n{code}", "GPL-3.0"),
+        ("a.bat", f"@echo off\n{rem}{code}", "GPL-3.0"),
+        ("below.c", f"{code}\n{GPL_HEADER}{code}", "GPL-3.0"),
+        ("blank.c", GPL_HEADER.replace("\n", "\r\n *\r\n") + code, "GPL-3.0"),
+        ("bsd/LICENSE", BSD_FILE, "BSD-3-Clause"),
+        ("bsd/plain.py", code, "BSD-3-Clause"),
+        ("mit.py", MIT_FILE + code, "MIT"),
+        ("sa.py", f"{by_hyphen}\n{code}", "CC-BY-SA-4.0"),
+        ("none.py", f"{code}\n# This program is free to modify the terms\n# and the version of its option\n{code}", None),
+    ]
+    table = spark.createDataFrame([one[:2] for one in files], "path string, text string")
+    got = {row.path: (row.license, row.licensed_by) for row in licenses.licenses(table).collect()}
+    by = {"bsd/plain.py": "bsd/LICENSE"}
+    assert got == {path: (name, by.get(path)) for path, _, name in files}
+
+
+def test_runs_of_lines_equal_all_runs():
+    """What the bound leaves out is never the best run."""
+    draw = random.Random(9)
+    known = licenses.Templates(licenses.TEMPLATES)
+    texts = [text for group in licenses.TEMPLATES.values() for text in group]
+    for _ in range(150):
+        spelled = " ".join(
+            [f"other{draw.random()}", "the terms of use", *draw.sample(texts, 2), f"code{draw.random()}"]
+        ).split()
+        for _ in range(draw.randrange(12)):
+            spelled[draw.randrange(len(spelled))] = "else"
+        width = draw.randint(2, 12)
+        lines = [" ".join(spelled[at : at + width]) for at in range(0, len(spelled), width)]
+        expected = (0.0, None)
+        for start in range(len(lines)):
+            for end in range(start + 1, len(lines) + 1):
+                vector = Counter(licenses.TERM.findall(" ".join(lines[start:end]).lower()))
+                expected = max(expected, known.best(known.cosines(vector)), key=lambda one: one[0])
+        found = known.license_of("\n".join(lines))
+        if expected[0] >= licenses.THRESHOLD:
+            assert abs(found[0] - expected[0]) < 1e-12
+        else:
+            assert found[0] < licenses.THRESHOLD
+
+
 def test_op2_against_nearest_folder_by_hand(spark):
     rows = queries.op2_license_scan(spark, SMALL).collect()
     assert len(rows) == spark.read.parquet(f"{SMALL}/documents.parquet").count()
