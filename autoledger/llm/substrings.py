@@ -11,7 +11,8 @@ at its ends, which depend on what is around it.
 
 Cases: a null, empty or short text has no span; the first document of a passage keeps it, the others lose it;
 repeats within one document are not touched; documents with equal ids count as one document, a null id as the
-least; other columns are not read by ``repeated_spans`` and are kept by ``without_repeats``.
+least; texts under one id are told apart by a hash and have spans of their own, and a row that is repeated has the
+spans of one; other columns are not read by ``repeated_spans`` and are kept by ``without_repeats``.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import by_slice, column, mapped, schema_of, stored, texts_of
@@ -77,24 +78,35 @@ def chunks_of(text: str) -> list[tuple[int, int, int, bytes]]:
     return chunks
 
 
+def hash_of(text: Column) -> Column:
+    """Tells the texts under one id apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def chunks(docs: DataFrame) -> DataFrame:
-    """A row per chunk of ``doc_id`` and ``text``, numbered within its document."""
+    """A row per chunk of ``doc_id`` and ``text``, numbered within its text."""
 
     def cut(frame: pd.DataFrame) -> pd.DataFrame:
         names = ["chunk", "start", "end", "words", "digest"]
         found = [chunks_of(text) for text in frame["text"]]
         rows = [(number, *chunk) for one in found for number, chunk in enumerate(one)]
         result = pd.DataFrame(rows, columns=names)
-        ids = frame["doc_id"].repeat([len(one) for one in found]).reset_index(drop=True)
-        return result.assign(doc_id=ids)
+        of = frame[["doc_id", "text_hash"]]
+        of = of.loc[of.index.repeat([len(one) for one in found])].reset_index(drop=True)
+        return result.assign(doc_id=of["doc_id"], text_hash=of["text_hash"])
 
-    fields = "chunk int, start int, end int, words int, digest binary"
-    return mapped(docs, by_slice(cut), schema_of(docs, fields))
+    fields = "text_hash long, chunk int, start int, end int, words int, digest binary"
+    return mapped(docs.withColumn("text_hash", hash_of(F.col("text"))), by_slice(cut), schema_of(docs, fields))
 
 
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Spans of text that an earlier document holds as well: ``doc_id``, ``start`` and ``end`` in characters,
     ``words``, and ``first_docs``, the documents that keep them."""
+    return spans_by_text(docs, min_words, id, text).drop("text_hash")
+
+
+def spans_by_text(docs: DataFrame, min_words: int, id: str, text: str) -> DataFrame:
+    """``repeated_spans`` with ``text_hash``, as texts of one id have spans of their own."""
     cut = stored(chunks(texts_of(docs, id, text)), "chunks")
     holders = (
         cut.groupBy("digest")
@@ -110,15 +122,20 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, id: str = "doc_i
     again = cut.join(holders, "digest").filter(
         F.col("doc_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("first_doc"))
     )
-    # Consecutive chunks keep the difference of their number and their rank. One document's chunks at a time.
-    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("chunk", "start"))
-    runs = again.withColumn("run", F.col("chunk") - rank)
+    # Consecutive chunks keep the difference of their number and their rank. One text's chunks at a time; those of
+    # repeated rows have one rank, and only the first of them adds its words.
+    by_text = Window.partitionBy("doc_id", "text_hash").orderBy("chunk")
+    runs = again.select(
+        "*",
+        (F.col("chunk") - F.dense_rank().over(by_text)).alias("run"),
+        F.lag("chunk").over(by_text).eqNullSafe(F.col("chunk")).alias("is_copy"),
+    )
     return (
-        runs.groupBy("doc_id", "run")
+        runs.groupBy("doc_id", "text_hash", "run")
         .agg(
             F.min("start").alias("start"),
             F.max("end").alias("end"),
-            F.sum("words").alias("words"),
+            F.sum(F.when(~F.col("is_copy"), F.col("words"))).alias("words"),
             F.array_sort(F.collect_set("first_doc")).alias("first_docs"),
         )
         .filter(F.col("words") >= min_words)
@@ -134,13 +151,14 @@ def without_repeats(
     n_chars: str = "n_chars",
 ) -> DataFrame:
     """The documents, with all their columns, their repeated spans cut out of the text; ``n_chars`` follows."""
-    spans = repeated_spans(docs, min_words, id, text)
-    by_document = spans.groupBy(F.col("doc_id").alias("_id")).agg(
+    spans = spans_by_text(docs, min_words, id, text)
+    by_document = spans.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(
         F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_spans")
     )
     row = F.struct(*[column(name) for name in docs.columns]).alias("row")
     rows = docs.select(row, column(id).alias("_doc"), column(text).cast("string").alias("_text"))
-    found = rows.join(by_document, F.col("_doc") == F.col("_id"), "left")
+    same = (F.col("_doc") == F.col("_id")) & (hash_of(F.col("_text")) == F.col("_hash"))
+    found = rows.join(by_document, same, "left")
     # What is left stands between the end of one span and the start of the next.
     ends = F.concat(F.array(F.lit(0)), F.transform("_spans", lambda span: span["end"]))
     starts = F.concat(F.transform("_spans", lambda span: span["start"]), F.array(F.char_length("_text")))

@@ -182,6 +182,29 @@ def test_repeats_of_awkward_rows(spark, awkward_wide, empty):
     assert cut.columns == awkward_wide.columns and cut.count() == len(awkward_rows())
 
 
+def test_spans_of_repeated_rows_are_whole(spark):
+    """A row that is there twice, and two texts under one id, have the spans that each has alone."""
+    draw = random.Random(10)
+    first, other = words(draw, 200), words(draw, 60)
+    one = words(draw, 20) + first + words(draw, 20)
+    two = words(draw, 70) + other + words(draw, 10)
+    firsts = [(1, " ".join(first)), (2, " ".join(other))]
+
+    def spans(rows):
+        docs = spark.createDataFrame(firsts + rows, "doc_id long, text string")
+        found = [(r.doc_id, r.start, r.end, r.words, r.first_docs) for r in substrings.repeated_spans(docs).collect()]
+        left = Counter((r.doc_id, r.text) for r in substrings.without_repeats(docs).collect())
+        return sorted(found), left - Counter(firsts)
+
+    one, two = (8, " ".join(one)), (8, " ".join(two))
+    (of_one, left_of_one), (of_two, left_of_two) = spans([one]), spans([two])
+    assert [len(of_one), len(of_two)] == [1, 1] and of_one[0][3] > 180 and of_two[0][3] > 40
+    assert spans([one, one, one]) == (of_one, left_of_one + left_of_one + left_of_one)
+    both, left = spans([one, two, two])
+    assert both == sorted(of_one + of_two)
+    assert left == left_of_one + left_of_two + left_of_two
+
+
 def test_pipeline_stage_by_stage(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     rows = docs
