@@ -1,7 +1,7 @@
 """Stupid-backoff scores of documents under the n-gram counts of the whole corpus.
 
-Counts of single words and of word pairs are a table partitioned by the hash of the n-gram. The corpus has about as
-many pairs as words, so neither side of the join goes as one row per occurrence:
+Counts of all n-grams up to an order are a table partitioned by the hash of the n-gram. The corpus has about as many
+long n-grams as words, so neither side of the join goes as one row per occurrence:
 
 1. documents are put into blocks of bounded size, written once;
 2. a block sends each of its distinct n-grams once, with its number there, to the partition of its hash: one row
@@ -12,9 +12,12 @@ many pairs as words, so neither side of the join goes as one row per occurrence:
 An n-gram that a third of all documents hold is one entry per block, so no partition is uneven. The number of
 partitions follows the number of n-grams, and so does what is moved.
 
-The score of a word after another is ``count(pair) / count(other)`` if the pair occurs ``MIN_COUNT`` times or more
-in the corpus, else ``BACKOFF * count(word) / total``; the first word of a text is scored alone. N-grams are told
-apart by 64-bit hashes.
+The score of a word after others is ``count(others and word) / count(others)`` if the n-gram occurs ``min_count`` times
+or more in the corpus, else ``BACKOFF`` times its score after one word less, down to ``count(word) / total``, which holds
+for any count. The others are the ``order - 1`` words before it, or as many as the text has; the first word of a text is
+scored alone. A word is backed off if its longest n-gram is not the one that scored it. N-grams are told apart by
+64-bit hashes. ``MIN_COUNT`` is two as the texts that are scored are the corpus: an n-gram that occurs once is known
+from the place that is scored, and with one counted no word would ever be backed off.
 
 Cases: a null or empty text has no tokens and a null score; repeated rows count as often as they are there and are
 answered one by one; null ids are kept; an empty table gives an empty result; other columns are not read.
@@ -22,6 +25,7 @@ answered one by one; null ids are kept; an empty table gives an empty result; ot
 
 from __future__ import annotations
 
+import math
 import re
 import string
 import zlib
@@ -58,21 +62,57 @@ def hashed_words(text: str) -> np.ndarray:
     return np.fromiter(map(word_hash, words), dtype=np.uint64, count=len(words))
 
 
-def pair_hashes(words: np.ndarray) -> np.ndarray:
-    """One per pair of neighbours; mixed so that the order of the two matters."""
-    mixed = words[:-1] * np.uint64(0x9E3779B97F4A7C15)
-    mixed = (mixed ^ (mixed >> np.uint64(29))) + words[1:]
+def longer_hashes(ngrams: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """One per n-gram and the word that follows it; mixed so that the order of the two matters."""
+    mixed = ngrams * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (mixed ^ (mixed >> np.uint64(29))) + words
     mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
     return mixed ^ (mixed >> np.uint64(29))
 
 
-def ngrams(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Hashes of the words and of the pairs of all texts end to end, and the number of words of each text."""
+def ngrams(texts: list[str], order: int) -> tuple[Iterator[np.ndarray], np.ndarray]:
+    """Hashes of the n-grams of all texts end to end, an array for each order from 1, and the number of words of each
+    text."""
     words = [hashed_words(text) for text in texts]
     sizes = np.array([len(one) for one in words], dtype=np.int64)
-    pairs = [pair_hashes(one) for one in words if len(one) > 1]
-    nothing = np.zeros(0, dtype=np.uint64)
-    return [np.concatenate([nothing, *words]), np.concatenate([nothing, *pairs])], sizes
+    joined = np.concatenate([np.zeros(0, dtype=np.uint64), *words])
+
+    def by_order() -> Iterator[np.ndarray]:
+        places = places_of(sizes)
+        hashes, starts = joined, np.arange(len(joined))
+        yield hashes
+        for n in range(2, order + 1):
+            # An n-gram starts where one shorter by a word does and its last word is in the same text.
+            fits = sizes.repeat(sizes)[starts] - places[starts] >= n
+            starts = starts[fits]
+            hashes = longer_hashes(hashes[fits], joined[starts + n - 1])
+            yield hashes
+
+    return by_order(), sizes
+
+
+def places_of(sizes: np.ndarray) -> np.ndarray:
+    """The place of each word in its text, from 0."""
+    return np.arange(sizes.sum()) - (np.cumsum(sizes) - sizes).repeat(sizes)
+
+
+def log_scores(totals: Iterator[np.ndarray], sizes: np.ndarray, n_words: int, min_count: int) -> tuple:
+    """Log score of each word, and whether it is backed off, by the counts of its n-grams, an array for each order."""
+    places = places_of(sizes)
+    shorter = next(totals)
+    result = np.log(shorter / n_words)
+    backed_off = np.zeros(len(shorter), dtype=bool)
+    ends = np.arange(len(shorter))
+    for order, counts in enumerate(totals, 2):
+        # Shorter n-grams by the place of their last word; those that a longer one can end with or start with.
+        of_place = np.zeros(len(places))
+        of_place[ends] = shorter
+        ends = np.flatnonzero(places >= order - 1)
+        known = counts >= min_count
+        result[ends] = np.where(known, np.log(counts / of_place[ends - 1]), math.log(BACKOFF) + result[ends])
+        backed_off[ends] = ~known
+        shorter = counts
+    return result, backed_off
 
 
 def unpacked(texts: bytes, sizes: np.ndarray) -> list[str]:
@@ -111,8 +151,12 @@ def blocks(docs: DataFrame) -> DataFrame:
     return mapped(docs, gather, schema)
 
 
-def scores(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: ``n_tokens``, ``n_backed_off`` words and ``mean_log_score``."""
+def scores(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", order: int = ORDER, min_count: int = MIN_COUNT
+) -> DataFrame:
+    """Per document: ``n_tokens``, ``n_backed_off`` words and ``mean_log_score``, by n-grams of up to ``order`` words."""
+    if order < 1 or min_count < 1:
+        raise ValueError("order and min_count are 1 or more")
     docs = texts_of(docs, id, text)
     held = stored(blocks(docs), "blocks")
     n_words = held.agg(F.sum("n_words")).first()[0] or 0
@@ -121,15 +165,15 @@ def scores(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.itertuples():
-                for order, hashes in enumerate(ngrams(unpacked(row.texts, row.sizes))[0], 1):
+                for n, hashes in enumerate(ngrams(unpacked(row.texts, row.sizes), order)[0], 1):
                     distinct, counts = np.unique(hashes, return_counts=True)
                     bucket = (distinct >> np.uint64(64 - bits)).astype(np.int64)
                     cuts = np.flatnonzero(np.diff(bucket)) + 1
                     parts = zip(np.split(bucket, cuts), np.split(distinct, cuts), np.split(counts, cuts))
                     yield pd.DataFrame(
                         [
-                            (order, int(of[0]), row.block, part.tobytes(), n.astype("<u4").tobytes())
-                            for of, part, n in parts
+                            (n, int(of[0]), row.block, part.tobytes(), count.astype("<u4").tobytes())
+                            for of, part, count in parts
                             if len(part)
                         ],
                         columns=["order", "bucket", "block", "hashes", "counts"],
@@ -165,26 +209,19 @@ def scores(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
         """Scores of the documents of one block."""
         results = []
         for row in right.itertuples():
-            hashes, sizes = ngrams(unpacked(row.texts, row.sizes))
-            found = []
-            for order, one in enumerate(hashes, 1):
-                parts = left[left["order"] == order].sort_values("bucket")
-                known = [
-                    np.frombuffer(part, dtype=f"<u{width}").astype(np.float64)
-                    for part, width in zip(parts["totals"], parts["width"])
-                ]
-                _, place = np.unique(one, return_inverse=True)
-                found.append(np.concatenate([np.zeros(0), *known])[place])
-            singles, pairs = found
-            result = np.log(BACKOFF * singles / n_words)
-            firsts = np.zeros(len(singles), dtype=bool)
-            firsts[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
-            result[firsts] = np.log(singles[firsts] / n_words)
-            backed_off = ~firsts
-            later, before = np.flatnonzero(~firsts), np.flatnonzero(~firsts) - 1
-            kept = pairs >= MIN_COUNT
-            result[later[kept]] = np.log(pairs[kept] / singles[before[kept]])
-            backed_off[later[kept]] = False
+            hashes, sizes = ngrams(unpacked(row.texts, row.sizes), order)
+
+            def totals() -> Iterator[np.ndarray]:
+                for n, one in enumerate(hashes, 1):
+                    parts = left[left["order"] == n].sort_values("bucket")
+                    known = [
+                        np.frombuffer(part, dtype=f"<u{width}").astype(np.float64)
+                        for part, width in zip(parts["totals"], parts["width"])
+                    ]
+                    _, place = np.unique(one, return_inverse=True)
+                    yield np.concatenate([np.zeros(0), *known])[place]
+
+            result, backed_off = log_scores(totals(), sizes, n_words, min_count)
             of = np.repeat(np.arange(len(sizes)), sizes)
             sums = np.bincount(of, weights=result, minlength=len(sizes))
             means = [total / size if size else None for total, size in zip(sums, sizes)]
@@ -227,3 +264,41 @@ SELECT doc_id, CAST(count(score) AS BIGINT) AS n_tokens,
   round(sum(score) / count(score), 6) AS mean_log_score
 FROM d LEFT JOIN scored USING (r) GROUP BY d.r, doc_id
 """
+
+
+def sql(order: int, min_count: int = MIN_COUNT) -> str:
+    """The same in DuckDB for any order, n-grams being lists of words."""
+    orders = range(2, order + 1)
+    counted = "".join(
+        f""",
+gram{n} AS (
+  SELECT w[i - {n - 1} : i] AS g, count(*) AS n FROM word WHERE i >= {n} GROUP BY 1)"""
+        for n in orders
+    )
+    joins = "".join(
+        f"""
+    LEFT JOIN gram{n} ON i >= {n} AND gram{n}.g = w[i - {n - 1} : i]
+    LEFT JOIN gram{n - 1} before{n} ON i >= {n} AND before{n}.g = w[i - {n - 1} : i - 1]"""
+        for n in orders
+    )
+    score, backed_off = "ln(gram1.n / total.n)", "FALSE"
+    for n in orders:
+        known = f"gram{n}.n >= {min_count}"
+        score = f"CASE WHEN i < {n} THEN {score} WHEN {known} THEN ln(gram{n}.n / before{n}.n) ELSE ln({BACKOFF}) + {score} END"
+        backed_off = f"CASE WHEN i >= {n} THEN NOT {known} ELSE {backed_off} END"
+    return rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+word AS (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+total AS (SELECT count(*) AS n FROM word),
+gram1 AS (SELECT w[i : i] AS g, count(*) AS n FROM word GROUP BY 1){counted},
+scored AS (
+  SELECT r, {backed_off} AS backed_off, {score} AS score
+  FROM word CROSS JOIN total JOIN gram1 ON gram1.g = w[i : i]{joins})
+SELECT doc_id, CAST(count(score) AS BIGINT) AS n_tokens,
+  CAST(coalesce(sum(CAST(backed_off AS INT)), 0) AS BIGINT) AS n_backed_off,
+  round(sum(score) / count(score), 6) AS mean_log_score
+FROM d LEFT JOIN scored USING (r) GROUP BY d.r, doc_id
+"""

@@ -24,6 +24,7 @@ from . import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 TOKEN_LIMIT = 1024
+TRIGRAMS = 3
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +72,12 @@ def op5_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("mean_log_score", F.round("mean_log_score", 6))
 
 
+def op5_trigram_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scores under counts of up to three words."""
+    found = backoff.scores(table(spark, sf_dir, "documents"), order=TRIGRAMS)
+    return found.withColumn("mean_log_score", F.round("mean_log_score", 6))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every span that an earlier document holds, with the documents that keep it."""
     return substrings.repeated_spans(table(spark, sf_dir, "documents"))
@@ -120,6 +127,7 @@ def queries() -> dict[str, Query]:
         "op3_warc_revisits": op3_warc_revisits,
         "op4_best_fit_packing": op4_best_fit_packing,
         "op5_stupid_backoff": op5_stupid_backoff,
+        "op5_trigram_backoff": op5_trigram_backoff,
         "op6_substring_dedup": op6_substring_dedup,
         "op7_wavelet_matrix": op7_wavelet_matrix,
         "op8_decontamination": op8_decontamination,
@@ -132,6 +140,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_warc_revisits": revisits.SQL,
         "op5_stupid_backoff": backoff.SQL,
+        "op5_trigram_backoff": backoff.sql(TRIGRAMS),
         "op8_decontamination": decontamination.SQL,
         "op10_quality_rules": quality_rules.SQL,
     }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections import Counter
 
@@ -214,6 +215,45 @@ def test_backoff_of_awkward_rows(spark, awkward_wide, empty):
     assert backoff.scores(empty).count() == 0
 
 
+def scores_by_hand(texts: list[str], order: int, min_count: int) -> list[tuple]:
+    split = [text.lower().split() for text in texts]
+    total = sum(map(len, split))
+    counts = Counter(
+        tuple(w[i : i + n]) for w in split for n in range(1, order + 1) for i in range(len(w) - n + 1)
+    )
+
+    def score(gram: tuple) -> float:
+        if len(gram) == 1:
+            return counts[gram] / total
+        if counts[gram] >= min_count:
+            return counts[gram] / counts[gram[:-1]]
+        return backoff.BACKOFF * score(gram[1:])
+
+    result = []
+    for w in split:
+        longest = [tuple(w[max(0, i - order + 1) : i + 1]) for i in range(len(w))]
+        backed = sum(len(gram) > 1 and counts[gram] < min_count for gram in longest)
+        mean = sum(math.log(score(gram)) for gram in longest) / len(w) if w else None
+        result.append((len(w), backed, mean))
+    return result
+
+
+@pytest.mark.parametrize(("order", "min_count"), [(1, 2), (2, 2), (3, 2), (3, 1), (4, 2), (5, 3)])
+def test_backoff_of_any_order(spark, order, min_count):
+    draw = random.Random(order)
+    texts = [" ".join(draw.choices("abcdefgh", k=draw.choice([0, 1, 2, 3, 40]))) for _ in range(150)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    rows = sorted(backoff.scores(docs, order=order, min_count=min_count).collect())
+    got = [(row.n_tokens, row.n_backed_off, row.mean_log_score) for row in rows]
+    for one, other in zip(got, scores_by_hand(texts, order, min_count), strict=True):
+        assert one[:2] == other[:2] and one[2] == (other[2] and pytest.approx(other[2], abs=1e-9))
+
+
+def test_sql_of_any_order_agrees_with_the_pairs(sql_rows):
+    names = ["doc_id", "n_tokens", "n_backed_off", "mean_log_score"]
+    assert sql_rows(backoff.sql(2), names) == sql_rows(backoff.SQL, names)
+
+
 def test_licenses_and_inheritance(spark):
     files = [
         ("a/LICENSE", "Released under the MIT License."),
