@@ -258,7 +258,8 @@ def candidate_pairs(opened: DataFrame, threshold: float, bounded: bool) -> DataF
 def classes(
     docs: DataFrame, threshold: float = THRESHOLD, id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """Per row: ``doc_id``, ``node`` (a digest of its text) and ``class_id``, the least id of its class."""
+    """Per row: ``doc_id``, ``node`` (a digest of its text), ``root`` (the least node of its class) and ``class_id``,
+    the least id of its class. If an id stands on several texts, classes may share a ``class_id`` but no ``root``."""
     docs = texts_of(docs, id, text)
     signed = stored(banded(docs), "signatures")
     nodes = stored(
@@ -325,21 +326,21 @@ def classes(
     labelled = nodes.select("node", "id").join(roots, "node", "left")
     labelled = labelled.select("node", "id", F.coalesce("root", "node").alias("root"))
     named = labelled.groupBy("root").agg(F.min("id").alias("class_id"))
-    named = labelled.join(named, "root").select("node", "class_id")
+    named = labelled.join(named, "root").select("node", "root", "class_id")
     return signed.select("doc_id", "node").join(named, "node")
 
 
 def first_of_each(
     docs: DataFrame, threshold: float = THRESHOLD, id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """One document of each class, that of the least id, with all its columns."""
+    """One document of each class, that of the least id and then of the least text digest, with all its columns."""
     found = classes(docs, threshold, id, text)
-    # A class whose ids are all null keeps the row of its least text.
+    # By the root, as one id may stand in several classes.
     chosen = (
         found.filter(F.col("class_id").isNull() | (F.col("doc_id") == F.col("class_id")))
-        .groupBy("class_id", F.when(F.col("class_id").isNull(), F.col("node")).alias("alone"))
+        .groupBy("root", F.col("class_id").alias("_id"))
         .agg(F.min("node").alias("_node"))
-        .select(F.col("class_id").alias("_id"), "_node")
+        .select("_id", "_node")
     )
     row = F.struct(*[column(name) for name in docs.columns]).alias("row")
     whole = F.coalesce(column(text).cast("string"), F.lit(""))

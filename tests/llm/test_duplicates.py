@@ -116,6 +116,17 @@ def test_classes_of_awkward_rows(spark, awkward_wide, empty):
     assert near_duplicates.first_of_each(empty).count() == 0
 
 
+def test_one_id_in_two_classes_keeps_a_row_of_each(spark):
+    draw = random.Random(11)
+    one, two, three = (" ".join(words(draw, 60)) for _ in range(3))
+    rows = [(1, one), (1, two), (1, two), (2, one), (3, two), (4, three), (None, three), (None, one + " more")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(row.doc_id, row.text) for row in near_duplicates.first_of_each(docs).collect()]
+    assert Counter(kept) == Counter([(1, one), (1, two), (4, three)])
+    roots = {(row.doc_id, row.node): row.root for row in near_duplicates.classes(docs).collect()}
+    assert len(set(roots.values())) == 3
+
+
 def test_components_of_chains_and_cycles(spark):
     edges = [(i, i + 1) for i in range(30)] + [(40, 41), (41, 42), (42, 40), (50, 50)]
     found = graph.components(spark.createDataFrame(edges, "a long, b long")).collect()
