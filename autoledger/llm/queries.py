@@ -57,7 +57,8 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = revisits.resolved_revisits(revisits.captures_of_pages(table(spark, sf_dir, "pages")))
+    captures = revisits.captures_of_pages(table(spark, sf_dir, "pages"))
+    found = revisits.resolved_revisits(captures, visit_parameters=revisits.SQL_VISIT_PARAMETERS)
     lines = F.transform("headers", lambda entry: F.concat(entry["key"], F.lit(": "), entry["value"]))
     return found.withColumn("headers", F.array_join(lines, "; "))
 

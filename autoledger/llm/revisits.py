@@ -41,14 +41,17 @@ CONNECTION_HEADERS = (
     "transfer-encoding",
     "upgrade",
 )
-# Query parameters that name a visit and not a page.
-VISIT_PARAMETERS = r"^(utm_[^=]*|ref|sid|sessionid|phpsessid|jsessionid)(=|$)"
+# Query parameters that name a visit and never a page, as a pattern of their names in lower case.
+VISIT_PARAMETERS = r"utm_.*|sessionid|phpsessid|jsessionid"
+# Those that the SQL drops: on some sites ``ref`` and ``sid`` name the content.
+SQL_VISIT_PARAMETERS = rf"{VISIT_PARAMETERS}|ref|sid"
 
 VALIDATORS = ("etag", "last_modified", "digest")
 
 
-def canonical_url(url: Column) -> Column:
-    """Host in lower case without user, ``www`` and default port; path without trailing slash; query sorted."""
+def canonical_url(url: Column, visit_parameters: str = VISIT_PARAMETERS) -> Column:
+    """Host in lower case without user, ``www`` and default port; path without trailing slash; query sorted, without
+    the parameters whose whole names match ``visit_parameters``."""
     bare = F.regexp_replace(F.trim(url), r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
     bare = F.regexp_replace(bare, r"#.*$", "")
     host = F.lower(F.regexp_extract(bare, r"^([^/?]*)", 1))
@@ -56,7 +59,8 @@ def canonical_url(url: Column) -> Column:
         host = F.regexp_replace(host, pattern, "")
     path = F.regexp_replace(F.regexp_extract(bare, r"^[^/?]*([^?]*)", 1), r"/+$", "")
     parameters = F.split(F.regexp_extract(bare, r"\?(.*)$", 1), "&")
-    kept = F.filter(parameters, lambda one: (one != "") & ~F.lower(one).rlike(VISIT_PARAMETERS))
+    name = lambda one: F.lower(F.split(one, "=", 2)[0])
+    kept = F.filter(parameters, lambda one: (one != "") & ~name(one).rlike(f"^(?:{visit_parameters})$"))
     query = F.array_join(F.sort_array(kept), "&")
     return F.concat(host, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")))
 
@@ -99,7 +103,9 @@ def verdict(revisit: Column, response: Column) -> Column:
     return decided.otherwise("unchecked")
 
 
-def resolved_revisits(captures: DataFrame, lanes: int | None = None) -> DataFrame:
+def resolved_revisits(
+    captures: DataFrame, lanes: int | None = None, visit_parameters: str = VISIT_PARAMETERS
+) -> DataFrame:
     """A row per revisit: ``record_id``, ``url_key``, ``status``, ``response_id`` and ``headers``.
 
     ``captures`` has ``record_id``, ``url``, ``time``, ``kind`` (``response`` or ``revisit``), ``etag``,
@@ -111,7 +117,7 @@ def resolved_revisits(captures: DataFrame, lanes: int | None = None) -> DataFram
         "record_id", "time", *VALIDATORS, headers_by_name(F.col("headers")).alias("headers")
     )
     records = captures.filter(F.col("kind").isin("response", "revisit")).select(
-        canonical_url(F.col("url")).alias("url_key"), "time", "kind", facts.alias("record")
+        canonical_url(F.col("url"), visit_parameters).alias("url_key"), "time", "kind", facts.alias("record")
     )
     placed = F.col("url_key").isNotNull() & F.col("time").isNotNull()
     # As many numbers as lanes reach the driver.

@@ -177,6 +177,27 @@ def test_revisits_by_hand(spark):
     assert revisits.resolved_revisits(captures(spark, [])).count() == 0
 
 
+def test_parameters_that_name_content_are_kept(spark):
+    """``ref`` and ``sid`` select a page unless the caller says otherwise; the parameters of a visit never do."""
+    main, dev = "http://code/f?ref=main&utm_source=x&PHPSESSID=1", "http://code/f?jsessionid=2&ref=dev"
+    rows = [
+        (1, main, 1, "response", "e1", None, None, None, "x"),
+        (2, dev, 2, "response", "e2", None, None, None, "x"),
+        (3, "http://code/f?ref=main", 3, "revisit", "e1", None, None, None, "x"),
+        (4, "http://code/f?sid=17&sessionid=3&utm=1", 4, "revisit", None, None, None, None, "x"),
+    ]
+    found = sorted(revisits.resolved_revisits(captures(spark, rows)).collect())
+    assert [(r.record_id, r.url_key, r.status, r.response_id) for r in found] == [
+        (3, "code/f?ref=main", "resolved", 1),
+        (4, "code/f?sid=17&utm=1", "orphan", None),
+    ]
+    dropped = revisits.resolved_revisits(captures(spark, rows), visit_parameters=revisits.SQL_VISIT_PARAMETERS)
+    assert [(r.url_key, r.status) for r in sorted(dropped.collect())] == [
+        ("code/f", "mismatch"),
+        ("code/f?utm=1", "orphan"),
+    ]
+
+
 def test_connection_headers_are_not_merged(spark):
     rows = [
         (1, "http://a/", 1, "response", None, None, None, {"A": "1"}, "x"),
