@@ -39,11 +39,15 @@ BOILERPLATE = (
 )
 NAVIGATION_MARKS = "|»›•→"  # the first is counted by pattern, the rest by replacing: see ``measured``
 SENTENCE_END = r"""[.!?:;…]["'”’»)\]]*$"""
+# The same with the ends of other scripts; the SQL knows only those above.
+ANY_SENTENCE_END = r"""[.!?:;…।॥؟؛۔。．｡！？：；։።፧။។༎\u061D\u037E]["'”’»)\]」』）】》]*$"""
+GOES_ON = r"""^[\x20\x09-\x0D]*["'“‘«(\[]*\p{Ll}"""
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 WINDOW = 3
 UNENDED_WORDS = 10
+WORDS_A_PHRASE = 20
 MAX_LOST_PERCENT = 50
 
 
@@ -56,8 +60,19 @@ def only(text: Column, characters: str) -> Column:
     return F.regexp_replace(text, f"[^{characters}]+", "")
 
 
-def measured(lines: Column) -> Column:
+def measured(lines: Column, as_sql: bool) -> Column:
     """Each line with what the rules ask of it; computed once, as a lambda repeats what it mentions twice."""
+    sentence_end = SENTENCE_END if as_sql else ANY_SENTENCE_END
+
+    def place_in_prose(part: Column) -> list[Column]:
+        if as_sql:
+            return []
+        return [
+            F.char_length(F.rtrim(part["line"])).alias("width"),
+            F.char_length(F.try_element_at(part["words"], F.lit(1))).alias("first"),
+            part["line"].rlike(GOES_ON).alias("goes_on"),
+        ]
+
     marks = SYMBOLS + "!"  # a pattern class of other than ASCII characters would be fifty times as slow
 
     def navigation_marks(part: Column) -> Column:
@@ -82,26 +97,42 @@ def measured(lines: Column) -> Column:
             navigation_marks(part).alias("navigation"),
             F.char_length(only(part["marks"], SYMBOLS)).alias("symbols"),
             F.char_length(only(part["marks"], "!")).alias("shouts"),
-            F.try_element_at(part["words"], F.lit(-1)).rlike(SENTENCE_END).alias("ended"),
+            F.try_element_at(part["words"], F.lit(-1)).rlike(sentence_end).alias("ended"),
+            *place_in_prose(part),
         ),
     )
 
 
-def line_fails(part: Column, is_last: Column, some_boilerplate: Column) -> Column:
+def wrapped(part: Column, following: Column, widest: Column) -> Column:
+    """Whether a line's sentence goes on in the line that follows: that begins in lower case, or its first word
+    had no room left in a text whose lines are no wider than ``widest``."""
+    no_room = part["width"] + 1 + following["first"] > widest
+    return F.coalesce((following["n"] > 0) & (following["goes_on"] | no_room), F.lit(False))
+
+
+def line_fails(part: Column, is_last: Column, some_boilerplate: Column, is_wrapped: Column | None) -> Column:
     """Whether a measured line that holds a word is navigation, boilerplate or badly punctuated.
 
     - navigation: three marks between items or more, and one to every four words or more;
-    - boilerplate: one of the phrases of ``BOILERPLATE``, looked for where the whole text has one;
+    - boilerplate: one of the phrases of ``BOILERPLATE`` to every twenty words or more, looked for where the
+      whole text has one; without ``is_wrapped``, as in the SQL, one in a line of any length;
     - punctuation: more than a tenth of the line is symbols, there is an exclamation mark to every second
       word, or ten words or more stand there without the end of a sentence. The end of a text may be cut off,
-      so its last line needs none.
+      so its last line needs none, nor does a line that is wrapped.
     """
     n = part["n"]
     navigation = (part["navigation"] >= 3) & (part["navigation"] * 4 >= n)
-    boilerplate = some_boilerplate & F.lower(part["line"]).rlike("|".join(BOILERPLATE))
+    phrases = "|".join(BOILERPLATE)
+    if is_wrapped is None:
+        boilerplate = some_boilerplate & F.lower(part["line"]).rlike(phrases)
+    else:
+        n_phrases = F.regexp_count(F.lower(part["line"]), F.lit(phrases))
+        boilerplate = some_boilerplate & (n_phrases * WORDS_A_PHRASE >= n)
     symbols = part["symbols"] * 10 > part["solid"]
     shouting = (n >= 3) & (part["shouts"] * 2 >= n)
     unended = (n >= UNENDED_WORDS) & ~part["ended"] & ~is_last
+    if is_wrapped is not None:
+        unended = unended & ~is_wrapped
     return navigation | symbols | shouting | unended | boilerplate
 
 
@@ -146,7 +177,7 @@ def repeated_words(rows: DataFrame) -> DataFrame:
     ).drop("_hashes", "_ordered", "_at")
 
 
-def judged(rows: DataFrame, text: str) -> DataFrame:
+def judged(rows: DataFrame, text: str, as_sql: bool = False) -> DataFrame:
     """``rows`` with the counts, the verdicts and ``cleaned``, the text without its failing lines.
 
     The columns added are named as in ``quality_rules``; ``text`` names a column without nulls.
@@ -164,7 +195,10 @@ def judged(rows: DataFrame, text: str) -> DataFrame:
         .withColumn("_boilerplate", some_boilerplate)
         .drop("_words")
     )
-    lines = counted.withColumn("_lines", measured(F.split(whole, "\n")))
+    if not as_sql:
+        widths = F.transform(F.split(whole, "\n"), lambda line: F.char_length(F.rtrim(line)))
+        counted = counted.withColumn("_widest", F.array_max(widths))
+    lines = counted.withColumn("_lines", measured(F.split(whole, "\n"), as_sql))
     worded = F.transform(F.filter("_lines", lambda part: part["n"] > 0), lambda part: part["line"])
     lines = lines.withColumn("_worded", worded).withColumn(
         "n_dup_lines", (F.size("_worded") - F.size(F.array_distinct("_worded"))).cast("long")
@@ -172,7 +206,8 @@ def judged(rows: DataFrame, text: str) -> DataFrame:
 
     def stays(part: Column, place: Column) -> Column:
         is_last = place == F.size("_lines") - 1
-        return (part["n"] == 0) | ~line_fails(part, is_last, F.col("_boilerplate"))
+        is_wrapped = None if as_sql else wrapped(part, F.get("_lines", place + 1), F.col("_widest"))
+        return (part["n"] == 0) | ~line_fails(part, is_last, F.col("_boilerplate"), is_wrapped)
 
     cleaned = lines.withColumn("_kept", F.filter("_lines", stays)).withColumn(
         "cleaned", F.array_join(F.transform("_kept", lambda part: part["line"]), "\n")
@@ -191,9 +226,14 @@ def judged(rows: DataFrame, text: str) -> DataFrame:
     return verdict.select(*rows.columns, F.inline(F.array(F.struct(*added))))
 
 
-def quality_rules(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: counts, ``base_failed``, ``kept`` and ``cleaned``, the text without its failing lines."""
-    return judged(texts_of(docs, id, text), "text").select(
+def quality_rules(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", as_sql: bool = False
+) -> DataFrame:
+    """Per document: counts, ``base_failed``, ``kept`` and ``cleaned``, the text without its failing lines.
+
+    ``as_sql`` judges as ``SQL`` does: Latin sentence ends, wrapped lines as unended, a phrase in any line.
+    """
+    return judged(texts_of(docs, id, text), "text", as_sql).select(
         "doc_id",
         "n_words",
         "word_chars",

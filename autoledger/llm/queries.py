@@ -109,7 +109,7 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.quality_rules(table(spark, sf_dir, "documents")).select(
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents"), as_sql=True).select(
         "doc_id",
         "n_words",
         "word_chars",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import textwrap
 from collections import Counter
 
 import pytest
@@ -66,6 +67,27 @@ def test_documents_that_lose_too_much_are_rejected(spark):
     assert quality_rules.kept_documents(docs).select("doc_id").collect() == [(2,)]
 
 
+def test_clean_lines_of_other_kinds_stay(spark):
+    words = [f"word{i}" for i in range(120)]
+    wrapped = textwrap.fill(" ".join([*words[:60], "Name", "Other", *words[60:]]) + ".", 72)
+    other_scripts = [" ".join(words[i : i + 12]) + end for i, end in ((0, "।"), (12, "؟"), (24, "۔"), (36, "。"))]
+    texts = [
+        " ".join(words) + " as the privacy policy says.",
+        "\n".join([*other_scripts, " ".join(words[48:60]) + "."]),
+        wrapped,
+        " ".join(words) + ".\n" + " ".join(words[:12]) + "\nOther words follow here.",
+        " ".join(words) + ".\nRead our privacy policy and terms of use.",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sorted(quality_rules.quality_rules(docs).collect())
+    assert [row.cleaned == text for row, text in zip(rows, texts)] == [True, True, True, False, False]
+    assert rows[3].cleaned == texts[3].split("\n")[0] + "\nOther words follow here."
+    assert rows[4].cleaned == texts[4].split("\n")[0]
+    assert all(row.kept for row in rows)
+    by_sql = sorted(quality_rules.quality_rules(docs, as_sql=True).collect())
+    assert [row.kept for row in by_sql[:3]] == [False, False, False]
+
+
 def test_repeated_words_count_each_word_once(spark):
     cases = {"a b c a b c": 6, "a a a a": 4, "a b c d": 0, "a b c x a b c": 6, "x a b c a b c y": 6, "a b": 0}
     docs = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
