@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import zlib
 from bisect import bisect_left
-from collections import Counter
+from collections import Counter, deque
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -33,11 +33,9 @@ from .word_tokens import word_tokens
 
 CAPACITY = 2048
 END_ID = 0
-# Bounds of the search: steps for one filling, bins at which it branches, steps in all, and branches of a bin.
+# Bounds of the search: steps for one filling, and steps in all after the first dive.
 FILLING_STEPS = 2_000
-SEARCH_STEPS = 200
 ALL_STEPS = 200_000
-BRANCHES = 3
 
 Filling = tuple[int, ...]
 Packing = list[tuple[int, Filling]]
@@ -158,55 +156,59 @@ def fewest_possible(histogram: dict[int, int], capacity: int) -> int:
 
 
 def bin_completion(histogram: dict[int, int], capacity: int = CAPACITY) -> Packing:
-    """Bins as (how often, lengths), as few as the bounded search finds."""
+    """Bins as (how often, lengths), as few as the bounded search finds.
+
+    The first dive takes the best filling of every bin and always ends. Then each bin of each dive, the first one
+    too, gets its next filling with a new dive from there: dives with fewer such changes come first.
+    """
     total = sum(length * count for length, count in histogram.items())
     bound = fewest_possible(histogram, capacity)
     incumbent = best_fit(histogram, capacity)
     fewest = sum(bins for bins, _ in incumbent)
-    bins_filled = all_steps = 0
-
-    def complete(left: dict[int, int], done: Packing, bins: int, waste: int) -> None:
-        nonlocal incumbent, fewest, bins_filled, all_steps
-        first = True
-        while left:
-            # To be better, a solution may waste no more than this in all its bins.
-            allowed = (fewest - 1) * capacity - total
-            if waste > allowed or fewest == bound or all_steps > ALL_STEPS:
-                return
+    steps, is_first = 0, True
+    # A dive to change: its bins, how many of them stay, and the number of the next one's filling.
+    waiting: deque[tuple[Packing, int, int]] = deque([([], 0, 0)])
+    while waiting and fewest > bound and steps <= ALL_STEPS:
+        earlier, n_stay, nth = waiting.popleft()
+        done = earlier[:n_stay]
+        left = dict(histogram)
+        for times, filling in done:
+            take(left, times, filling)
+        bins = sum(times for times, _ in done)
+        waste = sum(times * (capacity - sum(filling)) for times, filling in done)
+        changes = []
+        # To be better, a solution may waste no more than this in all its bins.
+        allowed = (fewest - 1) * capacity - total
+        while left and waste <= allowed and (is_first or steps <= ALL_STEPS):
             largest = max(left)
             rest = dict(left)
             rest[largest] -= 1
-            branching = bins_filled < SEARCH_STEPS
-            choices, steps = fillings(
-                rest,
-                sorted(length for length, count in rest.items() if count),
-                capacity - largest,
-                BRANCHES if branching else 1,
-            )
-            bins_filled, all_steps = bins_filled + 1, all_steps + steps
-            best, others = choices[0], choices[1:]
-            if branching and not first:
-                for other in others:
-                    complete(*used(left, done, bins, waste, (largest, *other)))
-            left, done, bins, waste = used(left, done, bins, waste, (largest, *best))
-            first = False
-        if bins < fewest:
+            lengths = sorted(length for length, count in rest.items() if count)
+            choices, taken = fillings(rest, lengths, capacity - largest, nth + 1)
+            steps += 0 if is_first else taken
+            if nth >= len(choices):
+                break
+            changes.append((len(done), nth + 1))
+            filling = (largest, *choices[nth])
+            need = Counter(filling)
+            times = min(left[length] // count for length, count in need.items())
+            take(left, times, filling)
+            done, bins, waste = [*done, (times, filling)], bins + times, waste + times * (capacity - sum(filling))
+            nth = 0
+        if not left and bins < fewest:
             incumbent, fewest = done, bins
-
-    def used(left: dict[int, int], done: Packing, bins: int, waste: int, filling: Filling):
-        need = Counter(filling)
-        times = min(left[length] // count for length, count in need.items())
-        rest = {
-            length: count - times * need[length]
-            for length, count in left.items()
-            if count > times * need[length]
-        }
-        return rest, [*done, (times, filling)], bins + times, waste + times * (capacity - sum(filling))
-
-    complete(dict(histogram), [], 0, 0)
+        waiting.extend((done, place, number) for place, number in changes)
+        is_first = False
     return incumbent
 
 
+def take(left: dict[int, int], times: int, filling: Filling) -> None:
+    for length in filling:
+        left[length] -= times
+        if not left[length]:
+            del left[length]
+
+
 def places(packing: Packing) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Per length: the first piece number, the first sequence and the offset of each run of equal places."""
     runs: dict[int, list[tuple[int, int, int]]] = {}

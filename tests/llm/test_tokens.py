@@ -179,6 +179,12 @@ def test_bin_completion_beats_best_fit():
     assert sum(times for times, _ in packing.bin_completion(histogram, 10)) == 3
 
 
+def test_bin_completion_changes_the_first_bin():
+    # The best filling of the largest length's bin leads to four bins.
+    histogram = {19: 2, 18: 5, 8: 6}
+    assert sum(times for times, _ in packing.bin_completion(histogram, 60)) == 3
+
+
 def test_wavelet_matrix():
     values = np.random.default_rng(4).integers(0, 50, 3000).astype("<u4")
     matrix = WaveletMatrix.from_bytes(WaveletMatrix.of(values, 16).to_bytes())
