@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import mapped, schema_of, slices, stored, texts_of
+from .common import as_wanted, mapped, schema_of, slices, spelled_ids, spelled_schema, stored, texts_of
 
 ORDER = 2
 BACKOFF = 0.4
@@ -238,7 +238,8 @@ def scores(
         return pd.concat(results) if results else pd.DataFrame(columns=fields.names)
 
     fields = schema_of(docs, "n_tokens long, n_backed_off long, mean_log_score double")
-    return answered.groupBy("block").cogroup(words.groupBy("block")).applyInPandas(score, fields)
+    by_block = answered.groupBy("block").cogroup(spelled_ids(words).groupBy("block"))
+    return as_wanted(by_block.applyInPandas(score, spelled_schema(fields)), fields)
 
 
 # The same in DuckDB.

@@ -65,11 +65,59 @@ def ship(spark: SparkSession) -> None:
     context.addPyFile(str(path))
 
 
+def spelled(kind: T.DataType) -> T.DataType:
+    """The type in which ids go through Python. A column of whole numbers with a null in it becomes one of floats there,
+    which are exact up to 2^53 only, so whole numbers go as text, and so do lists of them."""
+    if isinstance(kind, T.IntegralType):
+        return T.StringType()
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.IntegralType):
+        return T.ArrayType(T.StringType())
+    return kind
+
+
+ID_COLUMNS = ("doc_id", "doc_ids")
+
+
+def spelled_ids(rows: DataFrame) -> DataFrame:
+    """``rows`` with their ids in the form in which Python may see them."""
+    return rows.select(
+        *[
+            column(field.name).cast(spelled(field.dataType)).alias(field.name)
+            if field.name in ID_COLUMNS
+            else column(field.name)
+            for field in rows.schema.fields
+        ]
+    )
+
+
+def spelled_schema(schema: T.StructType) -> T.StructType:
+    """What Python returns where ``schema`` is wanted in the end."""
+    return T.StructType(
+        [
+            T.StructField(field.name, spelled(field.dataType)) if field.name in ID_COLUMNS else field
+            for field in schema.fields
+        ]
+    )
+
+
+def as_wanted(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """Ids back in the types of ``schema``."""
+    return rows.select(
+        *[
+            column(field.name).cast(field.dataType).alias(field.name)
+            if field.name in ID_COLUMNS
+            else column(field.name)
+            for field in schema.fields
+        ]
+    )
+
+
 def mapped(
     rows: DataFrame, transform: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: T.StructType
 ) -> DataFrame:
+    """``mapInPandas`` that keeps ids exact: whole numbers in ``doc_id`` and ``doc_ids`` are text for ``transform``."""
     ship(rows.sparkSession)
-    return rows.mapInPandas(transform, schema)
+    return as_wanted(spelled_ids(rows).mapInPandas(transform, spelled_schema(schema)), schema)
 
 
 def slices(frames: Iterator[pd.DataFrame], text: str, most_chars: int = 4_000_000) -> Iterator[pd.DataFrame]:

@@ -264,11 +264,12 @@ def licenses(
 def files_of_documents(docs: DataFrame) -> DataFrame:
     """The test documents as files: a folder per source and language, and one in it for every fifty ids.
 
-    A document that speaks of a license is a licence file of its source and language.
+    A document that speaks of a license is a licence file of its source and language. Those without an id are
+    files named ``none``.
     """
-    number = F.col("doc_id").cast("string")
+    number = F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))
     licence = F.lower(F.coalesce("text", F.lit(""))).contains("license")
-    folder = F.floor(F.col("doc_id") / 50).cast("string")
+    folder = F.coalesce(F.floor(F.col("doc_id") / 50).cast("string"), F.lit("none"))
     name = F.when(licence, F.concat(F.lit("LICENSE-"), number)).otherwise(
         F.concat(folder, F.lit("/"), number, F.lit(".txt"))
     )

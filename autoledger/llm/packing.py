@@ -58,9 +58,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
                     rows.append((doc_id, piece, start // 4, length, zlib.crc32(part), task, seen[length]))
                     seen[length] += 1
             columns = ["doc_id", "piece", "start", "length", "ids_crc32", "task", "number"]
-            # The id column keeps its own type: a list would turn a missing id into a float.
-            result = pd.DataFrame(rows, columns=columns)
-            yield result.assign(doc_id=pd.array(result["doc_id"], dtype=frame["doc_id"].dtype))
+            yield pd.DataFrame(rows, columns=columns)
 
     fields = "piece int, start long, length int, ids_crc32 long, task int, number long"
     return mapped(docs, cut, schema_of(docs, fields))

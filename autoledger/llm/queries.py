@@ -50,7 +50,7 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents as files of a tree, each with its own or its inherited license."""
     files = licenses.files_of_documents(table(spark, sf_dir, "documents"))
     found = licenses.licenses(files)
-    number = F.regexp_extract("path", r"([0-9]+)(\.txt)?$", 1).cast("long")
+    number = F.regexp_extract("path", r"/(?:LICENSE-)?(-?[0-9]+)(?:\.txt)?$", 1).try_cast("long")
     return found.select(
         number.alias("doc_id"), "path", "license", "origin", F.round("cosine", 6).alias("cosine"), "licensed_by"
     )
@@ -58,7 +58,7 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures = revisits.captures_of_pages(table(spark, sf_dir, "pages"))
-    found = revisits.resolved_revisits(captures, visit_parameters=revisits.SQL_VISIT_PARAMETERS)
+    found = revisits.resolved_revisits(captures)
     lines = F.transform("headers", lambda entry: F.concat(entry["key"], F.lit(": "), entry["value"]))
     return found.withColumn("headers", F.array_join(lines, "; "))
 
