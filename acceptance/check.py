@@ -22,13 +22,22 @@ def rows_of_sql(sf_dir: str, sql: str) -> tuple[list[str], Counter]:
         connection.sql(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
     result = connection.sql(sql)
     order = sorted(range(len(result.columns)), key=lambda position: result.columns[position])
-    rows = Counter(tuple(row[position] for position in order) for row in result.fetchall())
+    rows = Counter(frozen([row[position] for position in order]) for row in result.fetchall())
     return sorted(result.columns), rows
 
 
+def frozen(value):
+    """A value that can be counted: lists as tuples, maps as sorted pairs, rows as tuples of frozen values."""
+    if isinstance(value, (list, tuple)):
+        return tuple(map(frozen, value))
+    if isinstance(value, dict):
+        return tuple(sorted((frozen(key), frozen(held)) for key, held in value.items()))
+    return bytes(value) if isinstance(value, bytearray) else value
+
+
 def rows_of_spark(result: DataFrame) -> tuple[list[str], Counter]:
     names = sorted(result.columns)
-    return names, Counter(tuple(row) for row in result.select(*names).collect())
+    return names, Counter(frozen(row) for row in result.select(*names).collect())
 
 
 def main(sf_dir: str = "/root/testdata/sf0.01", *only: str) -> int:

@@ -5,26 +5,30 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__
+from acceptance import oracles
+from acceptance import queries as acceptance_queries
 from acceptance.check import rows_of_spark, rows_of_sql
 
 from .conftest import SMALL
 
-QUERIES = __spark_entry__.queries()
-ORACLES = __spark_entry__.oracle_sql()
+QUERIES = acceptance_queries.queries()
+ORACLES = oracles.oracle_sql()
 
 
 @pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, name):
     columns, rows = rows_of_spark(QUERIES[name](spark, SMALL))
-    if name in ORACLES:
-        assert (columns, rows) == rows_of_sql(SMALL, ORACLES[name])
-    else:
-        assert rows
+    assert (columns, rows) == rows_of_sql(SMALL, ORACLES[name])
 
 
-def test_only_the_unordered_preview_has_no_sql():
-    assert set(QUERIES) - set(ORACLES) == {"bronze_preview"}
-    assert set(ORACLES) <= set(QUERIES)
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
+
+
+def test_entry_registers_them_all():
+    assert set(QUERIES) <= set(__spark_entry__.queries())
+    assert set(ORACLES) <= set(__spark_entry__.oracle_sql())
+    assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
 def test_entry(spark):
