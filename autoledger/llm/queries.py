@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from . import (
     backoff,
     decontamination,
+    differencing,
+    hard_negatives,
     licenses,
     near_duplicates,
     packing,
@@ -18,6 +20,7 @@ from . import (
     revisits,
     substrings,
     token_counts,
+    turn_repair,
     wavelet,
 )
 
@@ -121,6 +124,25 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are every hundredth vector; every seventh has its neighbour's label."""
+    found = hard_negatives.quantised(table(spark, sf_dir, "embeddings"))
+    label = F.col("label").cast("long")
+    other = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.hard_negatives(found.withColumn("label", other), F.col("vec_id") % 100 == 0)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations with their faults and their cheapest repair."""
+    rows = turn_repair.damaged(table(spark, sf_dir, "conversations"))
+    return turn_repair.repaired(rows, present=F.col("present"))
+
+
+def op13_differencing_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return differencing.packed(table(spark, sf_dir, "documents"), tokenizer)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -134,6 +156,9 @@ def queries() -> dict[str, Query]:
         "op8_decontamination": op8_decontamination,
         "op9_minhash_near_dedup": op9_minhash_near_dedup,
         "op10_quality_rules": op10_quality_rules,
+        "op11_hard_negatives": op11_hard_negatives,
+        "op12_conversation_repair": op12_conversation_repair,
+        "op13_differencing_packing": op13_differencing_packing,
     }
 
 
@@ -144,4 +169,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_trigram_backoff": backoff.sql(TRIGRAMS),
         "op8_decontamination": decontamination.SQL,
         "op10_quality_rules": quality_rules.SQL,
+        "op11_hard_negatives": hard_negatives.SQL,
     }

@@ -10,7 +10,7 @@ SMALL = "/root/testdata/sf0.001"
 def sql_rows():
     """Rows of a query in DuckDB over the small tables, as texts in sorted order."""
     connection = duckdb.connect()
-    for name in ("documents", "benchmark", "pages"):
+    for name in ("documents", "benchmark", "pages", "embeddings"):
         connection.sql(f"CREATE VIEW {name} AS SELECT * FROM '{SMALL}/{name}.parquet'")
 
     def rows(sql: str, columns: list[str]) -> list[str]:

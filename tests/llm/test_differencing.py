@@ -1,0 +1,158 @@
+"""Packing by differencing: whole ids in gapless windows, near-equal and full."""
+
+from __future__ import annotations
+
+import random
+import zlib
+from collections import defaultdict
+from itertools import pairwise
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from autoledger.llm import differencing, queries
+from autoledger.llm.byte_tokens import ByteTokens
+
+from .conftest import SMALL, awkward_rows
+
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(BYTES)
+
+
+def ids_of(library, text):
+    return [*library.encode(text or "", add_special_tokens=False).ids, 1]
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, dtype="<u4").tobytes())
+
+
+def padding(rows, capacity=2048):
+    lengths = defaultdict(int)
+    for row in rows:
+        lengths[row.sequence_id] += row.length
+    return sum(0 if length & (length - 1) == 0 else capacity - length for length in lengths.values())
+
+
+def checked(rows, documents, library, capacity=2048):
+    """Every id of every row in one piece; equal ids hold equal numbers of pieces of each."""
+    pieces, windows = defaultdict(list), defaultdict(list)
+    for row in rows:
+        pieces[row.doc_id].append(row)
+        windows[row.sequence_id].append((row.offset, row.length))
+    for held in windows.values():
+        held.sort()
+        assert held[0][0] == 0 and all(a + n == b for (a, n), (b, _) in pairwise(held))
+        assert sum(held[-1]) <= capacity and all(length > 0 for _, length in held)
+    expected = defaultdict(list)
+    for doc_id, text in documents:
+        expected[doc_id].append(ids_of(library, text))
+    assert set(pieces) == set(expected)
+    for doc_id, texts in expected.items():
+        found = defaultdict(int)
+        for row in pieces[doc_id]:
+            fits = [ids for ids in texts if len(ids) == row.doc_tokens and crc(ids[row.start : row.start + row.length]) == row.ids_crc32]
+            assert fits
+            found[row.doc_tokens] += row.length
+        for n in found:
+            assert found[n] == n * sum(len(ids) == n for ids in texts)
+
+
+def test_byte_ids_are_the_librarys(library):
+    draw = random.Random(11)
+    alphabet = list("abc XYZ 019'.,!?\n\t  \r") + ["'s", "'ll", "é", "ß", "\xa0", "  ", "日本", "🙂", "<|endoftext|>", "\x85", "²"]
+    texts = ["".join(draw.choice(alphabet) for _ in range(draw.randint(0, 60))) for _ in range(3000)]
+    texts += ["", " ", "\n", "it's  we'll 'tis", "x" * 3000, "don't<|endoftext|>", "\0 a\0"]
+    encoder = ByteTokens(BYTES)
+    for begin in range(0, len(texts), 500):
+        part = texts[begin : begin + 500]
+        wanted = [np.array(library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes() for text in part]
+        assert encoder.encode(part) == wanted
+
+
+def test_op13_on_the_table(spark, library):
+    documents = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
+    rows = queries.op13_differencing_packing(spark, SMALL).collect()
+    checked(rows, [tuple(row) for row in documents], library)
+    assert padding(rows) < 0.01 * sum(row.length for row in rows)
+
+
+def test_awkward_rows(spark, awkward_wide, empty, library):
+    rows = differencing.packed(awkward_wide, BYTES).collect()
+    checked(rows, [row[:2] for row in awkward_rows()], library)
+    rows = differencing.packed(awkward_wide, BYTES, capacity=64, windows=4).collect()
+    checked(rows, [row[:2] for row in awkward_rows()], library, 64)
+    assert differencing.packed(empty, BYTES).count() == 0
+
+
+def test_ids_beyond_floats(spark, library):
+    ids = [None, (1 << 60) + 1, (1 << 60) + 3, -(1 << 60) - 1]
+    documents = [(one, f"text {place} of some words") for place, one in enumerate(ids)]
+    rows = differencing.packed(spark.createDataFrame(documents, "doc_id long, text string").coalesce(1), BYTES).collect()
+    checked(rows, documents, library)
+
+
+def test_differencing_is_better_than_greedy():
+    draw = random.Random(12)
+    sizes = [draw.randint(40, 380) for _ in range(1300)]
+    windows = 128
+    found = differencing.dealt(sizes, windows)
+    assert sorted(place for window in found for place in window) == list(range(len(sizes)))
+    sums = [sum(sizes[place] for place in window) for window in found]
+    greedy = [0] * windows
+    for size in sorted(sizes, reverse=True):
+        greedy[greedy.index(min(greedy))] += size
+    assert max(sums) - min(sums) <= max(greedy) - min(greedy)
+    assert max(sums) - sum(sizes) / windows < 0.01 * sum(sizes) / windows
+
+
+def test_two_ways_are_differences_of_the_largest():
+    # The classic example: 8, 7, 6, 5, 4 differ by 2 in the end.
+    found = differencing.dealt([8, 7, 6, 5, 4], 2)
+    sums = sorted(sum([8, 7, 6, 5, 4][place] for place in window) for window in found)
+    assert sums == [14, 16]
+
+
+def test_the_number_of_windows_rises():
+    draw = random.Random(15)
+    sizes = [draw.randint(40, 380) for _ in range(2400)]
+    items = [[differencing.Piece("d", 0, bytes(4 * size), size)] for size in sizes]
+    capacity = sum(sizes) // 400 + 1
+    found = differencing.windows_of(items, capacity)
+    lengths = [differencing.length_of(window) for window in found]
+    assert sum(lengths) == sum(sizes) and max(lengths) <= capacity
+    assert 400 < len(found) <= 404 and sum(map(len, found)) == len(items)
+
+
+def test_what_is_beyond_goes_where_there_is_room():
+    items = [[differencing.Piece(str(number), 0, bytes(4 * 6), 6)] for number in range(5)]
+    found = differencing.windows_of(items, 10)
+    assert sorted(differencing.length_of(window) for window in found) == [10, 10, 10]
+
+
+def test_shards_are_full_and_the_rest_needs_no_padding():
+    draw = random.Random(13)
+    shards = differencing.Shards(2048, differencing.WINDOWS)
+    windows = []
+    for number in range(1500):
+        windows += shards.add(str(number), bytes(4 * draw.choice([1, 30, 300, 700, 1500, 5000])))
+    windows += shards.rest()
+    lengths = [sum(piece.length for piece in window) for window in windows]
+    waste = sum(2048 - length for length in lengths if length & (length - 1))
+    assert max(lengths) <= 2048 and waste < 0.01 * sum(lengths)
+
+
+def test_very_short_documents_stay_few_items():
+    shards = differencing.Shards(2048, 16)
+    windows = []
+    for number in range(40_000):
+        windows += shards.add(str(number), bytes(4))
+        assert len(shards.items) < 16 * 2048 // 64 + 2
+    windows += shards.rest()
+    assert sum(piece.length for window in windows for piece in window) == 40_000

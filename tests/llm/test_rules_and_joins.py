@@ -213,7 +213,7 @@ def test_parameters_that_name_content_are_kept(spark):
         (3, "code/f?ref=main", "resolved", 1),
         (4, "code/f?sid=17&utm=1", "orphan", None),
     ]
-    dropped = revisits.resolved_revisits(captures(spark, rows), visit_parameters=revisits.SQL_VISIT_PARAMETERS)
+    dropped = revisits.resolved_revisits(captures(spark, rows), visit_parameters=rf"{revisits.VISIT_PARAMETERS}|ref|sid")
     assert [(r.url_key, r.status) for r in sorted(dropped.collect())] == [
         ("code/f", "mismatch"),
         ("code/f?utm=1", "orphan"),
