@@ -121,7 +121,7 @@ def test_two_ways_are_differences_of_the_largest():
 
 def test_the_number_of_windows_rises():
     draw = random.Random(15)
-    sizes = [draw.randint(40, 380) for _ in range(2400)]
+    sizes = [draw.randint(40, 380) for _ in range(1600)]
     items = [[differencing.Piece("d", 0, bytes(4 * size), size)] for size in sizes]
     capacity = sum(sizes) // 400 + 1
     found = differencing.windows_of(items, capacity)
