@@ -6,20 +6,44 @@ differ from the library's are given to the library whole.
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
 
 from .token_counts import EDGE, spans
-from .word_tokens import WordTokens, word_numbers
+from .word_tokens import LETTERS, WordTokens, word_numbers
+
+
+# A space and letters: words that stay words when they follow each other.
+SPACED = re.compile(f" [{LETTERS}]+")
+# Fixed value: how the vocabulary spells a space.
+SPACE_LETTER = "Ġ"
 
 
 class ByteTokens(WordTokens):
     """Little-endian unsigned 32-bit ids of texts, as bytes."""
 
+    def __init__(self, path: str) -> None:
+        super().__init__(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.begins_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.begins_word[[id for token, id in vocabulary.items() if token.startswith(SPACE_LETTER)]] = True
+
     def of_words(self, words: list[str]) -> list[bytes]:
-        return self.library(words)
+        """Ids of words: those of a space and letters are encoded as one text, and parted before tokens with a space."""
+        is_spaced = [SPACED.fullmatch(word) is not None for word in words]
+        spaced = [word for word, yes in zip(words, is_spaced) if yes]
+        other = iter(self.library([word for word, yes in zip(words, is_spaced) if not yes]))
+        (encoding,) = self.tokenizer.encode_batch_fast(["".join(spaced)], add_special_tokens=False)
+        ids = np.array(encoding.ids, dtype="<u4")
+        starts = (4 * np.flatnonzero(self.begins_word[ids])).tolist()
+        if len(starts) != len(spaced):
+            return self.library(words)
+        data = ids.tobytes()
+        joined = (data[start:end] for start, end in zip(starts, [*starts[1:], len(data)]))
+        return [next(joined) if yes else next(other) for yes in is_spaced]
 
     def of_plain(self, texts: list[str]) -> list[bytes]:
         """Ids of texts that are split here as in the library."""

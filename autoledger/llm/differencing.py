@@ -1,7 +1,8 @@
 """Packing of documents into near-equal windows by Karmarkar-Karp multiway differencing.
 
 1. Each task encodes its documents. What fills whole windows of a long document is a window at once; the rest is cut into
-   pieces of up to ``PIECE`` tokens, of about equal length. Short pieces that follow each other stay together as one item.
+   pieces, whose lengths run evenly through ``PIECES``, as differencing needs lengths of all kinds to end near equal. Short
+   documents that follow each other stay together as one item.
 2. Items are gathered in shards that fill ``WINDOWS`` windows up to ``FILL`` of their capacity; the last one is cut to fit.
 3. Differencing deals a shard's items to its windows. Each item begins as a partition of its own, with one filled window
    and the others empty. Again and again the two partitions of the largest spread between windows are merged: the
@@ -36,13 +37,14 @@ from .common import mapped, schema_of, slices, texts_of
 
 CAPACITY = 2048
 END_ID = 1
-# Tokens of a piece at most, and of an item at least, as shares of a window.
-PIECE = 3 / 16
-ITEM = 1 / 32
-WINDOWS = 512
+# Tokens of a piece at least and at most, as shares of a window.
+PIECES = 1 / 32, 1 / 4
+# Steps of this size, less whole numbers, fall evenly into any interval.
+GOLDEN = (5**0.5 - 1) / 2
+WINDOWS = 256
 FILL = 511 / 512
 # Padding, as a share of a shard, for which the number of windows may rise.
-PADDING = 1 / 128
+PADDING = 1 / 64
 
 
 class Piece(NamedTuple):
@@ -58,8 +60,9 @@ class Piece(NamedTuple):
         return len(self.ids) // 4
 
     def parted(self, length: int) -> tuple[Piece, Piece]:
-        head = self._replace(ids=self.ids[: 4 * length])
-        return head, self._replace(start=self.start + length, ids=self.ids[4 * length :])
+        doc_id, start, ids, doc_tokens = self
+        head = Piece(doc_id, start, ids[: 4 * length], doc_tokens)
+        return head, Piece(doc_id, start + length, ids[4 * length :], doc_tokens)
 
 
 Item = list[Piece]
@@ -99,8 +102,9 @@ def dealt(sizes: list[int], windows: int) -> list[list[int]]:
             pairs.extend(zip(nodes[both].tolist(), other[both].tolist()))
         sums = sums + other_sums[::-1]
         order = np.argsort(-sums, kind="stable")
-        partitions[made] = sums[order], merged[order]
-        heapq.heappush(spreads, (int(sums.min() - sums.max()), made))
+        sums = sums[order]
+        partitions[made] = sums, merged[order]
+        heapq.heappush(spreads, (int(sums[-1] - sums[0]), made))
         made += 1
     _, nodes = taken(spreads[0][1])
 
@@ -186,32 +190,39 @@ class Shards:
 
     def __init__(self, capacity: int, windows: int) -> None:
         self.capacity = capacity
-        self.piece = max(1, int(capacity * PIECE))
-        self.item = max(1, int(capacity * ITEM))
+        self.least, self.most = (max(1, int(capacity * share)) for share in PIECES)
         self.fill = max(1, int(capacity * FILL))
         self.windows = windows
         self.items: list[Item] = []
-        self.held = 0
+        self.held = self.last = 0
+        self.place = 0.0
 
     def add(self, doc_id: str | None, ids: bytes) -> Iterator[list[Piece]]:
-        piece = Piece(doc_id, 0, ids, len(ids) // 4)
-        while piece.length >= self.capacity:
-            whole, piece = piece.parted(self.capacity)
+        left = Piece(doc_id, 0, ids, len(ids) // 4)
+        while left.length >= self.capacity:
+            whole, left = left.parted(self.capacity)
             yield [whole]
-        for parts in range(-(-piece.length // self.piece), 0, -1):
-            part, piece = piece.parted(-(-piece.length // parts))
-            if self.items and length_of(self.items[-1]) < self.item and length_of(self.items[-1]) + part.length <= self.piece:
-                self.items[-1].append(part)
+        self.held += left.length
+        while left.length:
+            self.place = (self.place + GOLDEN) % 1
+            length = self.least + int(self.place * (self.most - self.least))
+            if left.length < length + self.least:
+                length = left.length
+            piece, left = left.parted(length)
+            if self.items and self.last < self.least:
+                self.items[-1].append(piece)
+                self.last += length
             else:
-                self.items.append([part])
-            self.held += part.length
+                self.items.append([piece])
+                self.last = length
         if self.held >= self.windows * self.fill:
             yield from self.closed(self.windows)
 
     def closed(self, windows: int) -> Iterator[list[Piece]]:
         """The windows of the first ``windows * fill`` tokens."""
         shard, self.items = split_at(self.items, windows * self.fill)
-        self.held -= sum(map(length_of, shard))
+        self.held -= windows * self.fill
+        self.last = length_of(self.items[-1]) if self.items else 0
         yield from windows_of(shard, self.capacity)
 
     def rest(self) -> Iterator[list[Piece]]:
