@@ -7,18 +7,22 @@ A shuffle on the key alone would gather all facts of one key in one task. So the
 lane:
 
 - facts with a null key match nothing; they get a lane from their spread value and so scatter;
-- facts with a hot key get a lane likewise, and the dimension rows of hot keys stand in every lane;
+- facts with a hot key get one of that key's lanes likewise, and the dimension rows of the key stand in each of these;
 - all others are in lane 0, as are the other dimension rows.
 
 Hot keys are looked for where ``hot_in`` is given: one pass over its key columns, in sketches of fixed size. A key
-is hot if it holds at least the share of rows that one of ``lanes`` partitions would hold of evenly dealt rows, so
-there are at most ``lanes`` hot keys, and none where keys are even. The hashes found are one small row, collected
-once, and both sides get the same literal, so which keys are named affects speed and never the result. What remains
-is left to the adaptive skew join, which splits the left side of a left join.
+is hot if it holds at least twice the rows that one of ``lanes`` partitions would hold of evenly dealt rows, so
+there are at most ``lanes / 2`` hot keys, and none where keys are even, however few they are. Each gets lanes by its own
+share: its part of ``LANES_PER_PARTITION`` times ``lanes``, but no more than ``MOST_PER_SHARE`` for each partition that it
+fills, up to the next of a few sizes. So all hot keys together have at most ``5 lanes`` lanes, and that many times their
+dimension rows are repeated at most. The hashes found are
+collected once, one group for each size, and both sides get the same literals, so which keys are named affects speed
+and never the result. What remains is left to the adaptive skew join, which splits the left side of a left join.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
@@ -33,8 +37,13 @@ from .latest import latest_per_key
 SKETCH_GROUPS = 256
 COUNTERS_PER_KEY = 10
 MOST_COUNTERS = 1_000_000
-# Lanes of a hot key for each partition, so that chance puts about as many into each.
+# A key is hot from so many shares of a partition on.
+HOT_SHARES = 2
+# Lanes of all hot keys for each partition, so that chance puts about as many into each, and of one for each that it fills.
 LANES_PER_PARTITION = 4
+MOST_PER_SHARE = 16
+# Numbers of lanes are powers of this, so that there are few of them.
+SIZE_STEP = 1.25
 
 
 class KeyPair(NamedTuple):
@@ -44,8 +53,8 @@ class KeyPair(NamedTuple):
     dimension: Column
 
 
-def hot_key_hashes(rows: DataFrame, keys: Sequence[Column], lanes: int) -> list[int]:
-    """Hashes of the keys that hold at least one in ``lanes`` of the rows with a key.
+def hot_key_lanes(rows: DataFrame, keys: Sequence[Column], lanes: int) -> dict[int, list[int]]:
+    """Hashes of the keys that hold at least ``HOT_SHARES`` in ``lanes`` of the rows with a key, by their number of lanes.
 
     The splits' sketches are merged in groups and only the groups' top keys go on, so no task sees more
     than a fixed amount, however many splits there are.
@@ -58,8 +67,28 @@ def hot_key_hashes(rows: DataFrame, keys: Sequence[Column], lanes: int) -> list[
     )
     total = groups.agg(F.sum("rows")).scalar()
     counted = groups.select(F.inline("top")).groupBy("item").agg(F.sum("count").alias("rows"))
-    hot = counted.filter(F.col("rows") * lanes >= total).filter("rows > 1")
-    return sorted(row.item for row in hot.select("item").collect())  # at most ``lanes``
+    shares = F.col("rows") * lanes / total
+    hot = counted.select("item", "rows", shares.alias("shares")).filter(F.col("shares") >= HOT_SHARES).filter("rows > 1")
+    shares_of = {row.item: row.shares for row in hot.orderBy("item").collect()}  # at most ``lanes / HOT_SHARES``
+    each = min(MOST_PER_SHARE, LANES_PER_PARTITION * lanes / max(1, sum(shares_of.values())))
+    found: dict[int, list[int]] = {}
+    for key_hash, share in shares_of.items():
+        found.setdefault(size_for(share * each), []).append(key_hash)
+    return found
+
+
+def size_for(lanes: float) -> int:
+    power = math.floor(math.log(lanes, SIZE_STEP))
+    while int(SIZE_STEP**power) < lanes:
+        power += 1
+    return int(SIZE_STEP**power)
+
+
+def lanes_of_key(key_hash: Column, hot: Mapping[int, Sequence[int]]) -> Column:
+    """The number of lanes of a hot key, and 1 for others; one set of literals for each size."""
+    groups = sorted(hot.items())
+    first = F.when(key_hash.isin(groups[0][1]), groups[0][0])
+    return reduce(lambda found, group: found.when(key_hash.isin(group[1]), group[0]), groups[1:], first).otherwise(1)
 
 
 def left_lookup(
@@ -84,7 +113,6 @@ def left_lookup(
     no_match = reduce(or_, [pair.fact.isNull() for pair in keys])
     if spread_by is None:
         spread_by = F.xxhash64(*[F.col(f"`{name}`") for name in facts.columns])
-    own_lane = F.pmod(spread_by, F.lit(LANES_PER_PARTITION * lanes)).cast("int")
     lane_0 = F.lit(0)
 
     keyed_dimension = dimension.select(
@@ -96,18 +124,17 @@ def left_lookup(
         order = [f"_by_{name}" for name in newest_by]
         keyed_dimension = latest_per_key(keyed_dimension, names, order).drop(*order)
 
-    hot = hot_key_hashes(hot_in, [pair.fact for pair in keys], lanes) if hot_in is not None else []
+    hot = hot_key_lanes(hot_in, [pair.fact for pair in keys], lanes) if hot_in is not None else {}
+    null_lane = F.pmod(spread_by, F.lit(LANES_PER_PARTITION * lanes)).cast("int")
     if not hot:
-        fact_lane = F.when(no_match, own_lane).otherwise(lane_0)
+        fact_lane = F.when(no_match, null_lane).otherwise(lane_0)
         # Always 0, yet no literal: Catalyst would fold a literal into a filter and out of the join key.
         dimension_lane = F.pmod(F.hash(*names), F.lit(1))
     else:
-        fact_keys = [pair.fact for pair in keys]
-        is_hot_fact = F.xxhash64(*fact_keys).isin(hot)
-        is_hot_dimension = F.xxhash64(*names).isin(hot)
-        fact_lane = F.when(no_match | is_hot_fact, own_lane).otherwise(lane_0)
-        every_lane = F.sequence(lane_0, F.lit(LANES_PER_PARTITION * lanes - 1))
-        dimension_lane = F.explode(F.when(is_hot_dimension, every_lane).otherwise(F.array(lane_0)))
+        fact_lanes = lanes_of_key(F.xxhash64(*[pair.fact for pair in keys]), hot)
+        own_lane = F.pmod(spread_by, fact_lanes).cast("int")
+        fact_lane = F.when(no_match, null_lane).otherwise(own_lane)
+        dimension_lane = F.explode(F.sequence(lane_0, lanes_of_key(F.xxhash64(*names), hot) - 1))
 
     keyed_facts = facts.withColumns(
         {**{name: pair.fact for name, pair in zip(names, keys)}, "_lane": fact_lane}

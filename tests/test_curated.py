@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from autoledger.operators import KeyPair, left_lookup
-from autoledger.operators.lookup import hot_key_hashes
+from autoledger.operators.lookup import hot_key_lanes
 from autoledger.plans import curated_360, rebalanced, vehicle_owner
 from autoledger.plans.curated import OWNER_FROM_CUSTOMER, VIEW_360_COLUMNS
 from autoledger.streaming import Sink, finish, into_sink
@@ -81,9 +81,33 @@ def test_hot_key_is_spread_over_tasks(spark, settings):
 def test_hot_keys_are_those_above_a_share(spark):
     rows = spark.range(100_000).selectExpr("IF(id % 3 = 0, 'hot', IF(id % 3 = 1, NULL, concat('k', id))) AS k")
     hot = spark.range(1).select(F.xxhash64(F.lit("hot"))).first()[0]
-    assert hot_key_hashes(rows, [F.col("k")], 16) == [hot]
-    assert hot_key_hashes(rows.filter("k IS NULL"), [F.col("k")], 16) == []
-    assert hot_key_hashes(rows.filter("k <> 'hot'"), [F.col("k")], 1000) == []
+    # The only hot key gets all 4 times 16 lanes, up to the next size.
+    assert hot_key_lanes(rows, [F.col("k")], 16) == {69: [hot]}
+    assert hot_key_lanes(rows.filter("k IS NULL"), [F.col("k")], 16) == {}
+    assert hot_key_lanes(rows.filter("k <> 'hot'"), [F.col("k")], 1000) == {}
+
+
+def test_few_even_keys_are_not_hot(spark):
+    rows = spark.range(64_000).selectExpr("concat('k', id % 64) AS k")
+    assert hot_key_lanes(rows, [F.col("k")], 64) == {}
+    assert hot_key_lanes(rows, [F.col("k")], 256) != {}
+
+
+def test_lanes_follow_the_share_of_a_key(spark, settings):
+    """Keys with a half, a quarter, an eighth of the rows and so on: repeated rows stay below five times the lanes."""
+    settings(spark__sql__shuffle__partitions="32", spark__sql__adaptive__enabled="false")
+    lanes, n = 32, 1 << 16
+    facts = spark.range(1, n).selectExpr("id AS p", "concat('k', bit_count(id ^ (id - 1))) AS k")
+    hot = hot_key_lanes(facts, [F.col("k")], lanes)
+    assert {own: len(found) for own, found in hot.items()} == {69: 1, 35: 1, 18: 1, 9: 1}
+    for many in (32, 64, 500, 4000):
+        found = hot_key_lanes(facts, [F.col("k")], many)
+        assert sum(own * len(keys) for own, keys in found.items()) <= 5 * many
+    dimension = spark.range(1, 18).selectExpr("concat('k', id) AS k", "id AS v")
+    spread = lookup(facts, dimension.hint("merge"), hot_in=facts)
+    assert as_set(spread.groupBy("k").agg(F.count("v"))) == as_set(facts.groupBy("k").count())
+    largest = max(row["count"] for row in spread.groupBy(F.spark_partition_id()).count().collect())
+    assert largest < 4 * n / lanes
 
 
 def test_table_without_hot_keys_repeats_no_dimension_row(spark, settings):
