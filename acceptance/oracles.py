@@ -204,6 +204,70 @@ CORRECTED_FEED = (
 FED_PRODUCTS = f"SELECT *, CAST(NULL AS VARCHAR) AS _corrupt_record FROM ({feed('product')})"
 
 
+def rows_in(query: str) -> str:
+    return f"(SELECT count(*) FROM ({query}))"
+
+
+# Each dataset with the layer it is in, what the catalog says of it, and the rows it holds.
+DESCRIBED = {
+    "product_bronze": ("bronze", "Product feed as delivered", feed("product")),
+    "customer_bronze": ("bronze", "Customer feed as delivered", feed("customer")),
+    "payment_bronze": ("bronze", "Payment feed as delivered", feed("payment")),
+    "product_enriched": ("silver", "Products that passed the quality rules", PRODUCT_VALID),
+    "product_rejected": ("silver", "Products that failed a quality rule, with the reason", PRODUCT_REJECTED),
+    "customer_enriched": ("silver", "Customers, cleaned", CUSTOMER_SILVER),
+    "payment_enriched": (
+        "silver", "Payments, cleaned and typed, that passed the quality rules", PAYMENT_VALID
+    ),
+    "payment_rejected": ("silver", "Payments that failed a quality rule, with the reason", PAYMENT_REJECTED),
+    "payment_streaming": ("silver", "Payments, the current version of each transaction", PAYMENT_VALID),
+    "vehicle_owner": ("gold", "Customers with the product of the same VIN", VEHICLE_OWNER),
+    "curated_360_gold": ("gold", "Payments with product and customer", curated_360(normalize_keys=True)),
+}
+TIMES = {
+    "product_bronze": ("bronze_ingest_timestamp",),
+    "customer_bronze": ("bronze_ingest_timestamp",),
+    "product_enriched": ("silver_ingest_ts",),
+    "product_rejected": ("rejected_at", "silver_ingest_ts"),
+    "customer_enriched": ("silver_ingest_timestamp",),
+    "payment_enriched": ("silver_ingest_ts",),
+    "payment_rejected": ("rejected_at", "silver_ingest_ts"),
+}
+
+
+def described() -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS dataset, '{comment}' AS comment, '{layer}' AS quality, '{layer}' AS layer,"
+        f" {rows_in(query)} AS total_rows"
+        for name, (layer, comment, query) in DESCRIBED.items()
+    )
+
+
+def left_after_drops() -> str:
+    gone = ("product_rejected", "vehicle_owner", "payment_streaming", "curated_360_gold")
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS dataset, {rows_in(query)} AS total_rows"
+        for name, (_, _, query) in DESCRIBED.items()
+        if name not in gone
+    )
+
+
+def times() -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{name}.{column}' AS given, {rows_in(DESCRIBED[name][2])} AS total_rows,"
+        f" {rows_in(DESCRIBED[name][2])} AS within_run, 'one a batch' AS moments"
+        for name, columns in TIMES.items()
+        for column in columns
+    )
+
+
+def lineage() -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS feed, {rows_in(feed(name))} AS total_rows, {rows_in(feed(name))} AS in_their_file"
+        for name in FEED_OF
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     view_360 = curated_360(normalize_keys=True)
     return {
@@ -218,6 +282,10 @@ def oracle_sql() -> dict[str, str]:
         + ") WHERE _corrupt_rec IS NOT NULL",
         "ingest_late_files": f"SELECT * FROM ({FED_PRODUCTS}) UNION ALL SELECT * FROM ({FED_PRODUCTS})",
         "bronze_preview": "SELECT least(10, count(*)) AS shown, least(10, count(*)) AS in_table FROM part",
+        "file_lineage": lineage(),
+        "given_times": times(),
+        "described_tables": described(),
+        "dropped_tables": left_after_drops(),
         "bronze_total_rows": "SELECT count(*) AS total_rows FROM part",
         "product_enriched": PRODUCT_VALID,
         "product_rejected": PRODUCT_REJECTED,

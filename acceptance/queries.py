@@ -9,12 +9,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from autoledger.catalog import Lake
+from autoledger.catalog import DATASETS, Lake
 from autoledger.operators import (
     clean_customers,
     latest_per_key,
@@ -23,7 +24,7 @@ from autoledger.operators import (
     valid_payments,
     valid_products,
 )
-from autoledger.plans import curated_360, preview, total_rows, vehicle_owner
+from autoledger.plans import curated_360, drop_table, preview, total_rows, vehicle_owner
 from autoledger.plans import refresh as flows
 from autoledger.session import working_folder
 from autoledger.sources import FEEDS, malformed
@@ -262,6 +263,100 @@ def vehicle_owner_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read("vehicle_owner")
 
 
+FEED_NAMES = ("customer", "payment", "product")
+# Every time stamp that a flow gives, by table; fixed values: the columns' names.
+GIVEN_TIMES = {
+    "product_bronze": ("bronze_ingest_timestamp",),
+    "customer_bronze": ("bronze_ingest_timestamp",),
+    "product_enriched": ("silver_ingest_ts",),
+    "product_rejected": ("rejected_at", "silver_ingest_ts"),
+    "customer_enriched": ("silver_ingest_timestamp",),
+    "payment_enriched": ("silver_ingest_ts",),
+    "payment_rejected": ("rejected_at", "silver_ingest_ts"),
+}
+
+
+def file_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by feed, and those whose line stands in the file they name, as often as they do, in a file of that time."""
+    lake = ingested(spark, sf_dir, *FEED_NAMES)
+    results = []
+    for name in FEED_NAMES:
+        feed = FEEDS[name]
+        landed = spark.read.text(landing(lake, name, "*")).select(
+            F.col("value").alias("line"), "_metadata.file_name", "_metadata.file_modification_time"
+        )
+        landed = landed.groupBy("line", "file_name", "file_modification_time").agg(F.count("*").alias("in_file"))
+        line = F.concat_ws("\t", *[F.coalesce(field, F.lit("")) for field in feed.fields])
+        same = ["line", *feed.lineage.keys() & {"file_name", "file_modification_time"}]
+        rows = lake.read(f"{name}_bronze").withColumn("line", line).groupBy(*same).agg(F.count("*").alias("in_table"))
+        found = rows.join(landed, same, "left")
+        results.append(
+            found.select(
+                F.lit(name).alias("feed"),
+                "in_table",
+                F.when(F.col("in_table") == F.col("in_file"), F.col("in_table")).otherwise(0).alias("in_their_file"),
+            )
+        )
+    every = reduce(DataFrame.unionAll, results)
+    return every.groupBy("feed").agg(
+        F.sum("in_table").alias("total_rows"), F.sum("in_their_file").alias("in_their_file")
+    )
+
+
+def given_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each time stamp that a flow gives: rows, and those whose time lies within the run and is the same throughout
+    their micro-batch, of which there are at most ``BATCHES`` a table."""
+    started = spark.range(1).select(F.current_timestamp()).first()[0]
+    lake = ingested(spark, sf_dir, *FEED_NAMES)
+    flows.clean(lake)
+    results = []
+    for table, columns in GIVEN_TIMES.items():
+        rows = lake.read(table)
+        for name in columns:
+            time = F.col(name)
+            within = F.count(F.when((time >= F.lit(started)) & (time <= F.current_timestamp()), 1))
+            moments = F.when(F.count_distinct(time) <= BATCHES, "one a batch").otherwise("more")
+            counted = rows.agg(F.count("*").alias("total_rows"), within.alias("within_run"), moments.alias("moments"))
+            results.append(counted.select(F.lit(f"{table}.{name}").alias("given"), "*"))
+    return reduce(DataFrame.unionAll, results)
+
+
+def described_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comment and properties of every dataset after a run, as the catalog has them, with the rows behind them."""
+    lake = ingested(spark, sf_dir, *FEED_NAMES)
+    flows.clean(lake)
+    flows.apply_payment_changes(lake)
+    flows.build_vehicle_owner(lake)
+    flows.extend_curated_360(lake)
+    results = []
+    for name in DATASETS:
+        table = lake.table(name)
+        properties = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+        described = {
+            "dataset": name,
+            "comment": spark.catalog.getTable(table).description,
+            "quality": properties.get("quality"),
+            "layer": properties.get("layer"),
+        }
+        counted = lake.read(name).agg(F.count("*").alias("total_rows"))
+        results.append(counted.select(*[F.lit(value).alias(key) for key, value in described.items()], "total_rows"))
+    return reduce(DataFrame.unionAll, results)
+
+
+def dropped_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left in the catalog, with its rows, after a table, a view on a snapshot and one on changes are dropped,
+    one of them twice."""
+    lake = ingested(spark, sf_dir, *FEED_NAMES)
+    flows.clean(lake)
+    flows.apply_payment_changes(lake)
+    flows.build_vehicle_owner(lake)
+    for name in ("product_rejected", "vehicle_owner", "payment_streaming", "vehicle_owner"):
+        drop_table(spark, lake.table(name))
+    left = [name for name in DATASETS if spark.catalog.tableExists(lake.table(name))]
+    counts = [lake.read(name).agg(F.lit(name).alias("dataset"), F.count("*").alias("total_rows")) for name in left]
+    return reduce(DataFrame.unionAll, counts)
+
+
 def queries() -> dict[str, Query]:
     return {
         "ingest_product_stream": ingest_stream("product"),
@@ -273,6 +368,10 @@ def queries() -> dict[str, Query]:
         "ingest_late_files": ingest_late_files,
         "bronze_total_rows": bronze_total_rows,
         "bronze_preview": bronze_preview,
+        "file_lineage": file_lineage,
+        "given_times": given_times,
+        "described_tables": described_tables,
+        "dropped_tables": dropped_tables,
         "product_enriched": silver(valid_products, "product"),
         "product_rejected": silver(rejected_products, "product"),
         "customer_enriched": silver(clean_customers, "customer"),

@@ -16,8 +16,12 @@ def total_rows(table: DataFrame) -> DataFrame:
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
-    """Drops a table, or the view that shows a snapshot or a change target; nothing, if there is none."""
+    """Drops a table, or the view that shows a snapshot or a change target, with the tables of its snapshots; nothing, if
+    there is none. Files stay where they are."""
     if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType == "VIEW":
         spark.sql(f"DROP VIEW IF EXISTS {name}")
+        database, _, table = name.rpartition(".")
+        for part in spark.catalog.listTables(database or None, f"{table}_upto_*"):
+            spark.sql(f"DROP TABLE IF EXISTS {database}.{part.name}" if database else f"DROP TABLE IF EXISTS {part.name}")
     else:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
