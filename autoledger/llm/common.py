@@ -134,12 +134,12 @@ def slices(frames: Iterator[pd.DataFrame], text: str, most_chars: int = 4_000_00
 
 
 def by_slice(
-    transform: Callable[[pd.DataFrame], pd.DataFrame], text: str = "text"
+    transform: Callable[[pd.DataFrame], pd.DataFrame], text: str = "text", most_chars: int = 4_000_000
 ) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """``transform`` applied to slices of bounded size, for ``mapInPandas``."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in slices(frames, text):
+        for part in slices(frames, text, most_chars):
             yield transform(part)
 
     return run

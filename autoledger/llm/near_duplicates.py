@@ -14,7 +14,9 @@ registers are surely filled are never drawn; a text that is not filled by then i
 start. In a bucket all members are compared with one pivot, not with each other. Where links join them all the
 bucket is done. Else the pivot, compared with every member of another class, can add nothing and leaves, and
 the rest is compared with several times as many pivots, until buckets are done or empty. So no link between members
-of a bucket is lost, and a group of copies of any size costs about one comparison a member.
+of a bucket is lost, and a group of copies of any size costs about one comparison a member. Later pivots are the members
+with the least share of shingles of their own, as the text that a group was copied from is close to all of them, and one
+copy to another is not.
 
 **Bounds.** Shingles of a text that no other open text holds are in no overlap. With ``n`` shingles and ``m`` of
 them held by others, the similarity to a text of ``k`` shingles is at most ``m / (n + k - m)``. After the first
@@ -37,7 +39,7 @@ import numpy as np
 import pandas as pd
 import regex
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,6 +50,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 24
 BAND_REGISTERS = 5
+# Characters of the texts that are signed together.
+SIGNED_CHARS = 1_000_000
 # Pivots of a bucket in a round, as a multiple of those in the round before.
 PIVOT_GROWTH = 4
 WORD = regex.compile(r"[0-9a-z\u0080-\U0010FFFF]+")
@@ -189,7 +193,7 @@ def banded(docs: DataFrame) -> DataFrame:
         return pd.DataFrame({"doc_id": frame["doc_id"], "node": frame["node"], "buckets": buckets})
 
     fields = schema_of(docs, "node binary, buckets array<long>")
-    return mapped(docs.withColumn("node", F.unhex(F.md5("text"))), by_slice(signed), fields)
+    return mapped(docs.withColumn("node", F.unhex(F.md5("text"))), by_slice(signed, most_chars=SIGNED_CHARS), fields)
 
 
 def linked(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -301,13 +305,17 @@ def classes(
         near = F.lit(True)
         if bounds is not None:
             near = reachable(F.col("m"), F.col("n"), F.greatest("fewest", "m"), threshold)
-        # The first pivot is the least node; later ones are about as many as wanted, picked by a hash.
-        if pivots_wanted == 1:
-            picked = F.col("node") == F.col("least")
+        opened = labelled.join(undone, "bucket").filter(near)
+        # The first pivot is the least node; later ones are as many as wanted of those with the least of their own.
+        if bounds is None:
+            opened = opened.withColumn("is_pivot", F.col("node") == F.col("least"))
         else:
-            chance = F.pmod(F.xxhash64("bucket", "node", F.lit(pivots_wanted)), F.col("size"))
-            picked = (F.col("size") <= pivots_wanted) | (chance < pivots_wanted)
-        opened = stored(labelled.join(undone, "bucket").filter(near).withColumn("is_pivot", picked), "open_members")
+            own = Window.partitionBy("bucket").orderBy((F.col("n") - F.col("m")) / F.col("n"), "node")
+            opened = stored(opened, "near_members")
+            pivots = opened.withColumn("place", F.row_number().over(own)).filter(F.col("place") <= pivots_wanted)
+            pivots = pivots.select("bucket", "node", F.lit(True).alias("is_pivot"))
+            opened = opened.join(pivots, ["bucket", "node"], "left").fillna(False, ["is_pivot"])
+        opened = stored(opened, "open_members")
         if opened.isEmpty():
             break
         pairs = candidate_pairs(opened, threshold, bounded=bounds is not None)

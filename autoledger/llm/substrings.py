@@ -3,8 +3,10 @@
 A gear hash rolls over the words of a text, ``h = 2 h + gear(word)``, each word leaving it after a few more. A chunk ends after a word whose hash is the largest among its neighbours, so boundaries depend on the words
 around them only: an insertion moves the chunks next to it and no others, and no chunk is shorter than a few words.
 
-Chunks are deduplicated by a 128-bit digest of their words. Of each digest the least document id is kept by sums
-that combine before the shuffle, so a chunk in a third of all documents sends one row per task. Chunks of
+Chunks are deduplicated by a 128-bit digest of their words. Chunks are dealt by digest once, and each meets the least document
+id of its digest there. Hot digests, which hold at least two partitions' share of all chunks, are found by a bounded sketch
+first; their least ids come from sums that combine before the shuffle, are at most half as many as partitions, and are
+broadcast, so a chunk in a third of all documents stays where it is. Chunks of
 other documents are duplicates; consecutive ones join into spans, and spans of ``MIN_WORDS`` words or more
 are reported and cut. A passage of 51 words shared by two texts holds whole chunks for all but the few words
 at its ends, which depend on what is around it.
@@ -26,6 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.lookup import hot_key_lanes
 from .common import by_slice, column, mapped, schema_of, stored, texts_of
 
 # A boundary has the largest hash of this many words on either side.
@@ -108,19 +111,29 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, id: str = "doc_i
 def spans_by_text(docs: DataFrame, min_words: int, id: str, text: str) -> DataFrame:
     """``repeated_spans`` with ``text_hash``, as texts of one id have spans of their own."""
     cut = stored(chunks(texts_of(docs, id, text)), "chunks")
-    holders = (
-        cut.groupBy("digest")
-        .agg(
-            F.min("doc_id").alias("first_doc"),
-            F.max("doc_id").alias("last_doc"),
-            # Sums to 1 and more where a null id is among them, which is before all others.
-            F.max(F.col("doc_id").isNull()).alias("some_null"),
-        )
-        .filter((F.col("first_doc") != F.col("last_doc")) | (F.col("some_null") & F.col("first_doc").isNotNull()))
-        .select("digest", F.when(~F.col("some_null"), F.col("first_doc")).alias("first_doc"))
-    )
-    again = cut.join(holders, "digest").filter(
-        F.col("doc_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("first_doc"))
+    # Some null is 1 and more where a null id is among them, which is before all others.
+    facts = {
+        "first_doc": F.min("doc_id"),
+        "last_doc": F.max("doc_id"),
+        "some_null": F.max(F.col("doc_id").isNull()),
+    }
+    lanes = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = [one for found in hot_key_lanes(cut, [F.col("digest")], lanes).values() for one in found]
+    dealt = Window.partitionBy("digest")
+    if hot:
+        is_hot = F.xxhash64("digest").isin(hot)
+        sums = cut.filter(is_hot).groupBy("digest").agg(*[fact.alias(name) for name, fact in facts.items()])
+        hot_again = cut.filter(is_hot).join(F.broadcast(sums), "digest")
+        cut = cut.filter(~is_hot)
+    again = cut.select("*", *[fact.over(dealt).alias(name) for name, fact in facts.items()])
+    if hot:
+        again = again.unionByName(hot_again)
+    shared = (F.col("first_doc") != F.col("last_doc")) | (F.col("some_null") & F.col("first_doc").isNotNull())
+    first_doc = F.when(~F.col("some_null"), F.col("first_doc"))
+    again = (
+        again.filter(shared)
+        .withColumn("first_doc", first_doc)
+        .filter(F.col("doc_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("first_doc")))
     )
     # Consecutive chunks keep the difference of their number and their rank. One text's chunks at a time; those of
     # repeated rows have one rank, and only the first of them adds its words.

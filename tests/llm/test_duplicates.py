@@ -236,3 +236,19 @@ def test_pipeline_stage_by_stage(spark):
 
     packed = packing.packed(rows, public_tokenizers.path("word_bpe_49k.json")).collect()
     assert last == {(r.doc_id, r.piece, r.length, r.ids_crc32) for r in packed}
+
+
+def test_hot_passages_give_the_same_spans(spark, settings):
+    """With many partitions a passage that most documents share is hot, with few it is not."""
+    draw = random.Random(31)
+    passage = " ".join(words(draw, 40))
+    rows = [(i, " ".join([*words(draw, 5), passage, *words(draw, 5)])) for i in range(80)]
+    rows += [(None, passage), (90, passage), (90, passage)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = []
+    for partitions in ("4", "200"):
+        settings(spark__sql__shuffle__partitions=partitions)
+        cut = substrings.chunks(docs)
+        assert bool(substrings.hot_key_lanes(cut, [substrings.F.col("digest")], int(partitions))) == (partitions == "200")
+        found.append(sorted(map(repr, substrings.repeated_spans(docs).collect())))
+    assert found[0] == found[1] and len(found[0]) == 81
