@@ -12,11 +12,14 @@ registers are surely filled are never drawn; a text that is not filled by then i
 
 **Candidates.** Texts that agree in all registers of a band share a bucket. Equal texts are one node from the
 start. In a bucket all members are compared with one pivot, not with each other. Where links join them all the
-bucket is done. Else the pivot, compared with every member of another class, can add nothing and leaves, and
-the rest is compared with several times as many pivots, until buckets are done or empty. So no link between members
-of a bucket is lost, and a group of copies of any size costs about one comparison a member. Later pivots are the members
-with the least share of shingles of their own, as the text that a group was copied from is close to all of them, and one
-copy to another is not.
+bucket is done, and a group of copies of any size costs about one comparison a member. Else members are compared with another
+pivot ``P``: of the class that is closest to the bucket's members, the text with the least share of shingles of its own. The
+text that a group was copied from is close to all of them, and one copy to another is not.
+
+**What is left.** Of two texts of different classes one, ``A``, is not similar to ``P``. If the other, ``B``, shares
+nothing with ``A`` beside what ``P`` has, both share at most what ``A`` and ``P`` share, which is too little unless ``B`` is
+shorter than ``P`` by enough. So pairs are found by a join on the few shingles of ``A`` that are not in ``P`` but in some other
+text, and by lengths; no link between members of a bucket is lost, and unlike copies of one text do not meet.
 
 **Bounds.** Shingles of a text that no other open text holds are in no overlap. With ``n`` shingles and ``m`` of
 them held by others, the similarity to a text of ``k`` shingles is at most ``m / (n + k - m)``. After the first
@@ -39,7 +42,7 @@ import numpy as np
 import pandas as pd
 import regex
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,8 +55,6 @@ BANDS = 24
 BAND_REGISTERS = 5
 # Characters of the texts that are signed together.
 SIGNED_CHARS = 1_000_000
-# Pivots of a bucket in a round, as a multiple of those in the round before.
-PIVOT_GROWTH = 4
 WORD = regex.compile(r"[0-9a-z\u0080-\U0010FFFF]+")
 MOST_WORDS = 100_000
 
@@ -209,33 +210,38 @@ def linked(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").filter(similar("text_a", "text_b")).select("a", "b")
 
 
-def shared_shingles(texts: DataFrame) -> DataFrame:
-    """``n``, the number of shingles of each ``node``, and ``m``, of those that another of the texts holds."""
+def shingle_rows(texts: DataFrame) -> DataFrame:
+    """``node`` and ``shingle`` of the texts; the second copy of a shingle in a text is another shingle, and so on."""
 
-    def counted(frame: pd.DataFrame) -> pd.DataFrame:
+    def listed(frame: pd.DataFrame) -> pd.DataFrame:
         bags = [np.unique(shingles_of(text), return_counts=True) for text in frame["text"]]
-        sizes = [len(distinct) for distinct, _ in bags]
+        sizes = [int(counts.sum()) for _, counts in bags]
+        distinct = np.concatenate([distinct.repeat(counts) for distinct, counts in bags])
+        copies = np.concatenate([np.arange(counts.sum()) - (np.cumsum(counts) - counts).repeat(counts) for _, counts in bags])
+        named = np.where(copies > 0, mixed(distinct + copies.astype(np.uint64)), distinct)
         return pd.DataFrame(
-            {
-                "node": frame["node"].repeat(sizes).reset_index(drop=True),
-                "shingle": np.concatenate([distinct for distinct, _ in bags]).view(np.int64),
-                "copies": np.concatenate([counts for _, counts in bags]),
-            }
+            {"node": frame["node"].repeat(sizes).reset_index(drop=True), "shingle": named.view(np.int64)}
         )
 
-    schema = T.StructType.fromDDL("node binary, shingle long, copies long")
-    bags = stored(mapped(texts, by_slice(counted), schema), "bags")
+    schema = T.StructType.fromDDL("node binary, shingle long")
+    return stored(mapped(texts, by_slice(listed), schema), "bags")
+
+
+def shared_shingles(bags: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``n``, the number of shingles of each ``node``, and ``m``, of those that another of the texts holds; and the shingles
+    that one text alone holds, with a hash of it."""
     holder = F.xxhash64("node")
-    alone = (
+    alone = stored(
         bags.groupBy("shingle")
-        .agg(F.count("*").alias("texts"), F.bit_xor(holder).alias("holder"), F.max("copies").alias("copies"))
+        .agg(F.count("*").alias("texts"), F.bit_xor(holder).alias("holder"))
         .filter("texts = 1")
-        .groupBy("holder")
-        .agg(F.sum("copies").alias("alone"))
+        .select("shingle", "holder"),
+        "alone",
     )
-    totals = bags.groupBy("node").agg(F.sum("copies").alias("n")).withColumn("holder", holder)
-    m = F.col("n") - F.coalesce("alone", F.lit(0))
-    return totals.join(alone, "holder", "left").select("node", "n", m.alias("m"))
+    totals = bags.groupBy("node").agg(F.count("*").alias("n")).withColumn("holder", holder)
+    own = alone.groupBy("holder").agg(F.count("*").alias("own"))
+    m = F.col("n") - F.coalesce("own", F.lit(0))
+    return totals.join(own, "holder", "left").select("node", "n", m.alias("m")), alone
 
 
 def reachable(m: Column, n: Column, other_n: Column, threshold: float) -> Column:
@@ -243,22 +249,65 @@ def reachable(m: Column, n: Column, other_n: Column, threshold: float) -> Column
     return m >= threshold * (n + other_n - m) - 1e-6
 
 
-def candidate_pairs(opened: DataFrame, threshold: float, bounded: bool) -> DataFrame:
-    """Pairs of a pivot and a member of another class in its bucket, within bounds where these are known."""
-    sizes = ["n", "m"] if bounded else []
-    pivots = opened.filter("is_pivot").select(
-        "bucket",
-        F.col("node").alias("pivot"),
-        F.col("root").alias("of"),
-        *[F.col(name).alias(f"pivot_{name}") for name in sizes],
-    )
-    met = opened.join(pivots, "bucket").filter(F.col("root") != F.col("of"))
-    if bounded:
-        common = F.least("m", "pivot_m")
-        met = met.filter(reachable(common, F.col("n"), F.col("pivot_n"), threshold))
+def candidate_pairs(opened: DataFrame) -> DataFrame:
+    """Pairs of a bucket's first pivot and its other members."""
+    pivots = opened.filter("is_pivot").select("bucket", F.col("node").alias("pivot"))
+    met = opened.join(pivots, "bucket").filter(F.col("node") != F.col("pivot"))
+    return met.select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct()
+
+
+def closest(opened: DataFrame) -> DataFrame:
+    """For each ``bucket`` its ``pivot``: the class of the member with the least share of shingles of its own, and of all
+    that class the text with the least."""
+    own = F.struct(((F.col("n") - F.col("m")) / F.col("n")).alias("own"), "node")
+    of_class = opened.groupBy("root").agg(F.min(own)["node"].alias("pivot"))
+    return opened.groupBy("bucket").agg(F.min_by("root", own).alias("root")).join(of_class, "root").select("bucket", "pivot")
+
+
+def pivot_pairs(opened: DataFrame, pivots: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of a bucket's pivot and its members of other classes, within bounds."""
+    facts = opened.select("node", "root", "n", "m").distinct()
+    facts = facts.toDF(*[f"pivot_{name}" for name in facts.columns])
+    met = opened.join(pivots, "bucket").join(facts, F.col("pivot") == F.col("pivot_node"))
+    met = met.filter(F.col("root") != F.col("pivot_root"))
+    met = met.filter(reachable(F.least("m", "pivot_m"), F.col("n"), F.col("pivot_n"), threshold))
     return met.select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct()
 
 
+def pairs_left(
+    opened: DataFrame, pivots: DataFrame, roots: DataFrame, bags: DataFrame, alone: DataFrame, threshold: float
+) -> DataFrame:
+    """Pairs of members of different classes, one of another class than the pivot, that share a shingle which the pivot does
+    not have, or of which the other is so short that what the first shares with the pivot may do."""
+    of_pivot = pivots.join(bags, F.col("pivot") == F.col("node")).select("bucket", "shingle", F.lit(True).alias("in_pivot"))
+    pivot_roots = pivots.join(roots.withColumnRenamed("node", "pivot"), "pivot", "left").select(
+        "bucket", F.coalesce("root", "pivot").alias("pivot_root")
+    )
+    members = opened.select("bucket", "node", "root", "n", "m")
+    apart = members.join(pivot_roots, "bucket").filter(F.col("root") != F.col("pivot_root")).drop("pivot_root")
+    shingles = apart.select("bucket", "node").join(bags, "node").join(of_pivot, ["bucket", "shingle"], "left")
+    common = shingles.groupBy("bucket", "node").agg(F.count("in_pivot").alias("common"))
+    beside = shingles.filter(F.col("in_pivot").isNull()).join(alone, "shingle", "left_anti").select("bucket", "node", "shingle")
+
+    others = [F.col(name).alias(f"other_{name}") for name in ("node", "root", "n", "m")]
+    within = reachable(F.least("m", "other_m"), F.col("n"), F.col("other_n"), threshold)
+    differ = F.col("root") != F.col("other_root")
+    beside = stored(beside, "beside")
+    wanted = bags.join(beside.select("shingle").distinct(), "shingle", "left_semi").withColumnRenamed("node", "other_node")
+    held = members.select("bucket", *others).join(wanted, "other_node")
+    sharing = apart.join(beside, ["bucket", "node"]).join(held, ["bucket", "shingle"]).filter(differ & within)
+    # The other has at most so many shingles that the first and the pivot share enough.
+    short = apart.join(common, ["bucket", "node"]).withColumn(
+        "most", (F.col("common") + 1e-6) * (1 + threshold) / threshold - F.col("n")
+    )
+    short = short.filter(F.col("most") >= threshold * F.col("n") - 1e-6)
+    shorter = short.join(members.select("bucket", *others), "bucket").filter(
+        differ & within & (F.col("other_n") <= F.col("most"))
+    )
+    pair = [F.greatest("node", "other_node").alias("a"), F.least("node", "other_node").alias("b")]
+    return sharing.select(*pair).unionAll(shorter.select(*pair)).distinct()
+
+
 def classes(
     docs: DataFrame, threshold: float = THRESHOLD, id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -282,54 +331,44 @@ def classes(
     texts = stored(read.groupBy("node").agg(F.min("text").alias("text")), "texts")
 
     roots = nodes.select("node", F.col("node").alias("root")).limit(0)
-    bounds: DataFrame | None = None
-    compared: DataFrame | None = None
-    pivots_wanted = 1
-    while True:
+
+    def undone(members: DataFrame, bounds: DataFrame | None) -> DataFrame:
+        """Members of buckets that hold several classes, with ``root``, and with ``n`` and ``m`` where bounds are known."""
         labelled = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        if bounds is not None:
-            labelled = labelled.join(bounds, "node")
-        undone = (
-            labelled.groupBy("bucket")
-            .agg(
-                F.count("*").alias("size"),
-                F.min("node").alias("least"),
-                F.min("root").alias("first_root"),
-                F.max("root").alias("last_root"),
-                *([F.min("n").alias("fewest")] if bounds is not None else []),
-            )
-            .filter("size > 1 and first_root <> last_root")
-            .drop("first_root", "last_root")
-        )
-        # Members out of reach of the text of fewest shingles in their bucket are out of reach of all.
+        facts = [F.min("node").alias("least"), F.min("root").alias("first_root"), F.max("root").alias("last_root")]
         near = F.lit(True)
         if bounds is not None:
+            labelled = labelled.join(bounds, "node")
+            facts.append(F.min("n").alias("fewest"))
+            # Members out of reach of the text of fewest shingles in their bucket are out of reach of all.
             near = reachable(F.col("m"), F.col("n"), F.greatest("fewest", "m"), threshold)
-        opened = labelled.join(undone, "bucket").filter(near)
-        # The first pivot is the least node; later ones are as many as wanted of those with the least of their own.
-        if bounds is None:
-            opened = opened.withColumn("is_pivot", F.col("node") == F.col("least"))
-        else:
-            own = Window.partitionBy("bucket").orderBy((F.col("n") - F.col("m")) / F.col("n"), "node")
-            opened = stored(opened, "near_members")
-            pivots = opened.withColumn("place", F.row_number().over(own)).filter(F.col("place") <= pivots_wanted)
-            pivots = pivots.select("bucket", "node", F.lit(True).alias("is_pivot"))
-            opened = opened.join(pivots, ["bucket", "node"], "left").fillna(False, ["is_pivot"])
-        opened = stored(opened, "open_members")
-        if opened.isEmpty():
-            break
-        pairs = candidate_pairs(opened, threshold, bounded=bounds is not None)
-        if compared is not None:
-            pairs = pairs.join(compared, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        compared = pairs if compared is None else compared.unionAll(pairs)
+        open_buckets = labelled.groupBy("bucket").agg(*facts).filter("first_root <> last_root")
+        return labelled.join(open_buckets.drop("first_root", "last_root"), "bucket").filter(near)
+
+    def joined(pairs: DataFrame) -> DataFrame:
+        """The roots with the links among the pairs."""
         found = stored(linked(pairs, texts, threshold), "links")
-        if not found.isEmpty():
-            roots = components(found.unionAll(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+        if found.isEmpty():
+            return roots
+        return components(found.unionAll(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+
+    opened = undone(members, None).withColumn("is_pivot", F.col("node") == F.col("least"))
+    opened = stored(opened, "open_members")
+    if not opened.isEmpty():
+        roots = joined(stored(candidate_pairs(opened), "pairs"))
         members = opened.filter(~F.col("is_pivot")).select("bucket", "node")
-        if bounds is None:
-            bounds = stored(shared_shingles(texts.join(members.select("node").distinct(), "node")), "bounds")
-        pivots_wanted *= PIVOT_GROWTH
+        bags = shingle_rows(texts.join(undone(members, None).select("node").distinct(), "node"))
+        bounds, alone = shared_shingles(bags)
+        bounds = stored(bounds, "bounds")
+        # Twice, as classes that the first round joins have one text in common that is closest to them all.
+        for _ in range(2):
+            opened = stored(undone(members, bounds), "near_members")
+            pivots = stored(closest(opened), "pivots")
+            roots = joined(stored(pivot_pairs(opened, pivots, threshold), "pairs"))
+        members = opened.join(pivots.withColumnRenamed("pivot", "node"), ["bucket", "node"], "left_anti")
+        opened = stored(undone(members.select("bucket", "node"), bounds), "left_members")
+        if not opened.isEmpty():
+            roots = joined(stored(pairs_left(opened, pivots, roots, bags, alone, threshold), "pairs"))
 
     labelled = nodes.select("node", "id").join(roots, "node", "left")
     labelled = labelled.select("node", "id", F.coalesce("root", "node").alias("root"))
