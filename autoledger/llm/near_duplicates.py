@@ -279,25 +279,30 @@ def pairs_left(
 ) -> DataFrame:
     """Pairs of members of different classes, one of another class than the pivot, that share a shingle which the pivot does
     not have, or of which the other is so short that what the first shares with the pivot may do."""
-    of_pivot = pivots.join(bags, F.col("pivot") == F.col("node")).select("bucket", "shingle", F.lit(True).alias("in_pivot"))
+    of_pivot = pivots.select("pivot").distinct().join(bags.withColumnRenamed("node", "pivot"), "pivot")
+    of_pivot = of_pivot.withColumn("in_pivot", F.lit(True))
     pivot_roots = pivots.join(roots.withColumnRenamed("node", "pivot"), "pivot", "left").select(
-        "bucket", F.coalesce("root", "pivot").alias("pivot_root")
+        "bucket", "pivot", F.coalesce("root", "pivot").alias("pivot_root")
     )
     members = opened.select("bucket", "node", "root", "n", "m")
     apart = members.join(pivot_roots, "bucket").filter(F.col("root") != F.col("pivot_root")).drop("pivot_root")
-    shingles = apart.select("bucket", "node").join(bags, "node").join(of_pivot, ["bucket", "shingle"], "left")
-    common = shingles.groupBy("bucket", "node").agg(F.count("in_pivot").alias("common"))
-    beside = shingles.filter(F.col("in_pivot").isNull()).join(alone, "shingle", "left_anti").select("bucket", "node", "shingle")
+    # Once for a text and a pivot, in however many buckets they meet; shingles that one text alone has are left out.
+    compared = stored(apart.select("pivot", "node").distinct(), "compared")
+    shared = bags.join(compared.select("node").distinct(), "node", "left_semi").join(alone, "shingle", "left_anti")
+    shingles = stored(
+        compared.join(shared, "node").join(of_pivot, ["pivot", "shingle"], "left"), "shingles"
+    )
+    common = shingles.groupBy("pivot", "node").agg(F.count("in_pivot").alias("common"))
+    beside = shingles.filter(F.col("in_pivot").isNull()).select("pivot", "node", "shingle")
 
     others = [F.col(name).alias(f"other_{name}") for name in ("node", "root", "n", "m")]
     within = reachable(F.least("m", "other_m"), F.col("n"), F.col("other_n"), threshold)
     differ = F.col("root") != F.col("other_root")
-    beside = stored(beside, "beside")
     wanted = bags.join(beside.select("shingle").distinct(), "shingle", "left_semi").withColumnRenamed("node", "other_node")
     held = members.select("bucket", *others).join(wanted, "other_node")
-    sharing = apart.join(beside, ["bucket", "node"]).join(held, ["bucket", "shingle"]).filter(differ & within)
+    sharing = apart.join(beside, ["pivot", "node"]).join(held, ["bucket", "shingle"]).filter(differ & within)
     # The other has at most so many shingles that the first and the pivot share enough.
-    short = apart.join(common, ["bucket", "node"]).withColumn(
+    short = apart.join(common, ["pivot", "node"]).withColumn(
         "most", (F.col("common") + 1e-6) * (1 + threshold) / threshold - F.col("n")
     )
     short = short.filter(F.col("most") >= threshold * F.col("n") - 1e-6)
