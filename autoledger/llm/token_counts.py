@@ -206,9 +206,18 @@ class PrefixCounter:
         edges = list(accumulate((len(text) + 1 for text in texts), initial=0))
         return [result[start:end] - result[start] for start, end in zip(edges, edges[1:])]
 
+    def forget(self) -> None:
+        """Keeps what is remembered within bounds, but for what one batch adds."""
+        self.words.forget(MOST_WORDS)
+        if len(self.heads) > MOST_HEADS:
+            self.heads.clear()
+        if self.n_pairs > MOST_PAIRS:
+            self.pairs.clear()
+            self.n_pairs = 0
+
     def all_counts(self, texts: list[str]) -> list[np.ndarray]:
         """``counts`` of each text."""
-        self.words.forget(MOST_WORDS)
+        self.forget()
         plain = [
             UNSAFE.search(text) is None and not ("<" in text and self.special_pattern.search(text))
             for text in texts
@@ -218,12 +227,7 @@ class PrefixCounter:
 
     def counts(self, text: str) -> np.ndarray:
         """Counts of the prefixes of 0, 1, 2, ... characters of a text."""
-        self.words.forget(MOST_WORDS)
-        if len(self.heads) > MOST_HEADS:
-            self.heads.clear()
-        if self.n_pairs > MOST_PAIRS:
-            self.pairs.clear()
-            self.n_pairs = 0
+        self.forget()
         parts, total, place = [np.zeros(1, dtype=np.int32)], 0, 0
         found = self.special_pattern.finditer(text) if "<" in text else ()
         for special in found:

@@ -222,3 +222,19 @@ def test_wavelet_of_awkward_rows(spark, awkward_wide, empty, monkeypatch):
     got = sorted(map(tuple, rows), key=lambda row: row[1])
     assert got == wavelet_expected([row[:2] for row in awkward_rows()])
     assert wavelet.read_back(wavelet.written(empty, WORDS)).count() == 0
+
+
+def test_what_is_remembered_of_plain_texts_is_bounded(monkeypatch):
+    for name in ("MOST_WORDS", "MOST_HEADS", "MOST_PAIRS"):
+        monkeypatch.setattr(token_counts, name, 500)
+    draw = random.Random(41)
+    bounded, free = (token_counts.PrefixCounter(BYTES) for _ in range(2))
+    for _ in range(6):
+        batch = [" ".join("".join(draw.choices("abcdefgh", k=9)) for _ in range(100)) for _ in range(3)]
+        found = bounded.all_counts(batch)
+        monkeypatch.setattr(token_counts, "MOST_HEADS", 10**9)
+        assert all((one == other).all() for one, other in zip(found, free.all_counts(batch)))
+        monkeypatch.setattr(token_counts, "MOST_HEADS", 500)
+        # A batch adds at most one head and one entry for each of its 300 words.
+        assert len(bounded.heads) <= 500 + 300 and len(bounded.words) <= 500 + 300
+        assert bounded.n_pairs <= 500 + 40 * 300
