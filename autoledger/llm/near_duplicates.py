@@ -16,10 +16,12 @@ bucket is done, and a group of copies of any size costs about one comparison a m
 pivot ``P``: of the class that is closest to the bucket's members, the text with the least share of shingles of its own. The
 text that a group was copied from is close to all of them, and one copy to another is not.
 
-**What is left.** Of two texts of different classes one, ``A``, is not similar to ``P``. If the other, ``B``, shares
-nothing with ``A`` beside what ``P`` has, both share at most what ``A`` and ``P`` share, which is too little unless ``B`` is
-shorter than ``P`` by enough. So pairs are found by a join on the few shingles of ``A`` that are not in ``P`` but in some other
-text, and by lengths; no link between members of a bucket is lost, and unlike copies of one text do not meet.
+**What is left.** Pairs of different classes under one pivot ``P`` are found by a prefix-filtered join. The shingles of a text
+are ordered: first those no other open text holds, then those that ``P`` does not hold, then those of ``P``, each by hash.
+Two similar texts of ``n`` and ``k`` shingles share one among the first ``n - ceil(0.8 n) + 1`` places of the one and
+``k - ceil(0.8 k) + 1`` of the other, and by the first that they share there, enough must lie behind it in both. So no link
+between members of a bucket is lost, and unlike copies of one text, whose own edits fill their first places, do not
+meet.
 
 **Bounds.** Shingles of a text that no other open text holds are in no overlap. With ``n`` shingles and ``m`` of
 them held by others, the similarity to a text of ``k`` shingles is at most ``m / (n + k - m)``. After the first
@@ -210,38 +212,32 @@ def linked(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").filter(similar("text_a", "text_b")).select("a", "b")
 
 
-def shingle_rows(texts: DataFrame) -> DataFrame:
-    """``node`` and ``shingle`` of the texts; the second copy of a shingle in a text is another shingle, and so on."""
+def shingle_bags(texts: DataFrame) -> DataFrame:
+    """``node`` and ``bag``, its shingles; the second copy of a shingle in a text is another shingle, and so on."""
+
+    def bag(text: str) -> list[int]:
+        distinct, counts = np.unique(shingles_of(text), return_counts=True)
+        copies = np.arange(counts.sum()) - (np.cumsum(counts) - counts).repeat(counts)
+        named = distinct.repeat(counts)
+        return np.where(copies > 0, mixed(named + copies.astype(np.uint64)), named).view(np.int64)
 
     def listed(frame: pd.DataFrame) -> pd.DataFrame:
-        bags = [np.unique(shingles_of(text), return_counts=True) for text in frame["text"]]
-        sizes = [int(counts.sum()) for _, counts in bags]
-        distinct = np.concatenate([distinct.repeat(counts) for distinct, counts in bags])
-        copies = np.concatenate([np.arange(counts.sum()) - (np.cumsum(counts) - counts).repeat(counts) for _, counts in bags])
-        named = np.where(copies > 0, mixed(distinct + copies.astype(np.uint64)), distinct)
-        return pd.DataFrame(
-            {"node": frame["node"].repeat(sizes).reset_index(drop=True), "shingle": named.view(np.int64)}
-        )
-
-    schema = T.StructType.fromDDL("node binary, shingle long")
-    return stored(mapped(texts, by_slice(listed), schema), "bags")
-
-
-def shared_shingles(bags: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``n``, the number of shingles of each ``node``, and ``m``, of those that another of the texts holds; and the shingles
-    that one text alone holds, with a hash of it."""
+        return pd.DataFrame({"node": frame["node"], "bag": [bag(text) for text in frame["text"]]})
+
+    schema = T.StructType.fromDDL("node binary, bag array<long>")
+    return stored(mapped(texts, by_slice(listed, most_chars=SIGNED_CHARS), schema), "bags")
+
+
+def shared_shingles(bags: DataFrame) -> DataFrame:
+    """``n``, the number of shingles of each ``node``, ``m``, of those that another of the texts holds, and these as ``shared``."""
     holder = F.xxhash64("node")
-    alone = stored(
-        bags.groupBy("shingle")
-        .agg(F.count("*").alias("texts"), F.bit_xor(holder).alias("holder"))
-        .filter("texts = 1")
-        .select("shingle", "holder"),
-        "alone",
-    )
-    totals = bags.groupBy("node").agg(F.count("*").alias("n")).withColumn("holder", holder)
-    own = alone.groupBy("holder").agg(F.count("*").alias("own"))
-    m = F.col("n") - F.coalesce("own", F.lit(0))
-    return totals.join(own, "holder", "left").select("node", "n", m.alias("m")), alone
+    rows = bags.select(holder.alias("holder"), F.explode("bag").alias("shingle"))
+    alone = rows.groupBy("shingle").agg(F.count("*").alias("texts"), F.bit_xor("holder").alias("holder")).filter("texts = 1")
+    own = alone.groupBy("holder").agg(F.collect_list("shingle").alias("own"))
+    found = bags.withColumn("holder", holder).join(own, "holder", "left")
+    shared = F.when(F.col("own").isNull(), F.col("bag")).otherwise(F.array_except("bag", "own"))
+    found = found.select("node", F.size("bag").cast("long").alias("n"), shared.alias("shared"))
+    return stored(found.withColumn("m", F.size("shared").cast("long")), "shared")
 
 
 def reachable(m: Column, n: Column, other_n: Column, threshold: float) -> Column:
@@ -274,43 +270,55 @@ def pivot_pairs(opened: DataFrame, pivots: DataFrame, threshold: float) -> DataF
     return met.select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct()
 
 
-def pairs_left(
-    opened: DataFrame, pivots: DataFrame, roots: DataFrame, bags: DataFrame, alone: DataFrame, threshold: float
-) -> DataFrame:
-    """Pairs of members of different classes, one of another class than the pivot, that share a shingle which the pivot does
-    not have, or of which the other is so short that what the first shares with the pivot may do."""
-    of_pivot = pivots.select("pivot").distinct().join(bags.withColumnRenamed("node", "pivot"), "pivot")
-    of_pivot = of_pivot.withColumn("in_pivot", F.lit(True))
-    pivot_roots = pivots.join(roots.withColumnRenamed("node", "pivot"), "pivot", "left").select(
+def prefixes(opened: DataFrame, pivots: DataFrame, roots: DataFrame, shared: DataFrame, threshold: float) -> DataFrame:
+    """For each ``pivot`` and ``node`` of one of its buckets: ``prefix``, the shingles that a similar text under this pivot
+    must have one of, and ``apart``, whether the node is of another class than the pivot."""
+    of_pivot = pivots.join(roots.withColumnRenamed("node", "pivot"), "pivot", "left").select(
         "bucket", "pivot", F.coalesce("root", "pivot").alias("pivot_root")
     )
-    members = opened.select("bucket", "node", "root", "n", "m")
-    apart = members.join(pivot_roots, "bucket").filter(F.col("root") != F.col("pivot_root")).drop("pivot_root")
-    # Once for a text and a pivot, in however many buckets they meet; shingles that one text alone has are left out.
-    compared = stored(apart.select("pivot", "node").distinct(), "compared")
-    shared = bags.join(compared.select("node").distinct(), "node", "left_semi").join(alone, "shingle", "left_anti")
-    shingles = stored(
-        compared.join(shared, "node").join(of_pivot, ["pivot", "shingle"], "left"), "shingles"
-    )
-    common = shingles.groupBy("pivot", "node").agg(F.count("in_pivot").alias("common"))
-    beside = shingles.filter(F.col("in_pivot").isNull()).select("pivot", "node", "shingle")
-
-    others = [F.col(name).alias(f"other_{name}") for name in ("node", "root", "n", "m")]
-    within = reachable(F.least("m", "other_m"), F.col("n"), F.col("other_n"), threshold)
-    differ = F.col("root") != F.col("other_root")
-    wanted = bags.join(beside.select("shingle").distinct(), "shingle", "left_semi").withColumnRenamed("node", "other_node")
-    held = members.select("bucket", *others).join(wanted, "other_node")
-    sharing = apart.join(beside, ["pivot", "node"]).join(held, ["bucket", "shingle"]).filter(differ & within)
-    # The other has at most so many shingles that the first and the pivot share enough.
-    short = apart.join(common, ["pivot", "node"]).withColumn(
-        "most", (F.col("common") + 1e-6) * (1 + threshold) / threshold - F.col("n")
+    met = opened.join(of_pivot, "bucket").select(
+        "pivot", "node", "n", "m", (F.col("root") != F.col("pivot_root")).alias("apart")
     )
-    short = short.filter(F.col("most") >= threshold * F.col("n") - 1e-6)
-    shorter = short.join(members.select("bucket", *others), "bucket").filter(
-        differ & within & (F.col("other_n") <= F.col("most"))
+    # Once for a text and a pivot, in however many buckets they meet.
+    lists = shared.select(F.col("node").alias("pivot"), F.col("shared").alias("in_pivot"))
+    both = met.distinct().join(shared.select("node", "shared"), "node").join(lists, "pivot")
+    beside = F.array_sort(F.array_except("shared", "in_pivot"))
+    ordered = F.concat(beside, F.array_sort(F.array_intersect("shared", "in_pivot")))
+    # Shingles of its own take the first places, but meet nothing.
+    places = F.col("m") - F.ceil(threshold * F.col("n") - 1e-6) + 1
+    prefix = F.slice(ordered, F.lit(1), F.greatest(places, F.lit(0)).cast("int"))
+    found = both.filter(places > 0).select("pivot", "node", "n", "m", "apart", prefix.alias("prefix"))
+    return stored(found, "prefixes")
+
+
+def placed(prefixed: DataFrame, roots: DataFrame) -> DataFrame:
+    """A row per shingle of each prefix, with ``most``, the shingles from there on that others hold, and the node's ``root``."""
+    known = prefixed.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rows = known.select("pivot", "node", "root", "n", "m", "apart", F.posexplode("prefix").alias("place", "shingle"))
+    return rows.withColumn("most", F.col("m") - F.col("place")).drop("m", "place")
+
+
+def meets(one: str, other: str, threshold: float) -> Column:
+    """Whether two texts that share a shingle are of different classes, one of them of another than the pivot, and have
+    enough shingles from there on."""
+    a, b = (lambda name: F.col(f"{one}.{name}")), (lambda name: F.col(f"{other}.{name}"))
+    enough = reachable(F.least(a("most"), b("most")), a("n"), b("n"), threshold)
+    return (a("root") != b("root")) & (a("apart") | b("apart")) & enough
+
+
+def pairs_left(tokens: DataFrame, threshold: float) -> DataFrame:
+    """All pairs of different classes that share a shingle of their prefixes, within bounds."""
+    mixed_groups = tokens.groupBy("pivot", "shingle").agg(
+        F.min("root").alias("first_root"), F.max("root").alias("last_root")
     )
-    pair = [F.greatest("node", "other_node").alias("a"), F.least("node", "other_node").alias("b")]
-    return sharing.select(*pair).unionAll(shorter.select(*pair)).distinct()
+    mixed_groups = mixed_groups.filter("first_root <> last_root").select("pivot", "shingle")
+    fact = F.struct("node", "root", "n", "most", "apart")
+    others = tokens.select("pivot", "shingle", fact.alias("other"))
+    ones = tokens.filter("apart").join(mixed_groups, ["pivot", "shingle"], "left_semi")
+    met = ones.select("pivot", "shingle", fact.alias("one")).join(others, ["pivot", "shingle"])
+    once = ~F.col("other.apart") | (F.col("one.node") < F.col("other.node"))
+    met = met.filter(meets("one", "other", threshold) & once)
+    return met.select(F.greatest("one.node", "other.node").alias("a"), F.least("one.node", "other.node").alias("b")).distinct()
 
 
 def classes(
@@ -324,8 +332,8 @@ def classes(
         signed.groupBy("node").agg(F.min("doc_id").alias("id"), F.first("buckets").alias("buckets")), "nodes"
     )
     members = nodes.select("node", F.explode("buckets").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    members = stored(members.join(shared, "bucket").select("bucket", "node"), "members")
+    several = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
+    members = stored(members.join(several, "bucket").select("bucket", "node"), "members")
 
     # Texts that take part, one row each; a text is read at one of its ids.
     wanted = members.select("node").distinct().join(nodes.select("node", "id"), "node")
@@ -362,18 +370,16 @@ def classes(
     if not opened.isEmpty():
         roots = joined(stored(candidate_pairs(opened), "pairs"))
         members = opened.filter(~F.col("is_pivot")).select("bucket", "node")
-        bags = shingle_rows(texts.join(undone(members, None).select("node").distinct(), "node"))
-        bounds, alone = shared_shingles(bags)
-        bounds = stored(bounds, "bounds")
-        # Twice, as classes that the first round joins have one text in common that is closest to them all.
-        for _ in range(2):
-            opened = stored(undone(members, bounds), "near_members")
-            pivots = stored(closest(opened), "pivots")
-            roots = joined(stored(pivot_pairs(opened, pivots, threshold), "pairs"))
-        members = opened.join(pivots.withColumnRenamed("pivot", "node"), ["bucket", "node"], "left_anti")
-        opened = stored(undone(members.select("bucket", "node"), bounds), "left_members")
+        shared = shared_shingles(shingle_bags(texts.join(undone(members, None).select("node").distinct(), "node")))
+        bounds = shared.select("node", "n", "m")
+        opened = stored(undone(members, bounds), "near_members")
+        pivots = stored(closest(opened), "pivots")
+        roots = joined(stored(pivot_pairs(opened, pivots, threshold), "pairs"))
+        opened = stored(undone(members, bounds), "left_members")
         if not opened.isEmpty():
-            roots = joined(stored(pairs_left(opened, pivots, roots, bags, alone, threshold), "pairs"))
+            # Anew, as classes that are joined by now have one text in common that is closest to them all.
+            prefixed = prefixes(opened, closest(opened), roots, shared, threshold)
+            roots = joined(stored(pairs_left(placed(prefixed, roots), threshold), "pairs"))
 
     labelled = nodes.select("node", "id").join(roots, "node", "left")
     labelled = labelled.select("node", "id", F.coalesce("root", "node").alias("root"))
