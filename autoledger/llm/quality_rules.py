@@ -38,9 +38,8 @@ BOILERPLATE = (
     "terms of use",
 )
 NAVIGATION_MARKS = "|»›•→"  # the first is counted by pattern, the rest by replacing: see ``measured``
-SENTENCE_END = r"""[.!?:;…]["'”’»)\]]*$"""
-# The same with the ends of other scripts; the SQL knows only those above.
-ANY_SENTENCE_END = r"""[.!?:;…।॥؟؛۔。．｡！？：；։።፧။។༎\u061D\u037E]["'”’»)\]」』）】》]*$"""
+# Ends of sentences in many scripts, and what may close behind them; Java and DuckDB read the patterns alike.
+SENTENCE_END = r"""[.!?:;…।॥؟؛۔。．｡！？：；։።፧။។༎\x{061D}\x{037E}]["'”’»)\]」』）】》]*$"""
 GOES_ON = r"""^[\x20\x09-\x0D]*["'“‘«(\[]*\p{Ll}"""
 
 MIN_WORDS = 50
@@ -60,19 +59,8 @@ def only(text: Column, characters: str) -> Column:
     return F.regexp_replace(text, f"[^{characters}]+", "")
 
 
-def measured(lines: Column, as_sql: bool) -> Column:
+def measured(lines: Column) -> Column:
     """Each line with what the rules ask of it; computed once, as a lambda repeats what it mentions twice."""
-    sentence_end = SENTENCE_END if as_sql else ANY_SENTENCE_END
-
-    def place_in_prose(part: Column) -> list[Column]:
-        if as_sql:
-            return []
-        return [
-            F.char_length(F.rtrim(part["line"])).alias("width"),
-            F.char_length(F.try_element_at(part["words"], F.lit(1))).alias("first"),
-            part["line"].rlike(GOES_ON).alias("goes_on"),
-        ]
-
     marks = SYMBOLS + "!"  # a pattern class of other than ASCII characters would be fifty times as slow
 
     def navigation_marks(part: Column) -> Column:
@@ -97,8 +85,10 @@ def measured(lines: Column, as_sql: bool) -> Column:
             navigation_marks(part).alias("navigation"),
             F.char_length(only(part["marks"], SYMBOLS)).alias("symbols"),
             F.char_length(only(part["marks"], "!")).alias("shouts"),
-            F.try_element_at(part["words"], F.lit(-1)).rlike(sentence_end).alias("ended"),
-            *place_in_prose(part),
+            F.try_element_at(part["words"], F.lit(-1)).rlike(SENTENCE_END).alias("ended"),
+            F.char_length(F.rtrim(part["line"])).alias("width"),
+            F.char_length(F.try_element_at(part["words"], F.lit(1))).alias("first"),
+            part["line"].rlike(GOES_ON).alias("goes_on"),
         ),
     )
 
@@ -110,29 +100,23 @@ def wrapped(part: Column, following: Column, widest: Column) -> Column:
     return F.coalesce((following["n"] > 0) & (following["goes_on"] | no_room), F.lit(False))
 
 
-def line_fails(part: Column, is_last: Column, some_boilerplate: Column, is_wrapped: Column | None) -> Column:
+def line_fails(part: Column, is_last: Column, some_boilerplate: Column, is_wrapped: Column) -> Column:
     """Whether a measured line that holds a word is navigation, boilerplate or badly punctuated.
 
     - navigation: three marks between items or more, and one to every four words or more;
     - boilerplate: one of the phrases of ``BOILERPLATE`` to every twenty words or more, looked for where the
-      whole text has one; without ``is_wrapped``, as in the SQL, one in a line of any length;
+      whole text has one;
     - punctuation: more than a tenth of the line is symbols, there is an exclamation mark to every second
       word, or ten words or more stand there without the end of a sentence. The end of a text may be cut off,
       so its last line needs none, nor does a line that is wrapped.
     """
     n = part["n"]
     navigation = (part["navigation"] >= 3) & (part["navigation"] * 4 >= n)
-    phrases = "|".join(BOILERPLATE)
-    if is_wrapped is None:
-        boilerplate = some_boilerplate & F.lower(part["line"]).rlike(phrases)
-    else:
-        n_phrases = F.regexp_count(F.lower(part["line"]), F.lit(phrases))
-        boilerplate = some_boilerplate & (n_phrases * WORDS_A_PHRASE >= n)
+    n_phrases = F.regexp_count(F.lower(part["line"]), F.lit("|".join(BOILERPLATE)))
+    boilerplate = some_boilerplate & (n_phrases * WORDS_A_PHRASE >= n)
     symbols = part["symbols"] * 10 > part["solid"]
     shouting = (n >= 3) & (part["shouts"] * 2 >= n)
-    unended = (n >= UNENDED_WORDS) & ~part["ended"] & ~is_last
-    if is_wrapped is not None:
-        unended = unended & ~is_wrapped
+    unended = (n >= UNENDED_WORDS) & ~part["ended"] & ~is_last & ~is_wrapped
     return navigation | symbols | shouting | unended | boilerplate
 
 
@@ -177,7 +161,7 @@ def repeated_words(rows: DataFrame) -> DataFrame:
     ).drop("_hashes", "_ordered", "_at")
 
 
-def judged(rows: DataFrame, text: str, as_sql: bool = False) -> DataFrame:
+def judged(rows: DataFrame, text: str) -> DataFrame:
     """``rows`` with the counts, the verdicts and ``cleaned``, the text without its failing lines.
 
     The columns added are named as in ``quality_rules``; ``text`` names a column without nulls.
@@ -195,10 +179,8 @@ def judged(rows: DataFrame, text: str, as_sql: bool = False) -> DataFrame:
         .withColumn("_boilerplate", some_boilerplate)
         .drop("_words")
     )
-    if not as_sql:
-        widths = F.transform(F.split(whole, "\n"), lambda line: F.char_length(F.rtrim(line)))
-        counted = counted.withColumn("_widest", F.array_max(widths))
-    lines = counted.withColumn("_lines", measured(F.split(whole, "\n"), as_sql))
+    widths = F.transform(F.split(whole, "\n"), lambda line: F.char_length(F.rtrim(line)))
+    lines = counted.withColumn("_widest", F.array_max(widths)).withColumn("_lines", measured(F.split(whole, "\n")))
     worded = F.transform(F.filter("_lines", lambda part: part["n"] > 0), lambda part: part["line"])
     lines = lines.withColumn("_worded", worded).withColumn(
         "n_dup_lines", (F.size("_worded") - F.size(F.array_distinct("_worded"))).cast("long")
@@ -206,7 +188,7 @@ def judged(rows: DataFrame, text: str, as_sql: bool = False) -> DataFrame:
 
     def stays(part: Column, place: Column) -> Column:
         is_last = place == F.size("_lines") - 1
-        is_wrapped = None if as_sql else wrapped(part, F.get("_lines", place + 1), F.col("_widest"))
+        is_wrapped = wrapped(part, F.get("_lines", place + 1), F.col("_widest"))
         return (part["n"] == 0) | ~line_fails(part, is_last, F.col("_boilerplate"), is_wrapped)
 
     cleaned = lines.withColumn("_kept", F.filter("_lines", stays)).withColumn(
@@ -226,14 +208,9 @@ def judged(rows: DataFrame, text: str, as_sql: bool = False) -> DataFrame:
     return verdict.select(*rows.columns, F.inline(F.array(F.struct(*added))))
 
 
-def quality_rules(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", as_sql: bool = False
-) -> DataFrame:
-    """Per document: counts, ``base_failed``, ``kept`` and ``cleaned``, the text without its failing lines.
-
-    ``as_sql`` judges as ``SQL`` does: Latin sentence ends, wrapped lines as unended, a phrase in any line.
-    """
-    return judged(texts_of(docs, id, text), "text", as_sql).select(
+def quality_rules(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per document: counts, ``base_failed``, ``kept`` and ``cleaned``, the text without its failing lines."""
+    return judged(texts_of(docs, id, text), "text").select(
         "doc_id",
         "n_words",
         "word_chars",
@@ -278,11 +255,14 @@ again AS (
 covered AS (
   SELECT r, count(DISTINCT i + step) AS n FROM again, (VALUES (0), (1), (2)) AS s(step) GROUP BY r),
 line AS (
-  SELECT r, lines[i] AS l, i = len(lines) AS is_last
-  FROM (SELECT r, lines, unnest(range(1, len(lines) + 1)) AS i FROM w)),
+  SELECT r, lines[i] AS l, coalesce(lines[i + 1], '') AS following, i = len(lines) AS is_last, widest
+  FROM (SELECT r, lines, list_max(list_transform(lines, lambda x: length(rtrim(x, ' ')))) AS widest,
+      unnest(range(1, len(lines) + 1)) AS i
+    FROM w)),
 worded AS (
-  SELECT r, l, is_last, regexp_replace(l, '[\x20\x09-\x0D]+', '', 'g') AS solid,
+  SELECT r, l, following, is_last, widest, regexp_replace(l, '[\x20\x09-\x0D]+', '', 'g') AS solid,
     list_filter(regexp_split_to_array(l, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+    list_filter(regexp_split_to_array(following, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS next_words,
     length(l) - length(translate(l, '{NAVIGATION_MARKS}', '')) AS marks,
     length(l) - length(translate(l, '{SYMBOLS}', '')) AS symbols,
     length(l) - length(replace(l, '!', '')) AS shouts
@@ -290,11 +270,13 @@ worded AS (
 verdicts AS (
   SELECT r, l, solid,
     (marks >= 3 AND marks * 4 >= len(words))
-    OR regexp_matches(lower(l), '{"|".join(BOILERPLATE)}')
+    OR len(regexp_extract_all(lower(l), '{"|".join(BOILERPLATE)}')) * {WORDS_A_PHRASE} >= len(words)
     OR symbols * 10 > length(solid)
     OR (len(words) >= 3 AND shouts * 2 >= len(words))
     OR (len(words) >= {UNENDED_WORDS} AND NOT is_last
-        AND NOT regexp_matches(words[len(words)], '{SENTENCE_END.replace("'", "''")}')) AS fails
+        AND NOT regexp_matches(words[len(words)], '{SENTENCE_END.replace("'", "''")}')
+        AND NOT (len(next_words) > 0 AND (regexp_matches(following, '{GOES_ON.replace("'", "''")}')
+          OR length(rtrim(l, ' ')) + 1 + length(next_words[1]) > widest))) AS fails
   FROM worded),
 by_line AS (
   SELECT r, count(*) - count(DISTINCT l) AS dups, sum(CASE WHEN fails THEN length(solid) ELSE 0 END) AS lost

@@ -7,6 +7,8 @@ import random
 import textwrap
 from collections import Counter
 
+import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,8 +86,30 @@ def test_clean_lines_of_other_kinds_stay(spark):
     assert rows[3].cleaned == texts[3].split("\n")[0] + "\nOther words follow here."
     assert rows[4].cleaned == texts[4].split("\n")[0]
     assert all(row.kept for row in rows)
-    by_sql = sorted(quality_rules.quality_rules(docs, as_sql=True).collect())
-    assert [row.kept for row in by_sql[:3]] == [False, False, False]
+
+
+def test_quality_rules_and_their_sql_agree_on_random_lines(spark):
+    draw = random.Random(10)
+    ends = ["", ".", "!", "।", "؟\u00bb", "\u061d", "\u037e", "。」", ",", ";", "…"]
+    starts = ["", "Title ", "\u201cquoted ", "(aside ", "Über ", "über ", "ßharp ", "\t", "  ", "|", "» » » "]
+    phrases = ["", "", "privacy policy", "Terms of USE and click here", "#$%", "!!! !!!"]
+
+    def line() -> str:
+        stems = draw.choices(["word", "Name", "other", "über", "ΑΒΓ", "数"], k=draw.choice([0, 2, 9, 10, 14, 22]))
+        words = " ".join(stem + str(draw.randrange(40)) for stem in stems)
+        rest = [draw.choice(part) for part in (["", " "], phrases, ends, ["", "", " ", "\r", "\u3000"])]
+        return draw.choice(starts) + words + "".join(rest)
+
+    texts = [None, "", "\n", " \n\n "] + ["\n".join(line() for _ in range(draw.randrange(1, 14))) for _ in range(400)]
+    documents = pd.DataFrame({"doc_id": range(len(texts)), "text": texts})
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = quality_rules.quality_rules(docs).drop("cleaned", "lost_chars").toPandas()
+    with duckdb.connect() as connection:
+        connection.register("documents", documents)
+        expected = connection.sql(quality_rules.SQL).df()
+    in_order = [frame.sort_values("doc_id").reset_index(drop=True)[list(expected.columns)] for frame in (found, expected)]
+    pd.testing.assert_frame_equal(*in_order, check_dtype=False)
+    assert 20 < in_order[0]["kept"].sum() < len(texts) - 20
 
 
 def test_repeated_words_count_each_word_once(spark):
