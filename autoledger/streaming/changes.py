@@ -20,7 +20,7 @@ snapshot's rows of their keys, and dropped if these are newer.
 
 **Compacting.** Pending batches are folded in once they weigh a given share of the buckets they touch. If these are few, a
 snapshot of only these buckets is written, and the others stay where they are: each bucket is read from the newest snapshot
-that holds it. So over time each row is rewritten a bounded number of times, and changes to a few keys rewrite
+that holds it. A first load in one batch is not rewritten before a second one comes. So over time each row is rewritten a bounded number of times, and changes to a few keys rewrite
 a few buckets.
 
 A snapshot counts once Spark has put its ``_SUCCESS`` mark there: a write cut short is ignored and done again, and readers keep
@@ -43,7 +43,7 @@ from ..operators import latest_per_key
 NOTHING_APPLIED = -1
 # Numbers of buckets are powers of two between these, with about so many bytes in each.
 FEWEST_BUCKETS, MOST_BUCKETS = 8, 1 << 16
-BUCKET_BYTES = 1 << 30
+BUCKET_BYTES = 1 << 27
 ROW_HASH, BUCKET = "_row_hash", "_bucket"
 
 
@@ -204,9 +204,12 @@ class ChangeTarget:
     # Compaction --------------------------------------------------------------------------------------
 
     def compact_if_due(self) -> None:
-        """Compacts once the pending batches weigh enough beside the buckets they touch, or are too many to list."""
+        """Compacts once the pending batches weigh enough beside the buckets they touch, or are too many to list.
+
+        A first load in one batch holds a key once and is read as it is, so it waits for the next one, unless the share is 0.
+        """
         pending = self.pending()
-        if not pending:
+        if not pending or (len(pending) == 1 and not self.parts() and self.compact_share):
             return
         waiting = self._waiting(pending)
         share = len(self._touched(pending)) / self.buckets()

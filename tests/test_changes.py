@@ -297,3 +297,24 @@ def test_buckets_grow_with_a_whole_snapshot(spark, lake, monkeypatch):
     target.apply(batch(spark, (1, 3, "b")), 2)
     target.compact()
     assert len(target.parts()) == 2 and target.current().filter("k = 1").head().v == "b"
+
+
+def test_first_load_is_not_written_twice(spark, lake):
+    """A first batch holds each key once: it is read as it is until the next one comes, then both are folded in at once."""
+    target = target_of(lake).create()
+    target.apply(batch(spark, *FIRST), 0)
+    target.compact_if_due()
+    assert (target.applied(), target.pending(), target.parts()) == (changes.NOTHING_APPLIED, [0], {})
+    assert as_set(target.current()) == [(1, 1, "a"), (2, 5, "b5"), (None, 1, "n")]
+    assert "Exchange" not in plan_of(target.current())
+    target.apply(batch(spark, *SECOND), 1)
+    target.compact_if_due()
+    assert (target.applied(), target.pending(), names_in(target, "snapshots")[-1]) == (1, [], "upto=1")
+    assert as_set(target.current()) == AFTER_BOTH
+
+
+def test_buckets_are_small_enough_for_many_tasks(target):
+    """A snapshot of a few gigabytes is written by more tasks than the fewest buckets."""
+    target._buckets = None
+    assert target._buckets_for(100 << 20) == changes.FEWEST_BUCKETS
+    assert target._buckets_for(3 << 30) == 32
