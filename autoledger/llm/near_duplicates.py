@@ -18,10 +18,11 @@ text that a group was copied from is close to all of them, and one copy to anoth
 
 **What is left.** Pairs of different classes under one pivot ``P`` are found by a prefix-filtered join. The shingles of a text
 are ordered: first those no other open text holds, then those that ``P`` does not hold, then those of ``P``, each by hash.
-Two similar texts of ``n`` and ``k`` shingles share one among the first ``n - ceil(0.8 n) + 1`` places of the one and
-``k - ceil(0.8 k) + 1`` of the other, and by the first that they share there, enough must lie behind it in both. So no link
-between members of a bucket is lost, and unlike copies of one text, whose own edits fill their first places, do not
-meet.
+Two similar texts of ``n`` and ``k`` shingles share at least ``o = ceil(0.8 / 1.8 (n + k))``, and so one among the first
+``n - o + 1`` places of the one and ``k - o + 1`` of the other, and by the first that they share there, enough must lie
+behind it in both. For ``k`` a text takes the fewest shingles of those under ``P`` that are within its bounds and not of
+its class for sure; if there are none, it takes no part. So no link between members of a bucket is lost, and unlike
+copies of one text, whose own edits fill their first places, do not meet.
 
 **Bounds.** Shingles of a text that no other open text holds are in no overlap. With ``n`` shingles and ``m`` of
 them held by others, the similarity to a text of ``k`` shingles is at most ``m / (n + k - m)``. After the first
@@ -57,6 +58,8 @@ BANDS = 24
 BAND_REGISTERS = 5
 # Characters of the texts that are signed together.
 SIGNED_CHARS = 1_000_000
+# Numbers of shingles within this factor count as one size, of which the bounds of the best text are kept.
+SIZE_STEP = 1.02
 WORD = regex.compile(r"[0-9a-z\u0080-\U0010FFFF]+")
 MOST_WORDS = 100_000
 
@@ -240,6 +243,16 @@ def shared_shingles(bags: DataFrame) -> DataFrame:
     return stored(found.withColumn("m", F.size("shared").cast("long")), "shared")
 
 
+def reach(m: Column, n: Column, threshold: float) -> Column:
+    """With ``m`` of ``n`` shingles in common, ``threshold`` times the most shingles that a similar enough text has."""
+    return (1 + threshold) * m - threshold * n
+
+
+def reaches(reach: Column, other_n: Column, threshold: float) -> Column:
+    """Whether a text of this ``reach`` could be similar enough to one of ``other_n`` shingles."""
+    return reach >= threshold * other_n - 1e-6
+
+
 def reachable(m: Column, n: Column, other_n: Column, threshold: float) -> Column:
     """Whether ``m`` shingles in common could be similar enough; a little more is let through than that."""
     return m >= threshold * (n + other_n - m) - 1e-6
@@ -270,6 +283,15 @@ def pivot_pairs(opened: DataFrame, pivots: DataFrame, threshold: float) -> DataF
     return met.select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct()
 
 
+def sizes_met(met: DataFrame, threshold: float) -> DataFrame:
+    """For each ``pivot`` the ``sizes`` of its texts, those apart from its class by themselves: the least ``n`` and the
+    greatest ``reach`` of each size. The list grows with the logarithm of the longest text."""
+    size = F.floor(F.log("n") / F.log(F.lit(SIZE_STEP)))
+    bounds = F.min("n").alias("n"), F.max(reach(F.col("m"), F.col("n"), threshold)).alias("reach")
+    of_size = met.groupBy("pivot", "apart", size.alias("size")).agg(*bounds)
+    return of_size.groupBy("pivot").agg(F.collect_list(F.struct("apart", "n", "reach")).alias("sizes"))
+
+
 def prefixes(opened: DataFrame, pivots: DataFrame, roots: DataFrame, shared: DataFrame, threshold: float) -> DataFrame:
     """For each ``pivot`` and ``node`` of one of its buckets: ``prefix``, the shingles that a similar text under this pivot
     must have one of, and ``apart``, whether the node is of another class than the pivot."""
@@ -280,15 +302,24 @@ def prefixes(opened: DataFrame, pivots: DataFrame, roots: DataFrame, shared: Dat
         "pivot", "node", "n", "m", (F.col("root") != F.col("pivot_root")).alias("apart")
     )
     # Once for a text and a pivot, in however many buckets they meet.
+    met = stored(met.distinct(), "met")
+    n, m, apart = F.col("n"), F.col("m"), F.col("apart")
+    partners = F.filter(
+        "sizes",
+        lambda size: (apart | size["apart"])
+        & reaches(size["reach"], n, threshold)
+        & reaches(reach(m, n, threshold), size["n"], threshold),
+    )
+    fewest = F.array_min(F.transform(partners, lambda size: size["n"]))
+    overlap = F.greatest(threshold * n, threshold / (1 + threshold) * (n + fewest))
+    # Shingles of its own take the first places, but meet nothing.
+    places = F.when(fewest.isNotNull(), m - F.ceil(overlap - 1e-6) + 1)
+    near = met.join(sizes_met(met, threshold), "pivot").withColumn("places", places.cast("int")).filter("places > 0")
     lists = shared.select(F.col("node").alias("pivot"), F.col("shared").alias("in_pivot"))
-    both = met.distinct().join(shared.select("node", "shared"), "node").join(lists, "pivot")
+    both = near.drop("sizes").join(shared.select("node", "shared"), "node").join(lists, "pivot")
     beside = F.array_sort(F.array_except("shared", "in_pivot"))
     ordered = F.concat(beside, F.array_sort(F.array_intersect("shared", "in_pivot")))
-    # Shingles of its own take the first places, but meet nothing.
-    places = F.col("m") - F.ceil(threshold * F.col("n") - 1e-6) + 1
-    prefix = F.slice(ordered, F.lit(1), F.greatest(places, F.lit(0)).cast("int"))
-    found = both.filter(places > 0).select("pivot", "node", "n", "m", "apart", prefix.alias("prefix"))
-    return stored(found, "prefixes")
+    return both.select("pivot", "node", "n", "m", "apart", F.slice(ordered, F.lit(1), F.col("places")).alias("prefix"))
 
 
 def placed(prefixed: DataFrame, roots: DataFrame) -> DataFrame:
@@ -379,7 +410,8 @@ def classes(
         if not opened.isEmpty():
             # Anew, as classes that are joined by now have one text in common that is closest to them all.
             prefixed = prefixes(opened, closest(opened), roots, shared, threshold)
-            roots = joined(stored(pairs_left(placed(prefixed, roots), threshold), "pairs"))
+            tokens = stored(placed(prefixed, roots), "places")
+            roots = joined(stored(pairs_left(tokens, threshold), "pairs"))
 
     labelled = nodes.select("node", "id").join(roots, "node", "left")
     labelled = labelled.select("node", "id", F.coalesce("root", "node").alias("root"))

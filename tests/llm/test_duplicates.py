@@ -93,6 +93,41 @@ def test_large_group_of_edited_copies(spark):
     assert {row.doc_id: row.class_id for row in rows} == brute_classes(texts)
 
 
+def test_large_group_of_copies_of_copies_of_many_lengths(spark):
+    """Cut and edited copies, of the text and of one another: links run between texts that no pivot is similar to."""
+    draw = random.Random(12)
+    texts = {0: words(draw, 150)}
+    for i in range(1, 140):
+        copy = list(texts[draw.randrange(i) if draw.random() < 0.5 else 0])
+        for _ in range(draw.choice([0, 1, 2, 4])):
+            copy[draw.randrange(len(copy))] = words(draw, 1)[0]
+        texts[i] = copy[draw.randrange(8) : len(copy) - draw.randrange(8)]
+    texts = {i: " ".join(text) for i, text in texts.items()}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = near_duplicates.classes(docs).collect()
+    assert {row.doc_id: row.class_id for row in rows} == brute_classes(texts)
+
+
+def test_prefixes_are_as_short_as_the_sizes_under_a_pivot_allow(spark):
+    """For texts of 100 shingles 89 are to be shared, not 80; texts out of reach of all others apart have no prefix."""
+    held = {"p": range(100), "near": range(90), "far": range(15, 100), "short": range(70)}
+    held.update({f"copy{i}": [*range(i), *range(i + 5, 100)] for i in range(20)})
+    size = {"short": 70}
+    of_class = ["p", *(name for name in held if name.startswith("copy")), "short"]
+    fields = "bucket long, node string, root string, n long, m long"
+    members = [(1, k, "p" if k in of_class else k, size.get(k, 100), len(v)) for k, v in held.items()]
+    found = near_duplicates.prefixes(
+        spark.createDataFrame(members, fields),
+        spark.createDataFrame([(1, "p")], "bucket long, pivot string"),
+        spark.createDataFrame([(name, "p") for name in of_class], "node string, root string"),
+        spark.createDataFrame([(k, list(v)) for k, v in held.items()], "node string, shared array<long>"),
+        0.8,
+    )
+    got = {row.node: (len(row.prefix), row.apart) for row in found.collect()}
+    copies = {f"copy{i}": (95 - 89 + 1, False) for i in range(20)}
+    assert got == {"p": (100 - 89 + 1, False), "near": (90 - 89 + 1, True), **copies}
+
+
 def test_classes_of_awkward_rows(spark, awkward_wide, empty):
     rows = near_duplicates.classes(awkward_wide).collect()
     got = Counter((row.doc_id, row.class_id) for row in rows)
