@@ -29,21 +29,13 @@ def components(edges: DataFrame) -> DataFrame:
     while not all_stars(edges):
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("least"))
-        large = (
-            both.join(least, "a")
-            .filter(F.col("b") > F.col("a"))
-            .select(F.col("b").alias("a"), F.least("a", "least").alias("b"))
-            .distinct()
-        )
+        large = both.join(least, "a").filter(F.col("b") > F.col("a"))
+        # By node once, for its least neighbour and for the join with it; equal rows go with the other step's.
+        large = large.select(F.col("b").alias("a"), F.least("a", "least").alias("b")).repartition("a")
         least = large.groupBy("a").agg(F.min("b").alias("least"))
-        small = large.join(least, "a")
-        edges = stored(
-            small.select(F.col("b").alias("a"), F.col("least").alias("b"))
-            .unionAll(small.select("a", F.col("least").alias("b")))
-            .filter("a <> b")
-            .distinct(),
-            "edges",
-        )
+        ends = F.explode(F.array("b", "a")).alias("a")
+        small = large.join(least, "a").select(ends, F.col("least").alias("b"))
+        edges = stored(small.filter("a <> b").distinct(), "edges")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(
         edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )
