@@ -99,13 +99,13 @@ def document_shingles(docs: DataFrame, sizes: list[int]) -> DataFrame:
     return whole
 
 
-def contaminated_words(docs: DataFrame, items: DataFrame) -> DataFrame:
+def contaminated_words(docs: DataFrame, items: DataFrame, files: int | None = None) -> DataFrame:
     """Per row of ``doc_id`` and ``text``: ``n_words`` and ``hits``, structs of place, length and window.
 
     Rows carry ``mark``, a hash of the text, so that with ``doc_id`` equal rows and only these fall together.
     """
     marked = docs.withColumn("mark", F.xxhash64("text"))
-    windows = stored(windows_of(items), "windows")
+    windows = stored(windows_of(items), "windows", files)
     # At most five different sizes, whatever the number of items.
     sizes = sorted(
         row.size for row in windows.select(F.least("n", F.lit(SHINGLE)).alias("size")).distinct().collect()
@@ -116,7 +116,8 @@ def contaminated_words(docs: DataFrame, items: DataFrame) -> DataFrame:
             "doc_id", "mark", F.size(plain_words(F.col("text"))).alias("n_words"), none.alias("hits")
         )
     known = windows.select("hash").distinct()
-    shingles = stored(document_shingles(marked, sizes).join(known, "hash", "left_semi"), "shingles")
+    shingles = document_shingles(marked, sizes).join(known, "hash", "left_semi")
+    shingles = stored(shingles, "shingles", files)
     counted = shingles.groupBy("hash").agg(F.count("*").alias("n_found"))
     # A shingle that no document holds rules its window out; else the rarest is the prefix.
     ranked = windows.join(counted, "hash", "left")
@@ -124,7 +125,7 @@ def contaminated_words(docs: DataFrame, items: DataFrame) -> DataFrame:
     prefixes = (
         ranked.groupBy("words", "n").agg(F.min(rarity).alias("prefix")).filter("prefix.n_found > 0")
     ).select("words", "n", "prefix.hash", "prefix.offset")
-    prefixes = stored(prefixes, "prefixes")
+    prefixes = stored(prefixes, "prefixes", files)
     start = F.col("at") - F.col("offset")
     candidates = (
         shingles.join(prefixes, "hash")
@@ -185,15 +186,17 @@ def decontamination(
     )
 
 
-def clean_documents(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents no word of which is hit, with all their columns."""
+def clean_documents(
+    docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text", files: int | None = None
+) -> DataFrame:
+    """The documents no word of which is hit, with all their columns; working tables go into ``files``."""
     row = F.struct(*[column(name) for name in docs.columns]).alias("row")
     rows = docs.select(
         row, column(id).alias("doc_id"), F.coalesce(column(text).cast("string"), F.lit("")).alias("text")
     ).withColumn("mark", F.xxhash64("text"))
     items = items.select("item_id", F.coalesce("text", F.lit("")).alias("text"))
     dirty = (
-        contaminated_words(rows.select("doc_id", "text"), items)
+        contaminated_words(rows.select("doc_id", "text"), items, files)
         .filter(F.size("hits") > 0)
         .select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"))
     )

@@ -49,7 +49,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import by_slice, column, mapped, schema_of, ship, stored, texts_of
+from .common import by_slice, column, files_for, mapped, schema_of, ship, stored, texts_of
 from .graph import components
 
 SHINGLE = 5
@@ -215,7 +215,7 @@ def linked(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").filter(similar("text_a", "text_b")).select("a", "b")
 
 
-def shingle_bags(texts: DataFrame) -> DataFrame:
+def shingle_bags(texts: DataFrame, files: int | None = None) -> DataFrame:
     """``node`` and ``bag``, its shingles; the second copy of a shingle in a text is another shingle, and so on."""
 
     def bag(text: str) -> list[int]:
@@ -228,10 +228,10 @@ def shingle_bags(texts: DataFrame) -> DataFrame:
         return pd.DataFrame({"node": frame["node"], "bag": [bag(text) for text in frame["text"]]})
 
     schema = T.StructType.fromDDL("node binary, bag array<long>")
-    return stored(mapped(texts, by_slice(listed, most_chars=SIGNED_CHARS), schema), "bags")
+    return stored(mapped(texts, by_slice(listed, most_chars=SIGNED_CHARS), schema), "bags", files)
 
 
-def shared_shingles(bags: DataFrame) -> DataFrame:
+def shared_shingles(bags: DataFrame, files: int | None = None) -> DataFrame:
     """``n``, the number of shingles of each ``node``, ``m``, of those that another of the texts holds, and these as ``shared``."""
     holder = F.xxhash64("node")
     rows = bags.select(holder.alias("holder"), F.explode("bag").alias("shingle"))
@@ -240,7 +240,7 @@ def shared_shingles(bags: DataFrame) -> DataFrame:
     found = bags.withColumn("holder", holder).join(own, "holder", "left")
     shared = F.when(F.col("own").isNull(), F.col("bag")).otherwise(F.array_except("bag", "own"))
     found = found.select("node", F.size("bag").cast("long").alias("n"), shared.alias("shared"))
-    return stored(found.withColumn("m", F.size("shared").cast("long")), "shared")
+    return stored(found.withColumn("m", F.size("shared").cast("long")), "shared", files)
 
 
 def reach(m: Column, n: Column, threshold: float) -> Column:
@@ -292,7 +292,14 @@ def sizes_met(met: DataFrame, threshold: float) -> DataFrame:
     return of_size.groupBy("pivot").agg(F.collect_list(F.struct("apart", "n", "reach")).alias("sizes"))
 
 
-def prefixes(opened: DataFrame, pivots: DataFrame, roots: DataFrame, shared: DataFrame, threshold: float) -> DataFrame:
+def prefixes(
+    opened: DataFrame,
+    pivots: DataFrame,
+    roots: DataFrame,
+    shared: DataFrame,
+    threshold: float,
+    files: int | None = None,
+) -> DataFrame:
     """For each ``pivot`` and ``node`` of one of its buckets: ``prefix``, the shingles that a similar text under this pivot
     must have one of, and ``apart``, whether the node is of another class than the pivot."""
     of_pivot = pivots.join(roots.withColumnRenamed("node", "pivot"), "pivot", "left").select(
@@ -302,7 +309,7 @@ def prefixes(opened: DataFrame, pivots: DataFrame, roots: DataFrame, shared: Dat
         "pivot", "node", "n", "m", (F.col("root") != F.col("pivot_root")).alias("apart")
     )
     # Once for a text and a pivot, in however many buckets they meet.
-    met = stored(met.distinct(), "met")
+    met = stored(met.distinct(), "met", files)
     n, m, apart = F.col("n"), F.col("m"), F.col("apart")
     partners = F.filter(
         "sizes",
@@ -353,18 +360,24 @@ def pairs_left(tokens: DataFrame, threshold: float) -> DataFrame:
 
 
 def classes(
-    docs: DataFrame, threshold: float = THRESHOLD, id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    threshold: float = THRESHOLD,
+    id: str = "doc_id",
+    text: str = "text",
+    files: int | None = None,
 ) -> DataFrame:
     """Per row: ``doc_id``, ``node`` (a digest of its text), ``root`` (the least node of its class) and ``class_id``,
-    the least id of its class. If an id stands on several texts, classes may share a ``class_id`` but no ``root``."""
+    the least id of its class. If an id stands on several texts, classes may share a ``class_id`` but no ``root``.
+    Working tables go into ``files``, by default what ``files_for`` says."""
     docs = texts_of(docs, id, text)
+    files = files_for(docs) if files is None else files
     signed = stored(banded(docs), "signatures")
     nodes = stored(
-        signed.groupBy("node").agg(F.min("doc_id").alias("id"), F.first("buckets").alias("buckets")), "nodes"
+        signed.groupBy("node").agg(F.min("doc_id").alias("id"), F.first("buckets").alias("buckets")), "nodes", files
     )
     members = nodes.select("node", F.explode("buckets").alias("bucket"))
     several = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    members = stored(members.join(several, "bucket").select("bucket", "node"), "members")
+    members = stored(members.join(several, "bucket").select("bucket", "node"), "members", files)
 
     # Texts that take part, one row each; a text is read at one of its ids.
     wanted = members.select("node").distinct().join(nodes.select("node", "id"), "node")
@@ -372,7 +385,7 @@ def classes(
         wanted.withColumnRenamed("id", "_id"),
         F.col("doc_id").eqNullSafe(F.col("_id")) & (F.unhex(F.md5("text")) == F.col("node")),
     )
-    texts = stored(read.groupBy("node").agg(F.min("text").alias("text")), "texts")
+    texts = stored(read.groupBy("node").agg(F.min("text").alias("text")), "texts", files)
 
     roots = nodes.select("node", F.col("node").alias("root")).limit(0)
 
@@ -391,27 +404,29 @@ def classes(
 
     def joined(pairs: DataFrame) -> DataFrame:
         """The roots with the links among the pairs."""
-        found = stored(linked(pairs, texts, threshold), "links")
+        found = stored(linked(pairs, texts, threshold), "links", files)
         if found.isEmpty():
             return roots
-        return components(found.unionAll(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+        known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        return components(found.unionAll(known), files)
 
     opened = undone(members, None).withColumn("is_pivot", F.col("node") == F.col("least"))
-    opened = stored(opened, "open_members")
+    opened = stored(opened, "open_members", files)
     if not opened.isEmpty():
-        roots = joined(stored(candidate_pairs(opened), "pairs"))
+        roots = joined(stored(candidate_pairs(opened), "pairs", files))
         members = opened.filter(~F.col("is_pivot")).select("bucket", "node")
-        shared = shared_shingles(shingle_bags(texts.join(undone(members, None).select("node").distinct(), "node")))
+        open_texts = texts.join(undone(members, None).select("node").distinct(), "node")
+        shared = shared_shingles(shingle_bags(open_texts, files), files)
         bounds = shared.select("node", "n", "m")
-        opened = stored(undone(members, bounds), "near_members")
-        pivots = stored(closest(opened), "pivots")
-        roots = joined(stored(pivot_pairs(opened, pivots, threshold), "pairs"))
-        opened = stored(undone(members, bounds), "left_members")
+        opened = stored(undone(members, bounds), "near_members", files)
+        pivots = stored(closest(opened), "pivots", files)
+        roots = joined(stored(pivot_pairs(opened, pivots, threshold), "pairs", files))
+        opened = stored(undone(members, bounds), "left_members", files)
         if not opened.isEmpty():
             # Anew, as classes that are joined by now have one text in common that is closest to them all.
-            prefixed = prefixes(opened, closest(opened), roots, shared, threshold)
-            tokens = stored(placed(prefixed, roots), "places")
-            roots = joined(stored(pairs_left(tokens, threshold), "pairs"))
+            prefixed = prefixes(opened, closest(opened), roots, shared, threshold, files)
+            tokens = stored(placed(prefixed, roots), "places", files)
+            roots = joined(stored(pairs_left(tokens, threshold), "pairs", files))
 
     labelled = nodes.select("node", "id").join(roots, "node", "left")
     labelled = labelled.select("node", "id", F.coalesce("root", "node").alias("root"))
@@ -421,10 +436,14 @@ def classes(
 
 
 def first_of_each(
-    docs: DataFrame, threshold: float = THRESHOLD, id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    threshold: float = THRESHOLD,
+    id: str = "doc_id",
+    text: str = "text",
+    files: int | None = None,
 ) -> DataFrame:
     """One document of each class, that of the least id and then of the least text digest, with all its columns."""
-    found = classes(docs, threshold, id, text)
+    found = classes(docs, threshold, id, text, files)
     # By the root, as one id may stand in several classes.
     chosen = (
         found.filter(F.col("class_id").isNull() | (F.col("doc_id") == F.col("class_id")))

@@ -227,11 +227,12 @@ def packed(
     end_id: int = END_ID,
     id: str = "doc_id",
     text: str = "text",
+    files: int | None = None,
 ) -> DataFrame:
     """One row per piece, with its ``sequence_id`` and its ``offset`` in the sequence."""
     cut = stored(pieces(texts_of(docs, id, text), tokenizer, capacity, end_id), "pieces")
     per_task = cut.groupBy("length", "task").agg(F.count("*").alias("n"))
-    per_task = stored(per_task, "pieces_per_task")
+    per_task = stored(per_task, "pieces_per_task", files)
     counted = per_task.groupBy("length").agg(F.sum("n").alias("n")).collect()  # at most ``capacity`` rows
     where = places(bin_completion({row.length: row.n for row in counted}, capacity))
     earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)

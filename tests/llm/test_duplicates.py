@@ -5,11 +5,14 @@ from __future__ import annotations
 import random
 from collections import Counter, defaultdict
 from itertools import combinations
+from pathlib import Path
 
 import corpus_pipeline
 import numpy as np
+from pyspark.sql import functions as F
 
 from autoledger.llm import graph, near_duplicates, packing, queries, substrings
+from autoledger.llm.common import CHARS_A_FILE, ROWS_A_FILE, files_for
 
 from .conftest import SMALL, awkward_rows
 
@@ -273,6 +276,39 @@ def test_pipeline_stage_by_stage(spark):
     assert last == {(r.doc_id, r.piece, r.length, r.ids_crc32) for r in packed}
 
 
+def test_files_of_working_tables_go_by_the_documents(spark, settings):
+    """With many more shuffle partitions than the documents need, tables are not written in one file for each."""
+    settings(
+        spark__sql__shuffle__partitions="40",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+        spark__sql__autoBroadcastJoinThreshold="-1",
+    )
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").repartition(3)
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = set(shared.glob("autoledger-*/*"))
+    kept = {name: stage(spark, docs, SMALL) for name, stage in corpus_pipeline.STAGES[1:]}
+    most = files_for(docs)
+    assert most == spark.sparkContext.defaultParallelism
+    assert {name: rows.rdd.getNumPartitions() for name, rows in kept.items()} == dict.fromkeys(kept, most)
+    written = {folder: len(list(folder.glob("part-*"))) for folder in set(shared.glob("autoledger-*/*")) - before}
+    assert {"nodes", "links", "edges", "shared", "windows", "prefixes"} <= {folder.name for folder in written}
+    assert {str(folder): files for folder, files in written.items() if files > most} == {}
+    classes = brute_classes({row.doc_id: row.text for row in docs.collect()})
+    assert {row.doc_id for row in kept["near_dedup"].collect()} == set(classes.values())
+
+
+def test_files_follow_rows_and_characters(spark, settings):
+    cores = spark.sparkContext.defaultParallelism
+    many = spark.range(cores * ROWS_A_FILE + 1).select("id", F.lit("x").alias("text"))
+    long = spark.range(cores + 1).select(F.repeat(F.lit("x"), CHARS_A_FILE).alias("text"))
+    assert files_for(many) is None
+    settings(spark__sql__shuffle__partitions="40", spark__sql__adaptive__coalescePartitions__enabled="false")
+    assert [files_for(many.limit(n)) for n in (0, 1)] == [cores, cores]
+    assert [files_for(many), files_for(long)] == [cores + 1, cores + 1]
+    settings(spark__sql__shuffle__partitions=str(2 * cores))
+    assert files_for(many) is None
+
+
 def test_hot_passages_give_the_same_spans(spark, settings):
     """With many partitions a passage that most documents share is hot, with few it is not."""
     draw = random.Random(31)
