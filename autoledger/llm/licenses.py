@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import by_slice, column, mapped, stored
+from .common import by_slice, column, files_for, in_files, mapped, stored
 
 THRESHOLD = 0.75
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice)([._-].*)?$"
@@ -227,12 +227,16 @@ def licenses(
     threshold: float = THRESHOLD,
 ) -> DataFrame:
     """Per file: ``path``, ``license``, ``origin`` (``own``, ``inherited`` or ``none``), ``cosine`` and
-    ``licensed_by``, the licence file it inherits from."""
+    ``licensed_by``, the licence file it inherits from.
+
+    Where Spark does not merge small partitions, the result has as many as its rows need, whatever the joins have.
+    """
     read = files.select(
         column(path).cast("string").alias("path"),
         F.coalesce(column(text).cast("string"), F.lit("")).alias("text"),
     )
-    found = stored(scanned(read, templates, threshold), "scanned").withColumn(
+    parts = files_for(read)
+    found = stored(scanned(read, templates, threshold), "scanned", parts).withColumn(
         "directory", F.array_join(F.array_remove(F.split(directory_of(F.col("path")), "/"), ""), "/")
     )
     # The largest cosine first, then the least path; a path alone cannot tie.
@@ -252,13 +256,14 @@ def licenses(
     )
     joined = found.join(nearest, "directory", "left")
     inherited = F.col("own").isNull() & F.col("stated").isNotNull()
-    return joined.select(
+    answers = joined.select(
         "path",
         F.when(inherited, F.col("stated.own")).otherwise(F.col("own")).alias("license"),
         F.when(F.col("own").isNotNull(), "own").when(inherited, "inherited").otherwise("none").alias("origin"),
         "cosine",
         F.when(inherited, F.col("stated.path")).alias("licensed_by"),
     )
+    return in_files(answers, parts)
 
 
 def files_of_documents(docs: DataFrame) -> DataFrame:

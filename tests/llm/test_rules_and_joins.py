@@ -6,6 +6,7 @@ import math
 import random
 import textwrap
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import pandas as pd
@@ -455,3 +456,29 @@ def test_op2_against_nearest_folder_by_hand(spark):
             expected = min(held)[2] if held else None
             folder = folder.rpartition("/")[0]
         assert row.license == expected
+
+
+def test_op2_files_go_by_the_documents(spark, settings, tmp_path):
+    """With many more shuffle partitions than the files need, neither working table nor result has one for each."""
+    notice = "Licensed under the MIT License."
+    texts = [notice if n % 9 == 0 else text for n, text in enumerate(["x", "", None] * 40)]
+    rows = [(n, text, "en", f"s{n % 30}") for n, text in enumerate(texts)] + [(None, "x", None, None)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    docs.repartition(30).write.parquet(f"{tmp_path}/documents.parquet")
+    merged = sorted(map(repr, queries.op2_license_scan(spark, str(tmp_path)).collect()))
+    assert len(merged) == len(rows)
+    settings(
+        spark__sql__shuffle__partitions="40",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__files__maxPartitionBytes="65536",
+    )
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = set(shared.glob("autoledger-*/scanned"))
+    found = queries.op2_license_scan(spark, str(tmp_path))
+    [scanned] = set(shared.glob("autoledger-*/scanned")) - before
+    cores = spark.sparkContext.defaultParallelism
+    assert len(list(scanned.glob("part-*"))) <= cores
+    found.write.parquet(f"{tmp_path}/found")
+    assert len(list((tmp_path / "found").glob("part-*"))) <= cores
+    assert sorted(map(repr, spark.read.parquet(f"{tmp_path}/found").collect())) == merged
