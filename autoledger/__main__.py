@@ -8,7 +8,7 @@ from __future__ import annotations
 import argparse
 
 from .catalog import Lake
-from .plans.refresh import refresh
+from .plans.refresh import VIEW_360_PARTITIONS, refresh
 from .session import session
 from .sources import FEEDS
 from .streaming import Sink
@@ -31,7 +31,7 @@ def main() -> None:
         "--newest-dimension-only", action="store_true", help="look up only the newest row of a key"
     )
     parser.add_argument(
-        "--partitioned-by", nargs="+", default=["dealer_id"], help="columns that partition the 360 table"
+        "--partitioned-by", nargs="+", default=VIEW_360_PARTITIONS, help="columns that partition the 360 table"
     )
     arguments = parser.parse_args()
 

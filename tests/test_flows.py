@@ -22,7 +22,7 @@ from autoledger.plans import refresh as flows
 from autoledger.sources import FEEDS, PRODUCT
 from autoledger.streaming import Sink, finish, into_sink, snapshot_to_sink
 
-from .conftest import SMALL, as_set
+from .conftest import SMALL, as_set, plan_of
 
 BUILDERS = {
     "product_enriched": ("product", valid_products),
@@ -207,6 +207,50 @@ def test_both_partition_columns_can_be_asked_for(spark, lake, tmp_path):
     assert dict(rows.dtypes)["payment_date"] == "date" and dict(rows.dtypes)["dealer_id"] == "string"
 
 
+def paid(spark, lake, folder, *payments):
+    """Payments of a dealer on a day in the silver table, each of its own customer; no product or customer is known."""
+    lines = []
+    for number, (dealer, day) in enumerate(payments):
+        values = {
+            "transaction_id": f"T{number}", "customer_id": f"C{number}", "vin": "V" * 17,
+            "dealer_id": dealer, "payment_date": day, "amount_paid": "1.00",
+        }
+        lines.append("\t".join(values.get(field, "") for field in FEEDS["payment"].fields) + "\n")
+    folder.mkdir()
+    (folder / "payments.tsv").write_text("".join(lines))
+    flows.ingest(lake, {"payment": str(folder)})
+    flows.clean(lake, "payment_enriched")
+    for table in ("product_enriched", "customer_enriched"):
+        lake.declare(table, batch_of(spark, table).schema)
+
+
+def test_360_table_is_partitioned_by_dealer_and_day(spark, lake, tmp_path):
+    dealers_and_days = [
+        ("D1", "2024-01-05"), ("D1", "2024-01-06"), ("D1", "2024-01-05"), ("007", "0001-01-01"),
+        ("a/1=2 %", "9999-12-31"), ("", "2024-01-06"),
+    ]
+    paid(spark, lake, tmp_path / "payment", *dealers_and_days)
+    flows.extend_curated_360(lake)
+    files = list(Path(lake.folder("curated_360_gold")).glob("dealer_id=*/payment_date=*/*.parquet"))
+    assert len(files) == len(set(dealers_and_days)) == 5
+    assert lake.partition_columns("curated_360_gold") == ("dealer_id", "payment_date")
+    rows = lake.read("curated_360_gold").withColumn("payment_date", F.col("payment_date").cast("string"))
+    expected = [(f"C{number}", dealer or None, day) for number, (dealer, day) in enumerate(dealers_and_days)]
+    assert as_set(rows, "customer_id", "dealer_id", "payment_date") == sorted(expected, key=repr)
+    one_day = lake.read("curated_360_gold").filter("payment_date = DATE '2024-01-06'")
+    assert "PartitionFilters: [isnotnull(payment_date" in plan_of(one_day) and one_day.count() == 2
+
+
+def test_360_table_of_other_partitions_is_refused(spark, lake, tmp_path):
+    """Else the table would hold folders by dealer beside such by dealer and day, and could not be read."""
+    paid(spark, lake, tmp_path / "payment", ("D1", "2024-01-05"), ("D2", "2024-01-06"))
+    flows.extend_curated_360(lake, partitioned_by=("dealer_id",))
+    with pytest.raises(ValueError, match="is partitioned by"):
+        flows.extend_curated_360(lake)
+    flows.extend_curated_360(lake, partitioned_by=("dealer_id",))
+    assert lake.read("curated_360_gold").count() == 2
+
+
 def test_inspection(refreshed):
     lake, _, _ = refreshed
     bronze = lake.read("product_bronze")
